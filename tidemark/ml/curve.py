@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,5 +117,3 @@ def classification_report(
     return outcome.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def unite(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
