@@ -10,9 +10,8 @@ def round_half_away(c: Column, digits: int) -> Column:
     """SQL-report rounding: scaled, half away from zero, returned as double."""
     factor = float(10**digits)
     x = c.cast("double")
-    up = F.floor(x * factor + 0.5) / F.lit(factor)
-    down = -F.floor(-x * factor + 0.5) / F.lit(factor)
-    return F.when(x < 0, down).otherwise(up)
+    # Integer arithmetic for the sign, so that small negatives give 0 and not -0.
+    return F.floor(F.abs(x) * factor + 0.5) * F.sign(x).cast("int") / F.lit(factor)
 
 
 def round_half_even(c: Column, digits: int) -> Column:

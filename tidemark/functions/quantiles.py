@@ -31,30 +31,25 @@ def _brackets(probs: Sequence[float], accuracy: int) -> list[float]:
     return out
 
 
-def _fold(values: DataFrame, marks: Column, n_brackets: int, by: list[str]) -> DataFrame:
+def _fold(values: DataFrame, n_brackets: int, by: list[str]) -> DataFrame:
     """Rows in a bracket by value, the others by gap: (by, lo, hi, cnt)."""
-    v = F.col("_v")
-    inside = F.lit(False)
-    gap = F.lit(0)
-    for i in range(n_brackets):
-        inside = inside | v.between(marks[2 * i], marks[2 * i + 1])
-        gap = gap + (v > marks[2 * i + 1]).cast("int")
-    keyed = values.select(*by, "_v", F.when(inside, v).alias("_key"), gap.alias("_gap"))
+    ids = range(n_brackets)
+    inside = " OR ".join(f"_v BETWEEN _marks[{2 * i}] AND _marks[{2 * i + 1}]" for i in ids)
+    gap = " + ".join(f"int(_v > _marks[{2 * i + 1}])" for i in ids)
+    keyed = values.select(
+        *by, "_v", F.expr(f"CASE WHEN {inside} THEN _v END AS _key"), F.expr(f"{gap} AS _gap")
+    )
     return keyed.groupBy(*by, "_gap", "_key").agg(
         F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("cnt")
     )
 
 
-def _at_rank(rank: Column) -> Column:
-    """Value at a zero-based rank, from the folded rows with their running counts."""
-    holds = (F.col("before") <= rank) & (rank < F.col("before") + F.col("cnt"))
-    value = (
-        F.when(F.col("lo") == F.col("hi"), F.col("lo"))
-        .when(rank == F.col("before"), F.col("lo"))
-        .when(rank == F.col("before") + F.col("cnt") - 1, F.col("hi"))
-        .otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-    )
-    return F.max(F.when(holds, value))
+def _at_rank(rank: str) -> str:
+    """SQL for the value at a zero-based rank, from the folded rows with their running counts."""
+    return f"""max(CASE WHEN before <= {rank} AND {rank} < before + cnt THEN
+        CASE WHEN lo = hi OR {rank} = before THEN lo
+             WHEN {rank} = before + cnt - 1 THEN hi
+             ELSE double(raise_error('quantile bracket missed its rank')) END END)"""
 
 
 def _ranked(
@@ -67,10 +62,10 @@ def _ranked(
     if by:
         values = values.where(_known(by))
         marks = values.groupBy(*by).agg(sketch)
-        folded = _fold(attach(values, marks, by, "inner"), F.col("_marks"), len(probs), by)
+        marked = attach(values, marks, by, "inner")
     else:
-        folded = _fold(values, values.agg(sketch).scalar(), len(probs), by)
-    return _with_ranks(folded, by)
+        marked = values.withColumn("_marks", values.agg(sketch).scalar())
+    return _with_ranks(_fold(marked, len(probs), by), by)
 
 
 def _with_ranks(folded: DataFrame, by: list[str]) -> DataFrame:
@@ -121,25 +116,26 @@ def quantiles_of_counts(
 def _interpolate(ranked: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
     picks = []
     for i, p in enumerate(probs):
-        at = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        low = F.floor(at)
-        high = F.least(low + 1, F.col("_n") - 1)
+        at = f"(double(_n - 1) * {float(p)!r}D)"
+        low = f"floor({at})"
         picks += [
-            _at_rank(low).alias(f"_lo{i}"),
-            _at_rank(high).alias(f"_hi{i}"),
-            F.max(at - low).alias(f"_f{i}"),
+            F.expr(f"{_at_rank(low)} AS _lo{i}"),
+            F.expr(f"{_at_rank(f'least({low} + 1, _n - 1)')} AS _hi{i}"),
+            F.expr(f"max({at} - {low}) AS _f{i}"),
         ]
     picked = ranked.groupBy(*by).agg(F.max("_n").alias("n"), *picks)
     ids = range(len(probs))
-    lerp = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}") for i in ids]
-    return picked.select(
-        *by,
-        "n",
-        F.array(*lerp).alias("quantiles"),
-        F.array(*[F.col(f"_lo{i}") for i in ids]).alias("lower"),
-        F.array(*[F.col(f"_hi{i}") for i in ids]).alias("upper"),
-        F.array(*[F.col(f"_f{i}") for i in ids]).alias("fraction"),
-    )
+    arrays = {
+        "quantiles": "_lo{i} + (_hi{i} - _lo{i}) * _f{i}",
+        "lower": "_lo{i}",
+        "upper": "_hi{i}",
+        "fraction": "_f{i}",
+    }
+    built = [
+        F.expr(f"array({', '.join(form.format(i=i) for i in ids)}) AS {name}")
+        for name, form in arrays.items()
+    ]
+    return picked.select(*by, "n", *built)
 
 
 def order_statistics(
@@ -152,14 +148,13 @@ def order_statistics(
     """Per group the value that has round(fraction * n) values at or below it: array ``cuts``."""
     by = list(by)
     ranked = _ranked(df, value, fractions, by, accuracy)
-    picks = []
-    for i, p in enumerate(fractions):
-        rank = F.greatest(F.floor(F.col("_n") * float(p) + 0.5), F.lit(1)) - 1
-        picks.append(_at_rank(rank).alias(f"_c{i}"))
+    picks = [
+        F.expr(f"{_at_rank(f'(greatest(floor(_n * {float(p)!r}D + 0.5D), 1) - 1)')} AS _c{i}")
+        for i, p in enumerate(fractions)
+    ]
     picked = ranked.groupBy(*by).agg(F.max("_n").alias("n"), *picks)
-    return picked.select(
-        *by, "n", F.array(*[F.col(f"_c{i}") for i in range(len(fractions))]).alias("cuts")
-    )
+    cuts = ", ".join(f"_c{i}" for i in range(len(fractions)))
+    return picked.select(*by, "n", F.expr(f"array({cuts}) AS cuts"))
 
 
 def quantile_edges(df: DataFrame, value: str, probs: Sequence[float]) -> Column:

@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WHITESPACE = " \t\n\r\f\x0b"
+_TRIMMED = r"lower(btrim({c}, ' \t\n\r\u000B\u000C'))"
+_BY_RUNS = (
+    r"aggregate(regexp_extract_all({low}, '(\\p{{L}}+|\\P{{L}}+)', 1), '', "
+    r"(acc, run) -> concat(acc, upper(left(run, 1)), substr(run, 2)))"
+)
 
 
-def title_case(c: Column) -> Column:
+def title_case(column: str) -> Column:
     """Trim, then capitalise every run of letters (``e-mail o'neil`` -> ``E-Mail O'Neil``).
 
     ``initcap`` only restarts at blanks; it is exact, and cheaper, for plain words, so the
     higher-order form runs only on values holding anything else.
     """
-    low = F.lower(F.btrim(c, F.lit(WHITESPACE)))
-    runs = F.regexp_extract_all(low, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    exact = F.aggregate(
-        runs,
-        F.lit(""),
-        lambda acc, run: F.concat(acc, F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2))),
-    )
-    return F.when(low.rlike("[^a-z ]"), exact).otherwise(F.initcap(low))
+    low = _TRIMMED.format(c=f"`{column}`")
+    runs = _BY_RUNS.format(low=low)
+    return F.expr(f"CASE WHEN {low} RLIKE '[^a-z ]' THEN {runs} ELSE initcap({low}) END")

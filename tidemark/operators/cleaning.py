@@ -59,7 +59,7 @@ def clean_customers(df: DataFrame, snapshot: dt.date = SNAPSHOT) -> DataFrame:
             "avg_review_score",
             F.when(unreviewed, F.lit(None)).otherwise(F.col("avg_review_score")),
         )
-    cased = {c: title_case(F.col(c)) for c in TITLE_CASED if c in present}
+    cased = {c: title_case(c) for c in TITLE_CASED if c in present}
     return out.withColumns(cased) if cased else out
 
 

@@ -32,16 +32,10 @@ def correlation_input(customers: DataFrame) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: tuple[str, ...] = CORRELATED) -> DataFrame:
     """Lower triangle: every later column against every earlier one, over rows having both."""
     pairs = [(b, a) for a, b in combinations(columns, 2)]
-    one_row = df.agg(*[F.corr(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-    entries = [
-        F.struct(
-            F.lit(x).alias("feature"),
-            F.lit(y).alias("other"),
-            round_half_away(F.col(f"r{i}"), 6).alias("r"),
-        )
-        for i, (x, y) in enumerate(pairs)
-    ]
-    return one_row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    one_row = df.agg(*[F.expr(f"corr(`{x}`, `{y}`) AS r{i}") for i, (x, y) in enumerate(pairs)])
+    entries = ", ".join(f"named_struct('feature', '{x}', 'other', '{y}', 'r', r{i})" for i, (x, y) in enumerate(pairs))
+    long = one_row.select(F.expr(f"inline(array({entries}))"))
+    return long.withColumn("r", round_half_away(F.col("r"), 6))
 
 
 def correlation_matrix(pairs: DataFrame, columns: tuple[str, ...] = CORRELATED) -> DataFrame:
@@ -56,11 +50,9 @@ def target_correlations(df: DataFrame, target: str = "churned") -> DataFrame:
     """Correlation of each column with the target, ascending; only these pairs are computed."""
     features = [c for c in df.columns if c != target]
     one_row = df.agg(*[F.corr(c, target).alias(c) for c in features])
-    entries = [
-        F.struct(F.lit(c).alias("feature"), round_half_away(F.col(c), 6).alias("r"))
-        for c in features
-    ]
-    out = one_row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    entries = ", ".join(f"named_struct('feature', '{c}', 'r', `{c}`)" for c in features)
+    long = one_row.select(F.expr(f"inline(array({entries}))"))
+    out = long.withColumn("r", round_half_away(F.col("r"), 6))
     return out.withColumn("keep", flag(F.abs("r") > KEEP_ABOVE)).orderBy("r", "feature")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.binning import (
@@ -38,14 +39,26 @@ def _spend() -> Column:
     return F.col("total_spend_usd")
 
 
-def mark_above_mean(grouped: DataFrame, rate: str) -> DataFrame:
+def mark_above_mean(grouped: DataFrame, rate: str, few: bool = False) -> DataFrame:
     """Adds the unweighted mean of the group rates and whether a group lies above it.
 
-    Rates are added as decimals, so the mean does not depend on the order of the groups.
+    Rates are added as decimals, so the mean does not depend on the order of the groups. ``few``
+    says that the groups are a fixed short list, for which a window needs no second pass.
     """
-    overall = grouped.agg(mean(F.col(rate).cast("decimal(18,6)"))).scalar()
-    return grouped.withColumn("mean_rate", round_half_away(overall, 4)).withColumn(
-        "above_mean", flag(F.col(rate) > overall)
+    overall = mean(F.col(rate).cast("decimal(18,6)"))
+    if few:
+        every = W.partitionBy()
+        exact = F.col(rate).cast("decimal(18,6)")
+        overall = F.try_divide(
+            F.sum(exact).over(every).cast("double"), F.count(exact).over(every).cast("double")
+        )
+        marked = grouped.withColumn("_overall", overall)
+    else:
+        marked = grouped.withColumn("_overall", grouped.agg(overall).scalar())
+    return (
+        marked.withColumn("mean_rate", round_half_away(F.col("_overall"), 4))
+        .withColumn("above_mean", flag(F.col(rate) > F.col("_overall")))
+        .drop("_overall")
     )
 
 
@@ -119,7 +132,7 @@ def tier_breakdown(customers: DataFrame) -> DataFrame:
     )
     order = _label_bins(TIER_ORDER).dimension(customers.sparkSession, "membership_tier")
     tiers = order.join(stats, "membership_tier", "left")
-    return mark_above_mean(tiers, "churn_rate_pct").orderBy("bucket_order")
+    return mark_above_mean(tiers, "churn_rate_pct", few=True).orderBy("bucket_order")
 
 
 def channel_stats(customers: DataFrame) -> DataFrame:
@@ -186,7 +199,7 @@ def churn_by_spend_quartile(customers: DataFrame) -> DataFrame:
     quartiles = _by_label(
         customers.withColumn("spend_quartile", label), _label_bins(SPEND_QUARTILES), "spend_quartile"
     )
-    return mark_above_mean(quartiles, "churn_rate_pct").orderBy("bucket_order")
+    return mark_above_mean(quartiles, "churn_rate_pct", few=True).orderBy("bucket_order")
 
 
 def top_spender_churn(customers: DataFrame) -> DataFrame:
@@ -224,7 +237,7 @@ def churn_by_primary_category(customers: DataFrame, primary: DataFrame) -> DataF
 
 def churn_by_age(customers: DataFrame) -> DataFrame:
     grouped = churn_by_bins(customers, "age", AGE, "age_group")
-    return mark_above_mean(grouped, "churn_rate_pct").orderBy("bucket_order")
+    return mark_above_mean(grouped, "churn_rate_pct", few=True).orderBy("bucket_order")
 
 
 def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -238,7 +251,7 @@ def churn_by_top_countries(customers: DataFrame, k: int = 8) -> DataFrame:
     largest = top_values(customers, "country", k).select("country")
     # k rows at most: safe to broadcast.
     members = customers.join(F.broadcast(largest), "country", "left_semi")
-    return mark_above_mean(churn_rate_by(members, "country"), "churn_rate_pct").orderBy(
+    return mark_above_mean(churn_rate_by(members, "country"), "churn_rate_pct", few=True).orderBy(
         "churn_rate_pct", "country"
     )
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import clean_customers, clean_monthly_revenue, clean_orders
+from tidemark.operators.correlation import correlation_input, target_correlations
 from tidemark.operators.features import build_features
 from tidemark.operators.risk import predictions_from
 from tidemark.session import settle
-from tidemark.sources.star_schema import StarSchema
+from tidemark.sources.star_schema import LINE_DERIVED, StarSchema
 
 RULE_COLUMNS = ("age", "total_orders", "total_spend_usd", "avg_review_score")
 CUSTOMER_COLUMNS = (
@@ -20,6 +21,11 @@ CUSTOMER_COLUMNS = (
     "wishlist_items", "newsletter_subscribed", "churned",
 )
 # Order columns behind the risk score; the others need not be computed for it.
+RISK_CUSTOMER_COLUMNS = (
+    "customer_id", "membership_tier", "total_orders", "total_spend_usd",
+    "days_since_last_purchase", "reviews_given", "avg_review_score", "wishlist_items",
+    "newsletter_subscribed", "customer_tenure_days",
+)
 RISK_ORDER_COLUMNS = ("order_id", "customer_id", "category", "total_amount_usd", "discount_pct", "returned")
 
 
@@ -59,27 +65,37 @@ class Inputs:
     def products(self) -> DataFrame:
         return self.star.product_summary()
 
+    def store_orders(self) -> None:
+        """Store the order lines, for plans that would otherwise join them several times."""
+        if self.star.stored_orders is None:
+            self.star.stored_orders = settle(self.star.orders(), "orders")
+
     def features(self) -> DataFrame:
-        """The full feature table."""
+        """The full feature table; customers, ratings and rollup share one stored line join."""
+        self.store_orders()
         return build_features(settle(self.customers(), "customers"), self.orders())
 
+    def risk_scored(self, *columns: str) -> tuple[DataFrame, DataFrame]:
+        """Stored customers holding ``columns``, and their features up to the risk score."""
+        if LINE_DERIVED & set(columns):
+            self.store_orders()
+        customers = self.settled_customers(*dict.fromkeys(RISK_CUSTOMER_COLUMNS + columns))
+        return customers, build_features(customers, self.orders(*RISK_ORDER_COLUMNS))
+
     def risk_scores(self) -> DataFrame:
-        """Customer key and rule-based risk score."""
-        customers = self.settled_customers(
-            "customer_id", "membership_tier", "total_orders", "total_spend_usd",
-            "days_since_last_purchase", "reviews_given", "avg_review_score", "wishlist_items",
-            "newsletter_subscribed", "customer_tenure_days", "churned",
-        )
-        features = build_features(customers, self.orders(*RISK_ORDER_COLUMNS))
-        return features.select("customer_id", "churned", "churn_risk_score")
+        """Label and rule-based risk score, stored: the quality reports read them repeatedly."""
+        _, features = self.risk_scored("churned")
+        return settle(features.select("customer_id", "churned", "churn_risk_score"), "scores")
+
+    def scored(self, *columns: str) -> tuple[DataFrame, DataFrame]:
+        """Customers with ``columns``, and predictions with the risk score as probability."""
+        customers, features = self.risk_scored(*columns)
+        return customers, predictions_from(features, "churn_risk_score", 0.5, "risk_score")
 
     def predictions(self) -> DataFrame:
-        """Prediction table with the risk score as probability."""
-        return predictions_from(self.risk_scores(), "churn_risk_score", 0.5, "risk_score")
+        return self.scored()[1]
 
-    def importance(self) -> DataFrame:
+    def importance(self, customers: DataFrame | None = None) -> DataFrame:
         """Stand-in attribution: absolute correlation with the label."""
-        from tidemark.operators.correlation import correlation_input, target_correlations
-
-        correlations = target_correlations(correlation_input(self.customers()))
+        correlations = target_correlations(correlation_input(customers or self.customers()))
         return correlations.select("feature", F.abs("r").alias("mean_abs_shap"))

@@ -14,6 +14,7 @@ from tidemark.ml import curve
 from tidemark.operators import commerce, correlation, features, profiling, risk, segments
 from tidemark.operators.cleaning import rejected_customers
 from tidemark.plans.inputs import CUSTOMER_COLUMNS, Inputs
+from tidemark.session import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[Inputs], DataFrame]
@@ -51,8 +52,9 @@ def _totals(i: Inputs) -> DataFrame:
 
 
 def _relationships(i: Inputs) -> DataFrame:
+    customers, predictions = i.scored()
     return profiling.relationship_check(
-        i.customers("customer_id"), i.star.orders(), i.predictions()
+        customers, i.star.orders(), settle(predictions.select("customer_id"), "predictions")
     )
 
 
@@ -112,7 +114,7 @@ def _histogram(column: str, bins: int, upper: float | None, by_class: bool = Tru
 
 def _scored(plan: Callable[[DataFrame, DataFrame], DataFrame], *columns: str) -> Plan:
     """A report over customers and predictions."""
-    return lambda i: plan(i.customers("customer_id", *columns), i.predictions())
+    return lambda i: plan(*i.scored(*columns))
 
 
 def _loss_by(key: str) -> Plan:
@@ -120,11 +122,14 @@ def _loss_by(key: str) -> Plan:
 
 
 def _insights(i: Inputs) -> DataFrame:
-    return risk.insight_report(i.settled_customers(), i.predictions(), i.importance(), 0.5)
+    customers, predictions = i.scored(*CUSTOMER_COLUMNS)
+    predictions = settle(predictions, "predictions")
+    return risk.insight_report(customers, predictions, i.importance(customers), 0.5)
 
 
 def _report(i: Inputs) -> DataFrame:
-    scored = i.predictions().join(i.customers("customer_id", "churned"), "customer_id")
+    customers, predictions = i.scored("churned")
+    scored = predictions.join(customers.select("customer_id", "churned"), "customer_id")
     return curve.classification_report(scored, "churned", "predicted_churn")
 
 

@@ -24,6 +24,22 @@ HORIZON_DAYS = 365
 LINE_DERIVED = frozenset({"returns_made", "preferred_category"})
 
 
+# Column types of the star-schema tables.
+SOURCES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+}
+
+
 class StarSchema:
     """Lazy access to the derived tables of one star-schema folder."""
 
@@ -38,9 +54,10 @@ class StarSchema:
         self.folder = folder.rstrip("/")
         self.snapshot = snapshot
         self.horizon_days = horizon_days
+        self.stored_orders: DataFrame | None = None
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @property
     def _cutoff(self) -> Column:
@@ -53,7 +70,12 @@ class StarSchema:
         return self.source("orders").where(F.col("o_orderdate") < bound)
 
     def orders(self) -> DataFrame:
-        """One row per order line placed before the snapshot."""
+        """One row per order line placed before the snapshot.
+
+        Plans that read the lines several times set ``stored_orders`` to a stored copy first.
+        """
+        if self.stored_orders is not None:
+            return self.stored_orders
         heads = self._past_orders.select(
             "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("_d")
         )
@@ -87,32 +109,30 @@ class StarSchema:
             )
         )
 
-    def _order_history(self) -> DataFrame:
+    def _order_history(self, with_priority: bool) -> DataFrame:
         """Per customer, from order heads: history measures and the label's later orders.
 
-        Counted per (customer, priority) first, so that one pass also gives the usual priority
-        and a customer with very many orders is reduced before its rows meet in one task.
+        For the usual priority, orders are counted per (customer, priority) first: the same pass
+        then gives all measures.
         """
         start = dt.datetime.combine(self.snapshot, dt.time())
         end = F.lit(start + dt.timedelta(days=self.horizon_days)).cast("timestamp_ntz")
         past = F.col("o_orderdate") < F.lit(start).cast("timestamp_ntz")
         day = F.col("o_orderdate").cast("date")
-        per_priority = (
-            self.source("orders")
-            .where(F.col("o_orderdate") < end)
-            .groupBy("o_custkey", "o_orderpriority")
-            .agg(
-                F.count_if(past).alias("n_past"),
-                F.count_if(~past).alias("n_later"),
-                F.sum(F.when(past, F.col("o_totalprice").cast("decimal(14,2)"))).alias("spend"),
-                F.min(F.when(past, day)).alias("first_day"),
-                F.max(F.when(past, day)).alias("last_day"),
-            )
-        )
-        return per_priority.groupBy(F.col("o_custkey").alias("h_custkey")).agg(
-            F.sum("n_past").alias("n_past"),
-            F.sum("n_later").alias("n_later"),
-            F.sum("spend").alias("spend"),
+        orders = self.source("orders").where(F.col("o_orderdate") < end)
+        measures = [
+            F.count_if(past).alias("n_past"),
+            F.count_if(~past).alias("n_later"),
+            F.sum(F.when(past, F.col("o_totalprice").cast("decimal(14,2)"))).alias("spend"),
+            F.min(F.when(past, day)).alias("first_day"),
+            F.max(F.when(past, day)).alias("last_day"),
+        ]
+        key = F.col("o_custkey").alias("h_custkey")
+        if not with_priority:
+            return orders.groupBy(key).agg(*measures)
+        per_priority = orders.groupBy("o_custkey", "o_orderpriority").agg(*measures)
+        return per_priority.groupBy(key).agg(
+            *[F.sum(c).alias(c) for c in ("n_past", "n_later", "spend")],
             F.min("first_day").alias("first_day"),
             F.max("last_day").alias("last_day"),
             _most_frequent("o_orderpriority", "n_past").alias("usual_priority"),
@@ -120,25 +140,24 @@ class StarSchema:
 
     def _line_history(self) -> DataFrame:
         """Per customer, from order lines: returns and the most bought category."""
-        heads = self._past_orders.select("o_orderkey", "o_custkey")
-        parts = self.source("part").select("p_partkey", "p_type")
         per_category = (
-            self.source("lineitem")
-            .join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("o_custkey", "p_type")
-            .agg(rows().alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("returns"))
+            self.orders()
+            .groupBy("customer_id", "category")
+            .agg(rows().alias("n"), F.sum("returned").alias("returns"))
         )
-        return per_category.groupBy(F.col("o_custkey").alias("l_custkey")).agg(
-            F.sum("returns").alias("returns"), _most_frequent("p_type", "n").alias("usual_category")
+        return per_category.groupBy(F.col("customer_id").alias("l_custkey")).agg(
+            F.sum("returns").alias("returns"),
+            _most_frequent("category", "n").alias("usual_category"),
         )
 
     def customers(self, *wanted: str) -> DataFrame:
         """One row per customer. Naming the wanted columns avoids joining order lines for nothing."""
+        with_priority = not wanted or "preferred_payment_method" in wanted
+        history = self._order_history(with_priority)
         base = (
             self.source("customer")
             .join(self.source("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .join(self._order_history(), F.col("c_custkey") == F.col("h_custkey"), "left")
+            .join(history, F.col("c_custkey") == F.col("h_custkey"), "left")
         )
         key = F.col("c_custkey")
         balance = F.col("c_acctbal")
@@ -157,7 +176,6 @@ class StarSchema:
             "preferred_device": F.when((key * 7) % 3 == 0, "mobile")
             .when((key * 7) % 3 == 1, "desktop")
             .otherwise("tablet"),
-            "preferred_payment_method": F.col("usual_priority"),
             "acquisition_channel": F.col("c_mktsegment"),
             "total_orders": n_past.cast("int"),
             "total_spend_usd": spend,
@@ -169,6 +187,8 @@ class StarSchema:
             "newsletter_subscribed": (key % 2).cast("int"),
             "churned": (F.coalesce(F.col("n_later"), F.lit(0)) == 0).cast("int"),
         }
+        if with_priority:
+            columns["preferred_payment_method"] = F.col("usual_priority")
         if not wanted or LINE_DERIVED & set(wanted):
             base = base.join(self._line_history(), key == F.col("l_custkey"), "left")
             columns["returns_made"] = F.coalesce(F.col("returns"), F.lit(0)).cast("int")
