@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.lookup import attach
+from tidemark.functions.lookup import attach, inline_if_small
 from tidemark.ml.attribution import driver_importance
 from tidemark.ml.candidates import Settings, estimators
 from tidemark.ml.curve import area_under_roc, best_threshold, classification_report
@@ -59,15 +59,24 @@ def model_columns(features: DataFrame) -> DataFrame:
     return features.select(KEY, TARGET, *numeric, *categorical).where(F.col(TARGET).isNotNull())
 
 
+ROWS_PER_PARTITION = 20_000
+
+
 def _prepared(train: DataFrame, *others: DataFrame) -> tuple[PipelineModel, list[DataFrame]]:
-    """Fit the preparation on ``train``; return it with narrow, cached model inputs."""
+    """Fit the preparation on ``train``; return it with narrow, cached model inputs.
+
+    Fits read the training rows hundreds of times, so small data is packed into few partitions;
+    large data keeps the partitioning it arrives in.
+    """
     preparation = fit_preparation(train, *_columns(train))
-    weights = class_weights(train, TARGET).drop("customers")
-    weighted = attach(preparation.transform(train), weights, [TARGET], "inner")
+    weights, _ = inline_if_small(class_weights(train, TARGET))
+    n = weights.agg(F.sum("customers")).first()[0]
+    weighted = attach(preparation.transform(train), weights.drop("customers"), [TARGET], "inner")
     label = F.col(TARGET).cast("double").alias("label")
     frames = [weighted.select(KEY, label, VECTOR, "balanced_weight", "boosting_weight")]
     frames += [preparation.transform(df).select(KEY, label, VECTOR) for df in others]
-    return preparation, [f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
+    packed = max(1, n // ROWS_PER_PARTITION)
+    return preparation, [f.coalesce(packed).persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
 
 
 def _fit_all(settings: Settings, train: DataFrame) -> dict:

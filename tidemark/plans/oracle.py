@@ -750,4 +750,23 @@ def all_oracles() -> dict[str, str]:
           AS boosting_weight
         FROM (SELECT churned, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total FROM customers
           GROUP BY churned)""")
+
+    # -- storage
+    add("csv_reload", f"""SELECT category, {COUNT} AS orders, {big("SUM(returned)")} AS returned,
+        {tot("total_amount_usd")} AS revenue, MIN(order_date) AS first_order
+        FROM raw_orders GROUP BY category""")
+    published = [("customers", "customers"), ("orders", "clean_orders"),
+                 ("monthly_revenue", "revenue"), ("product_summary", "products")]
+    add("published_rows", " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, {COUNT} AS row_count FROM {t}" for n, t in published))
+
+    # -- events
+    add("dormancy_spells", """SELECT user_id AS customer_id, MIN(ts) AS active_from, MAX(ts) AS last_event,
+        MAX(ts) + INTERVAL 12 HOUR AS dormant_at, CAST(COUNT(*) AS BIGINT) AS events
+        FROM (SELECT user_id, ts, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS spell FROM (
+          SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+            + INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh FROM events WHERE user_id IS NOT NULL))
+        GROUP BY user_id, spell
+        HAVING MAX(ts) + INTERVAL 12 HOUR <= (SELECT MAX(ts) FROM events)""")
+    add("return_follow_ups", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error'")
     return q
