@@ -32,6 +32,7 @@ def _rows(names, rows):
 
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
 }
 
 

@@ -27,17 +27,18 @@ def dormancy(
     which keeps a customer with very many events cheap.
     """
     source = events.withWatermark(ts, lateness) if events.isStreaming else events
+    # The ends of a spell come from its events, not from the window column: that column is a
+    # grouping key, and a filter on it would be moved below the merging of sessions.
     return (
         source.where(F.col(key).isNotNull())
         .groupBy(key, F.session_window(ts, gap).alias("spell"))
-        .agg(F.count(F.lit(1)).alias("events"), F.max(ts).alias("last_event"))
-        .select(
-            key,
-            F.col("spell.start").alias("active_from"),
-            "last_event",
-            F.col("spell.end").alias("dormant_at"),
-            "events",
+        .agg(
+            F.min(ts).alias("active_from"),
+            F.max(ts).alias("last_event"),
+            (F.max(ts) + F.expr(f"INTERVAL '{gap}'")).alias("dormant_at"),
+            F.count(F.lit(1)).alias("events"),
         )
+        .drop("spell")
     )
 
 
