@@ -56,8 +56,12 @@ class Inputs:
         return settle(self.customers(*columns), "customers")
 
     def orders(self, *columns: str) -> DataFrame:
-        raw = self.star.orders()
-        return clean_orders(raw.select(*columns) if columns else raw)
+        """Cleaned orders. Filling ratings reads the lines twice, so they are joined once and stored."""
+        lines = self.star.orders()
+        narrow = lines.select(*columns) if columns else lines
+        if "customer_rating" in narrow.columns and self.star.stored_orders is None:
+            narrow = settle(narrow, "orders")
+        return clean_orders(narrow)
 
     def revenue(self) -> DataFrame:
         return clean_monthly_revenue(self.star.monthly_revenue())

@@ -26,6 +26,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[Inputs], DataFrame]
 
 SPEND = ("total_spend_usd", "churned")
+CATEGORY_COLUMNS = ("order_id", "category", "total_amount_usd", "customer_rating", "returned")
+ROLLUP_COLUMNS = CATEGORY_COLUMNS + (
+    "customer_id", "discount_pct", "delivery_days", "session_duration_minutes",
+    "pages_viewed_before_purchase",
+)
 
 
 def _first_customers(i: Inputs) -> DataFrame:
@@ -301,7 +306,9 @@ PLANS: dict[str, Plan] = {
     ),
     "revenue_trend": lambda i: commerce.revenue_trend(i.revenue()),
     "revenue_per_user": lambda i: commerce.revenue_per_user(commerce.revenue_trend(i.revenue())),
-    "category_performance": lambda i: commerce.category_performance(i.orders()),
+    "category_performance": lambda i: commerce.category_performance(
+        i.orders(*CATEGORY_COLUMNS, "discount_pct", "delivery_days")
+    ),
     "order_status_funnel": lambda i: commerce.order_status_funnel(i.star.orders()),
     "device_payment_matrix": lambda i: segments.device_payment_matrix(
         i.customers("preferred_device", "preferred_payment_method", *SPEND)
@@ -343,13 +350,13 @@ PLANS: dict[str, Plan] = {
     "churn_by_primary_category": lambda i: segments.churn_by_primary_category(
         i.customers("customer_id", "churned"), features.primary_category(i.star.orders())
     ),
-    "category_returns": lambda i: commerce.category_returns(i.orders()),
+    "category_returns": lambda i: commerce.category_returns(i.orders(*CATEGORY_COLUMNS)),
     "most_returned_category": lambda i: commerce.most_returned_categories(i.star.orders()),
     "rolling_revenue": lambda i: commerce.rolling_revenue(i.star.monthly_revenue()),
     "annual_summary": lambda i: commerce.annual_summary(i.star.monthly_revenue()),
     "annual_unique_customers": lambda i: commerce.annual_unique_customers(i.star.orders()),
-    "category_revenue": lambda i: commerce.category_revenue(i.orders()),
-    "top_categories": lambda i: commerce.top_categories(i.orders()),
+    "category_revenue": lambda i: commerce.category_revenue(i.orders(*CATEGORY_COLUMNS)),
+    "top_categories": lambda i: commerce.top_categories(i.orders(*CATEGORY_COLUMNS)),
     "churn_by_age": lambda i: segments.churn_by_age(i.customers("churned", "age")),
     "top_countries": lambda i: segments.top_values(i.customers("country"), "country", 8),
     "churn_by_top_countries": lambda i: segments.churn_by_top_countries(
@@ -369,7 +376,7 @@ PLANS: dict[str, Plan] = {
     "strongest_correlations": lambda i: correlation.strongest(_targets(i)),
     "collinear_pairs": lambda i: correlation.collinear_pairs(_pairs(i)),
     # features
-    "order_rollup": lambda i: features.order_rollup(i.orders()),
+    "order_rollup": lambda i: features.order_rollup(i.orders(*ROLLUP_COLUMNS)),
     "feature_table": lambda i: i.features(),
     # scored customers
     "prediction_table": lambda i: i.predictions(),
