@@ -104,7 +104,8 @@ def _spend_bins(i: Inputs) -> DataFrame:
 
 
 def _pairs(i: Inputs) -> DataFrame:
-    return correlation.correlation_pairs(correlation.correlation_input(i.customers()))
+    stored = settle(correlation.correlation_input(i.customers()), "correlated")
+    return correlation.correlation_pairs(stored)
 
 
 def _targets(i: Inputs) -> DataFrame:
@@ -370,7 +371,7 @@ PLANS: dict[str, Plan] = {
     "recency_box": lambda i: segments.box_stats(
         i.settled_customers("churned", "days_since_last_purchase"), "days_since_last_purchase"
     ),
-    "correlation_matrix": lambda i: correlation.correlation_matrix(_pairs(i)),
+    "correlation_matrix": lambda i: correlation.correlation_matrix(settle(_pairs(i), "pairs")),
     "correlation_triangle": _pairs,
     "target_correlations": _targets,
     "strongest_correlations": lambda i: correlation.strongest(_targets(i)),
