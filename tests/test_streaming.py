@@ -28,11 +28,11 @@ def test_dormancy_on_a_stream_equals_batch(spark, tmp_path):
         [(7, 3, at(201), "v")],
     ]
     stream = batches(spark, tmp_path, parts)
-    triggers.run_available(triggers.dormancy(stream, gap="12 hours", lateness="2 hours"), str(tmp_path))
+    triggers.run_available(triggers.dormancy(stream, gap=dt.timedelta(hours=12), lateness="2 hours"), str(tmp_path))
     out = spark.read.parquet(f"{tmp_path}/out")
     got = sorted((r["customer_id"], r["last_event"], r["dormant_at"], r["events"]) for r in out.collect())
     everything = spark.createDataFrame(sum(parts, []), SCHEMA)
-    spells = triggers.dormancy(everything, gap="12 hours")
+    spells = triggers.dormancy(everything, gap=dt.timedelta(hours=12))
     expected = triggers.dormant_by_now(spells, F.lit(at(200)))
     assert got == sorted(
         (r["customer_id"], r["last_event"], r["dormant_at"], r["events"]) for r in expected.collect()
@@ -42,7 +42,7 @@ def test_dormancy_on_a_stream_equals_batch(spark, tmp_path):
 
 def test_now_filter_does_not_split_spells(spark):
     rows = [(1, 1, at(0), "v"), (2, 1, at(8), "v")]
-    spells = triggers.dormancy(spark.createDataFrame(rows, SCHEMA), gap="12 hours")
+    spells = triggers.dormancy(spark.createDataFrame(rows, SCHEMA), gap=dt.timedelta(hours=12))
     assert triggers.dormant_by_now(spells, F.lit(at(14))).count() == 0
     assert triggers.dormant_by_now(spells, F.lit(at(20))).first()["events"] == 2
 

@@ -5,43 +5,79 @@ Both take an event DataFrame and work the same way on a stream; dormancy also on
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-DORMANT_AFTER = "180 days"
+DORMANT_AFTER = dt.timedelta(days=180)
 
 
 def dormancy(
     events: DataFrame,
     key: str = "customer_id",
     ts: str = "ts",
-    gap: str = DORMANT_AFTER,
+    gap: dt.timedelta = DORMANT_AFTER,
     lateness: str = "1 day",
 ) -> DataFrame:
     """One row per customer and spell of activity that ended: no event for ``gap`` after it.
 
-    A spell is a session window. On a stream it is emitted once the watermark passes its end,
-    which is the moment the customer became dormant. Sessions are merged per partition before the
-    shuffle where ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is on,
-    which keeps a customer with very many events cheap.
+    On a stream a spell is a session window, emitted once the watermark passes its end: the moment
+    the customer became dormant. The session default merges sessions before the shuffle, which
+    keeps a customer with very many events cheap. A batch is handled without session windows.
     """
-    source = events.withWatermark(ts, lateness) if events.isStreaming else events
+    known = events.where(F.col(key).isNotNull())
+    if not events.isStreaming:
+        return _spells(known, key, ts, gap)
     # The ends of a spell come from its events, not from the window column: that column is a
     # grouping key, and a filter on it would be moved below the merging of sessions.
+    seconds = int(gap.total_seconds())
     return (
-        source.where(F.col(key).isNotNull())
-        .groupBy(key, F.session_window(ts, gap).alias("spell"))
+        known.withWatermark(ts, lateness)
+        .groupBy(key, F.session_window(ts, f"{seconds} seconds").alias("spell"))
         .agg(
             F.min(ts).alias("active_from"),
             F.max(ts).alias("last_event"),
-            (F.max(ts) + F.expr(f"INTERVAL '{gap}'")).alias("dormant_at"),
+            (F.max(ts) + F.expr(f"INTERVAL '{seconds}' SECOND")).alias("dormant_at"),
             F.count(F.lit(1)).alias("events"),
         )
         .drop("spell")
     )
 
 
+def _spells(events: DataFrame, key: str, ts: str, gap: dt.timedelta) -> DataFrame:
+    """Spells of a batch.
+
+    Events in one slice of length ``gap`` always belong to the same spell, so they are reduced to
+    one row per customer and slice before the shuffle. What remains to be ordered per customer is
+    at most the covered time divided by ``gap``, however many events there are.
+    """
+    seconds = int(gap.total_seconds())
+    length = F.expr(f"INTERVAL '{seconds}' SECOND")
+    slices = events.groupBy(
+        key, F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).alias("_slice")
+    ).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_events")
+    )
+    ordered = W.partitionBy(key).orderBy("_slice")
+    fresh = F.coalesce(F.col("_first") >= F.lag("_last").over(ordered) + length, F.lit(True))
+    numbered = slices.withColumn("_fresh", fresh.cast("int")).withColumn(
+        "_spell", F.sum("_fresh").over(ordered)
+    )
+    return (
+        numbered.groupBy(key, "_spell")
+        .agg(
+            F.min("_first").alias("active_from"),
+            F.max("_last").alias("last_event"),
+            (F.max("_last") + length).alias("dormant_at"),
+            F.sum("_events").alias("events"),
+        )
+        .drop("_spell")
+    )
+
+
 def dormant_by_now(spells: DataFrame, now) -> DataFrame:
     """Batch counterpart of the watermark: the spells that ended by ``now``."""
     return spells.where(F.col("dormant_at") <= now)
