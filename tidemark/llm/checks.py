@@ -2,4 +2,41 @@
 
 from __future__ import annotations
 
-CHECKS: dict[str, str] = {}
+OP3 = r"""
+WITH sizes AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key
+  FROM documents),
+totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM sizes GROUP BY source),
+weighted AS (
+  SELECT *, CAST([3, 1, 2][CAST((rank - 1) % 3 + 1 AS INT)] AS DOUBLE) AS weight, 2.0::DOUBLE * source_size AS most,
+         1.5::DOUBLE * sum(source_size) OVER () AS goal
+  FROM totals),
+levels AS (
+  SELECT a.most / a.weight AS full_at, any_value(a.goal) AS goal,
+         coalesce(sum(b.most) FILTER (b.most / b.weight < a.most / a.weight), 0) AS closed,
+         sum(b.weight) FILTER (b.most / b.weight >= a.most / a.weight) AS open_weight,
+         sum(least(b.most, b.weight * (a.most / a.weight))) AS sent
+  FROM (SELECT DISTINCT most, weight, goal FROM weighted) a, weighted b GROUP BY ALL),
+level AS (
+  SELECT min_by((goal - closed) / open_weight, full_at) AS level FROM levels
+  WHERE sent >= goal * (1 - 1e-12)),
+targets AS (SELECT w.*, least(most, weight * (SELECT level FROM level)) AS target FROM weighted w),
+sent AS (
+  SELECT s.*, t.rank, t.weight, t.source_size, t.goal, t.target,
+         CAST(sum(size) OVER (PARTITION BY t.rank ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sent
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+queued AS (
+  SELECT doc_id, rank, key, size, goal, weight, target, sent / weight AS finish FROM sent
+  UNION ALL SELECT doc_id, rank, key, size, goal, weight, target, (source_size + sent) / weight FROM sent),
+served AS (
+  SELECT doc_id, size, goal, finish * weight - size / 2 <= target AS nearer,
+         sum(size) OVER (ORDER BY finish, rank, key ROWS UNBOUNDED PRECEDING) - size / 2 AS middle
+  FROM queued),
+times AS (SELECT doc_id, CAST(sum(CASE WHEN middle <= goal OR nearer THEN size ELSE 0 END) AS BIGINT) AS taken FROM served GROUP BY doc_id)
+SELECT doc_id, size, source_size, target, taken FROM sent JOIN times USING (doc_id)
+"""
+
+CHECKS: dict[str, str] = {"op3_mixing": OP3}

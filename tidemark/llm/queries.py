@@ -5,17 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+from tidemark.llm.bpe import decode_documents, encode_documents
 from tidemark.llm.checks import CHECKS
-from tidemark.llm.common import table
+from tidemark.llm.common import fold, table
+from tidemark.llm.langid import predict_languages, train_language_model
+from tidemark.llm.mixing import mix_report
 from tidemark.llm.quality import quality_report
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return quality_report(table(spark, folder, "documents")).select("doc_id", *counts, "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality,)}
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    report = mix_report(table(spark, folder, "documents"))
+    return report.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = train_language_model(documents.filter(fold("doc_id", 4) != 2))
+    found = predict_languages(documents, model)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = encode_documents(table(spark, folder, "documents"), path, pattern)
+    return decode_documents(encoded, path, pattern).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op3_mixing, op5_language, op6_bpe)}
 
 
 def all_checks() -> dict[str, str]:
