@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
+from tidemark.llm import chat
 from tidemark.llm.bpe import decode_documents, encode_documents
 from tidemark.llm.checks import CHECKS
 from tidemark.llm.common import fold, table
+from tidemark.llm.html_content import extract_pages
 from tidemark.llm.langid import predict_languages, train_language_model
 from tidemark.llm.mixing import mix_report
 from tidemark.llm.quality import quality_report
+from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.token_files import read_files, write_files
 
+WORD_PIECES = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -21,6 +30,36 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents")).select("doc_id", *counts, "base_failed", "kept")
 
 
+CHAT_DIGEST = (
+    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+)
+
+
+def chat_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digest columns read back from formatted conversations."""
+    sha = lambda text: hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    for batch in batches:
+        out = []
+        for own, formatted, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            turns, loss = chat.read_turns(formatted), chat.read_loss(formatted, spans)
+            digest = sha("".join(f"{role}\n{text}\n" for role, text in turns))
+            out.append((own, len(turns), digest, len(loss), sha(loss), len(formatted)))
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        columns = [pa.array([row[k] for row in out], kind) for k, kind in enumerate(kinds)]
+        names = [part.split()[0] for part in CHAT_DIGEST.split(", ")]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.format_conversations(turns).mapInArrow(chat_digest, CHAT_DIGEST)
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     report = mix_report(table(spark, folder, "documents"))
     return report.select("doc_id", "size", "source_size", "target", "taken")
@@ -41,7 +80,19 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_mixing, op5_language, op6_bpe)}
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return read_files(write_files(table(spark, folder, "documents"), public_tokenizers.path(WORD_PIECES)))
+
+
+def op10_html(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_chat, op3_mixing, op5_language, op6_bpe, op7_simhash, op9_token_files, op10_html)}
 
 
 def all_checks() -> dict[str, str]:
