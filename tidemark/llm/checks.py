@@ -39,4 +39,16 @@ times AS (SELECT doc_id, CAST(sum(CASE WHEN middle <= goal OR nearer THEN size E
 SELECT doc_id, size, source_size, target, taken FROM sent JOIN times USING (doc_id)
 """
 
-CHECKS: dict[str, str] = {"op3_mixing": OP3}
+OP8 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+CHECKS: dict[str, str] = {"op3_mixing": OP3, "op8_top_products": OP8}

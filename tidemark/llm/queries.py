@@ -17,6 +17,7 @@ from tidemark.llm.common import fold, table
 from tidemark.llm.html_content import extract_pages
 from tidemark.llm.langid import predict_languages, train_language_model
 from tidemark.llm.mixing import mix_report
+from tidemark.llm.mtree import top_products
 from tidemark.llm.quality import quality_report
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_files import read_files, write_files
@@ -84,6 +85,15 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    found = top_products(
+        table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, vector=F.when(usable, whole)
+    )
+    return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_files(write_files(table(spark, folder, "documents"), public_tokenizers.path(WORD_PIECES)))
 
@@ -92,7 +102,7 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_chat, op3_mixing, op5_language, op6_bpe, op7_simhash, op9_token_files, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_chat, op3_mixing, op5_language, op6_bpe, op7_simhash, op8_top_products, op9_token_files, op10_html)}
 
 
 def all_checks() -> dict[str, str]:
