@@ -20,6 +20,7 @@ from tidemark.llm.mixing import mix_report
 from tidemark.llm.mtree import top_products
 from tidemark.llm.quality import quality_report
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.suffix_tree import score_texts
 from tidemark.llm.token_files import read_files, write_files
 
 WORD_PIECES = "word_bpe_49k.json"
@@ -66,6 +67,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return report.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"), fold("doc_id", 5) != 1)
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = train_language_model(documents.filter(fold("doc_id", 4) != 2))
@@ -102,7 +107,7 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_chat, op3_mixing, op5_language, op6_bpe, op7_simhash, op8_top_products, op9_token_files, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_chat, op3_mixing, op4_suffix_tree, op5_language, op6_bpe, op7_simhash, op8_top_products, op9_token_files, op10_html)}
 
 
 def all_checks() -> dict[str, str]:
