@@ -20,6 +20,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import runs
-from tidemark.llm.common import Words, bound_batches, codes_of, shuffle_parts, store, text_slices
+from tidemark.llm.common import LOWER, Words, bound_batches, codes_of, packed, shuffle_parts, store, text_slices
 from tidemark.session import shared_dir
 
 MAGIC = b"TIDEIDS1"
 FOOTER = "<QQQQQQB7x8s"  # ids, documents, ids' bytes, id list's bytes, low's, high's, id width, magic
 SAMPLE = 512
-WORD_CACHE = 400_000  # words whose ids a worker remembers; on overflow it starts anew
+WORD_CACHE = 400_000  # words whose ids a worker remembers, in each of two generations
+IS_WORD = np.zeros(256, dtype=bool)
+IS_WORD[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = True
+IS_TAIL = np.zeros(256, dtype=bool)
+IS_TAIL[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
 
 class EliasFano:
@@ -88,34 +93,69 @@ def tokenizer(path: str):
 
 
 class WordEncoder:
-    """Ids of slices of text, one distinct word at a time."""
+    """Ids of slices of text, one distinct word at a time.
+
+    Words are lower-cased (A-Z) as the tokenizer would, and cut before a final run of ASCII punctuation
+    that follows a letter or digit, where its rules cut too; fewer distinct words remain to be encoded.
+    Ids are remembered in two generations: when the younger is full it becomes the older, and what is
+    used again returns to the younger.
+    """
 
     def __init__(self, path: str, end_id: int):
         self.model, self.end_id = tokenizer(path), end_id
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows, limits of the rows)."""
-        words = Words(data, offsets)
-        codes, kinds = codes_of(words.arrow(data))
-        kinds = kinds.to_pylist()
-        if len(self.known) > WORD_CACHE:
-            self.known = {}
-        new = [w for w in kinds if w not in self.known]
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _cut(self, low: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(length of every piece of a word, number of pieces before each row)."""
+        solid = np.maximum.accumulate(np.where(IS_TAIL[low], -1, np.arange(len(low))))
+        last = solid[words.ends - 1]  # the last byte that is no punctuation
+        cut = np.flatnonzero((last >= words.starts) & (last < words.ends - 1))
+        before = low[last[cut]]
+        latin = (low[np.maximum(last[cut] - 1, 0)] == 0xC3) & ((before & 0xC0) == 0x80) & ((before & 0x1F) != 0x17)
+        cut = cut[IS_WORD[before] | latin]
+        lengths = np.insert(words.ends - words.starts, cut + 1, words.ends[cut] - last[cut] - 1)
+        lengths[cut + np.arange(len(cut))] = last[cut] + 1 - words.starts[cut]
+        return lengths, words.first + np.searchsorted(cut, words.first)
+
+    def _ids(self, kinds: list[bytes]) -> list[bytes]:
+        if len(self.young) > WORD_CACHE:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for w in kinds:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    new.append(w)
         for a in range(0, len(new), 10_000):
             part = new[a : a + 10_000]
             found = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update(zip(part, (np.array(x.ids, self.kind).tobytes() for x in found)))
-        own = [self.known[w] for w in kinds]
+            lists = [x.ids for x in found]
+            raw = np.array(list(chain.from_iterable(lists)), self.kind).tobytes()
+            ends = list(accumulate(map(len, lists), initial=0))
+            size = self.kind.itemsize
+            young.update(zip(part, (raw[x * size : y * size] for x, y in pairwise(ends))))
+        return [young[w] for w in kinds]
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, limits of the rows)."""
+        low = LOWER[data]
+        words = Words(low, offsets)
+        lengths, first = self._cut(low, words) if len(low) else (words.counts[:0], words.first)
+        codes, kinds = codes_of(packed(low[words.inside], lengths))
+        own = self._ids(kinds.to_pylist())
         sizes = np.fromiter(map(len, own), np.int64, len(own)) // self.kind.itemsize
         table = np.frombuffer(b"".join(own), self.kind)
         at = np.cumsum(sizes) - sizes
         each = sizes[codes]
         sums = np.concatenate([[0], np.cumsum(each)])
-        limits = sums[words.first] + np.arange(len(offsets))  # an end id after each row
+        limits = sums[first] + np.arange(len(offsets))  # an end id after each row
+        rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
         out = np.full(limits[-1], self.end_id, dtype=self.kind)
-        out[runs(sums[:-1] + words.row, each)] = table[runs(at[codes], each)]
+        out[runs(sums[:-1] + rows, each)] = table[runs(at[codes], each)]
         return out, limits
 
 
