@@ -126,11 +126,12 @@ def test_stored_distances_rule_entries_out():
     rng = np.random.default_rng(8)
     centres = rng.normal(0, 100, (40, 8))
     vectors = np.concatenate([c + rng.normal(0, 1, (100, 8)) for c in centres])
+    vectors = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     tree, met = mtree.MTree(vectors, 32, 1), []
 
-    def scores_of(rows):
+    def counted(rows, products):
         met.extend(rows.tolist())
         return float(np.sqrt(((vectors[met] - vectors[7]) ** 2).sum(axis=1)).min())
 
-    tree.search(vectors[7], scores_of, 1, 1e-9)
+    tree.search(vectors[7], counted, 1e-6)
     assert 7 in met and len(met) < 400

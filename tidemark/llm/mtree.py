@@ -37,7 +37,7 @@ NONE = np.iinfo(np.int64).min
 @dataclass(frozen=True)
 class TreeRules:
     tree_rows: int = 8192  # vectors of a tree, on average
-    page: int = 48  # entries of a page
+    page: int = 256  # entries of a page
     block_rows: int = 512  # queries of a block, on average
     seed: int = 11
 
@@ -47,9 +47,11 @@ class MTree:
 
     def __init__(self, vectors: np.ndarray, page: int, seed: int):
         self.vectors, self.page = vectors, page
+        self.square = float((vectors**2).sum(axis=1).max()) if len(vectors) else 0.0
         self.rng = np.random.default_rng(seed)
-        # per page: child pages (or None for a leaf), rows of the entries, radii, distances to the pivot above
-        self.pages: list[tuple[list[int] | None, np.ndarray, np.ndarray, np.ndarray]] = []
+        # per page: child pages (or None for a leaf), and of its entries the rows, radii, distances to
+        # the pivot above, and vectors
+        self.pages: list[tuple] = []
         self.root = self._load(np.arange(len(vectors)), None) if len(vectors) else None
 
     def _apart(self, rows: np.ndarray, pivot: int | None) -> np.ndarray:
@@ -59,7 +61,8 @@ class MTree:
 
     def _load(self, rows: np.ndarray, pivot: int | None) -> int:
         if len(rows) <= self.page:
-            self.pages.append((None, rows, np.zeros(len(rows)), self._apart(rows, pivot)))
+            own = np.ascontiguousarray(self.vectors[rows])
+            self.pages.append((None, rows, np.zeros(len(rows)), self._apart(rows, pivot), own))
             return len(self.pages) - 1
         count = min(self.page, -(-len(rows) // self.page) * 2)
         pivots = self.rng.choice(rows, count, replace=False)
@@ -75,31 +78,34 @@ class MTree:
             heads[k] = part[((self.vectors[part] - middle) ** 2).sum(axis=1).argmin()]
         radii = np.array([self._apart(part, head).max() for part, head in zip(parts, heads)])
         children = [self._load(part, int(head)) for part, head in zip(parts, heads)]
-        self.pages.append((children, heads, radii, self._apart(heads, pivot)))
+        self.pages.append((children, heads, radii, self._apart(heads, pivot), self.vectors[heads]))
         return len(self.pages) - 1
 
-    def search(self, query: np.ndarray, scores_of, k: int, margin: float) -> None:
-        """Best-first search; ``scores_of(rows)`` takes the rows of leaf entries that may count and
+    def search(self, query: np.ndarray, counted, margin: float) -> None:
+        """Best-first search. ``counted(rows, products)`` takes the leaf entries that may count and
         returns the largest distance that still counts."""
-        most = np.inf
+        most, scale = np.inf, float((query**2).sum()) + self.square
         heap = [(0.0, self.root, 0.0, True)]
         while heap:
             bound, page, above, top = heapq.heappop(heap)
             if bound > most + margin:
                 return
-            children, rows, radii, apart = self.pages[page]
-            least = np.zeros(len(rows)) if top else np.abs(above - apart) - radii
-            open_ = np.flatnonzero(least <= most + margin)
-            if not len(open_):
-                continue
+            children, rows, radii, apart, own = self.pages[page]
+            if not top and most < np.inf:
+                open_ = np.flatnonzero(np.abs(above - apart) - radii <= most + margin)
+                if not len(open_):
+                    continue
+                if len(open_) < len(rows) // 2:
+                    rows, radii, own = rows[open_], radii[open_], own[open_]
+                    children = None if children is None else [children[k] for k in open_]
+            products = own @ query
             if children is None:
-                most = scores_of(rows[open_])
+                most = counted(rows, products)
                 continue
-            real = np.sqrt(((self.vectors[rows[open_]] - query) ** 2).sum(axis=1))
-            for at, d in zip(open_.tolist(), real.tolist()):
-                bound = max(0.0, d - radii[at])
-                if bound <= most + margin:
-                    heapq.heappush(heap, (bound, children[at], d, False))
+            apart = np.sqrt(np.maximum(0.0, scale - 2 * products))
+            least = np.maximum(0.0, apart - radii)
+            for at in np.flatnonzero(least <= most + margin).tolist():
+                heapq.heappush(heap, (float(least[at]), children[at], float(apart[at]), False))
 
 
 def whole_vectors(df: DataFrame, id_col: str, vector: Column) -> DataFrame:
@@ -179,18 +185,19 @@ def search_tree(ids, vectors, query_ids, query_vectors, k, rules) -> list:
         margin = 1e-6 * (1 + np.sqrt(scale))
         best = [np.zeros(0), np.zeros(0, np.int64)]
 
-        def scores_of(rows, best=best, own=own, query=query, scale=scale):
-            rows = rows[ids[rows] != own]
-            score = np.concatenate([best[0], vectors[rows] @ query])
-            held = np.concatenate([best[1], ids[rows]])
-            if len(score) > k:
-                # a null id ranks after all others
-                order = np.lexsort((np.where(held == NONE, np.iinfo(np.int64).max, held), -score))[:k]
-                score, held = score[order], held[order]
-            best[0], best[1] = score, held
-            return np.sqrt(max(0.0, scale - 2 * score.min())) if len(score) == k else np.inf
-
-        tree.search(np.append(query, 0.0), scores_of, k, margin)
+        def counted(rows, products, best=best, own=own, scale=scale):
+            if len(best[0]) == k:  # only what reaches the k-th best can change it
+                good = np.flatnonzero(products >= best[0][-1])
+                rows, products = rows[good], products[good]
+            other = ids[rows] != own
+            score = np.concatenate([best[0], products[other]])
+            held = np.concatenate([best[1], ids[rows[other]]])
+            # a null id ranks after all others
+            order = np.lexsort((np.where(held == NONE, np.iinfo(np.int64).max, held), -score))[:k]
+            best[0], best[1] = score[order], held[order]
+            return np.sqrt(max(0.0, scale - 2 * best[0][-1])) if len(order) == k else np.inf
+
+        tree.search(np.append(query, 0.0), counted, margin)
         if len(best[0]):
             found.append((own, crc32(query.tobytes()), best[1], best[0]))
     return found
