@@ -58,14 +58,23 @@ def test_orders(spark):
     assert [out[k]["is_discounted"] for k in "123"] == [0, 1, 0]
 
 
-def test_orders_with_many_distinct_ratings(spark, monkeypatch):
-    """The path for continuous ratings gives the same result as the path for a rating scale."""
-    df = spark.createDataFrame(order_rows(), ORDERS)
-    small = cleaning.clean_orders(df).collect()
-    monkeypatch.setattr(cleaning, "inline_if_small", lambda frame, *_: (frame, False))
-    assert sorted(cleaning.clean_orders(df).collect(), key=lambda r: r["order_id"]) == sorted(
-        small, key=lambda r: r["order_id"]
+def test_category_totals_fill_like_the_rows(spark):
+    """The one-pass report and the row-wise cleaning agree on the filled ratings."""
+    from tidemark.operators import commerce
+
+    df = spark.createDataFrame(order_rows(), ORDERS).withColumns(
+        {"total_amount_usd": F.lit(2.5), "returned": F.lit(0)}
     )
+    means = cleaning.clean_orders(df).groupBy("category").agg(F.sum("customer_rating").alias("s"), F.count("*").alias("n"))
+    expected = {r["category"]: (r["s"], r["n"]) for r in means.collect()}
+    got = {r["category"]: (r["rating_sum"], r["n"]) for r in commerce.category_totals(df).collect()}
+    assert got == expected
+
+
+def test_tenure_counts_whole_days(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 12:00:00' AS a, date'2024-01-01' AS b, CAST(NULL AS TIMESTAMP) AS c")
+    end = dt.date(2026, 4, 1)
+    assert df.select(*[cleaning.whole_days(F.col(c), end) for c in "abc"]).first()[:] == (820, 821, None)
 
 
 def test_month_over_month_pads_gaps_and_orders_by_period(spark):

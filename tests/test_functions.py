@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import binning as b
-from tidemark.functions.lookup import attach, inline_if_small
+from tidemark.functions.lookup import attach
 from tidemark.functions.numeric import clip, flag, mean, round_half_away, round_half_even
 from tidemark.functions.quantiles import exact_quantiles, order_statistics, quantiles_of_counts
 from tidemark.functions.running import running_totals
@@ -133,10 +133,14 @@ def test_running_totals_equal_brute_force(spark):
     np.testing.assert_array_equal(got.m_above, points[::-1].cumsum()[::-1] - points)
 
 
-def test_lookup_broadcasts_only_when_small(spark):
+def test_lookup_is_joined_whole(spark):
     rows = spark.range(100).withColumn("k", F.col("id") % 5)
     lookup = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert inline_if_small(lookup, 5)[1] and not inline_if_small(lookup, 4)[1]
-    for limit in (4, 5):
-        joined = attach(rows, lookup, ["k"], max_rows=limit)
-        assert joined.where("w = 2 * k").count() == 100
+    assert attach(rows, lookup, ["k"]).where("w = 2 * k").count() == 100
+
+
+def test_rounding_leaves_huge_values_alone(spark):
+    row = spark.range(1).select(
+        round_half_away(F.lit(2e17), 2), round_half_away(F.lit(-3e13), 6), round_half_away(F.lit(1e15 + 0.5), 0)
+    ).first()
+    assert row[:] == (2e17, -3e13, 1e15 + 1)

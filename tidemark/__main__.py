@@ -4,12 +4,21 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from tidemark.ml.candidates import Settings
 from tidemark.plans import library
 from tidemark.session import build_session
 from tidemark.sources import publish
 
 
+def print_all(report: DataFrame) -> None:
+    """Every row, tab-separated, a partition at a time."""
+    print("\t".join(report.columns))
+    for row in report.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark")
     steps = parser.add_subparsers(dest="step", required=True)
@@ -22,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     query = steps.add_parser("query", help="show a named business query")
     query.add_argument("folder")
     query.add_argument("name", choices=sorted(library.LIBRARY))
+    query.add_argument("--out", help="write all rows there as CSV instead of printing them")
     export = steps.add_parser("export", help="write tables and views as CSV for BI tools")
     export.add_argument("folder")
     export.add_argument("out")
@@ -38,13 +48,17 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "query":
         scored = args.name in ("at_risk_list", "top_drivers", "risk_tier_revenue")
         library.open_tables(spark, args.folder, scored)
-        library.LIBRARY[args.name](spark).show(100, truncate=False)
+        report = library.LIBRARY[args.name](spark)
+        if args.out:
+            report.write.mode("overwrite").option("header", True).csv(args.out)
+        else:
+            print_all(report)
     elif args.step == "export":
         library.open_tables(spark, args.folder, scored=True)
         publish.export_csv(spark, args.out)
     else:
         tables = library.open_tables(spark, args.folder, scored=True)
-        publish.audit_columns(spark, tables).show(200, truncate=False)
+        print_all(publish.audit_columns(spark, tables))
 
 
 if __name__ == "__main__":

@@ -1,32 +1,16 @@
-"""Joins against a lookup whose size is checked before it is broadcast."""
+"""Joins against a lookup that is evaluated once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-MAX_LOOKUP_ROWS = 20_000
+from tidemark.session import settle
 
 
-def inline_if_small(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> tuple[DataFrame, bool]:
-    """Evaluate ``df`` once if it has at most ``max_rows`` rows.
+def attach(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join ``rows`` to ``lookup``, which is stored first.
 
-    Returns the rows as a local relation and True, or the untouched plan and False. Never more
-    than ``max_rows + 1`` rows reach the driver.
+    The stored copy is computed once and has a known size, by which the optimizer chooses between a
+    broadcast and a shuffled join; the result is the same either way.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df, False
-    return df.sparkSession.createDataFrame(head, df.schema), True
-
-
-def attach(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = MAX_LOOKUP_ROWS,
-) -> DataFrame:
-    """Join ``rows`` to ``lookup``: broadcast when the lookup fits, shuffled join otherwise."""
-    small, fits = inline_if_small(lookup, max_rows)
-    return rows.join(F.broadcast(small) if fits else small, on, how)
+    return rows.join(settle(lookup, "lookup"), on, how)

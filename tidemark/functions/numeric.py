@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 
 def round_half_away(c: Column, digits: int) -> Column:
-    """SQL-report rounding: scaled, half away from zero, returned as double."""
+    """SQL-report rounding: scaled, half away from zero, returned as double.
+
+    A value with no such digits left in a double (2^53 units and more) stays as it is.
+    """
     factor = float(10**digits)
     x = c.cast("double")
     # Integer arithmetic for the sign, so that small negatives give 0 and not -0.
-    return F.floor(F.abs(x) * factor + 0.5) * F.sign(x).cast("int") / F.lit(factor)
+    rounded = F.floor(F.abs(x) * factor + 0.5) * F.sign(x).cast("int") / F.lit(factor)
+    return F.when(F.abs(x) * factor >= float(2**53), x).otherwise(rounded)
 
 
 def round_half_even(c: Column, digits: int) -> Column:

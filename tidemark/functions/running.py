@@ -14,12 +14,14 @@ def _slice_of(value: Column, edges: Column) -> Column:
     return F.array_position(F.sort_array(F.array_append(edges, value)), value)
 
 
-def running_totals(df: DataFrame, value: str, measures: list[str]) -> DataFrame:
+def running_totals(
+    df: DataFrame, value: str, measures: list[str], slices: int = SLICES
+) -> DataFrame:
     """Per distinct ``value``: its sums and, as ``<measure>_above``, the sums of all larger values.
 
-    Rows are first added up per distinct value. The distinct values are cut into 256 slices of
+    Rows are first added up per distinct value. The distinct values are cut into ``slices`` of
     about equal size (edges from a rank sketch of the values themselves, so the data alone fixes
-    the slice of a row). Slice totals are at most 256 rows; within a slice the running sum is a
+    the slice of a row); a slice grows with the distinct values, so raise it with them. Within a slice the running sum is a
     partitioned window.
     """
     points = (
@@ -28,7 +30,7 @@ def running_totals(df: DataFrame, value: str, measures: list[str]) -> DataFrame:
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
     edges = points.agg(
-        F.percentile_approx(value, [i / SLICES for i in range(1, SLICES)])
+        F.percentile_approx(value, [i / slices for i in range(1, slices)])
     ).scalar()
     placed = points.withColumn("_slice", _slice_of(F.col(value), edges))
     per_slice = placed.groupBy("_slice").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
@@ -44,5 +46,5 @@ def running_totals(df: DataFrame, value: str, measures: list[str]) -> DataFrame:
         (F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"_{m}_off")).alias(f"{m}_above")
         for m in measures
     ]
-    # At most SLICES rows: safe to broadcast by construction.
+    # At most ``slices`` rows: safe to broadcast by construction.
     return placed.join(F.broadcast(offsets), "_slice").select(value, *measures, *above)

@@ -48,13 +48,13 @@ def driver_importance(classifier, prepared: DataFrame, names: list[str]) -> Data
     return out.orderBy(F.desc("mean_abs_shap"), "feature")
 
 
-def _with_partner(prepared: DataFrame, key: str, seed: int) -> DataFrame:
+def _with_partner(prepared: DataFrame, key: str, seed: int, exchange_rows: int) -> DataFrame:
     """Each row with the vector of another random row; every vector is handed out once.
 
     Rows are put into hash buckets of a few thousand and exchanged in a ring within the bucket,
     so no task sees more than one bucket at a time however many rows there are.
     """
-    buckets = max(1, prepared.count() // ROWS_PER_EXCHANGE)
+    buckets = max(1, prepared.count() // exchange_rows)
     place = F.xxhash64(F.col(key), F.lit(seed))
     bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(buckets))
     placed = prepared.withColumn("_b", bucket).withColumn("_h", place)
@@ -68,10 +68,12 @@ def _with_partner(prepared: DataFrame, key: str, seed: int) -> DataFrame:
 
 def permutation_importance(
     classifier, prepared: DataFrame, names: list[str], label: str = "label", key: str = "customer_id",
-    seed: int = 42,
+    seed: int = 42, exchange_rows: int = ROWS_PER_EXCHANGE,
 ) -> DataFrame:
     """Loss of AUC when one feature is exchanged between rows; works for every model.
 
+    Partners come from the same hash bucket of about ``exchange_rows`` rows.
+
     One distributed scoring job per feature; only its AUC reaches the driver.
     """
 
@@ -79,7 +81,7 @@ def permutation_importance(
         scored = classifier.transform(df).withColumn("p", vector_to_array("probability")[1])
         return area_under_roc(scored, label, "p").first()["auc"]
 
-    paired = _with_partner(prepared, key, seed).select(label, "_x", "_other").persist()
+    paired = _with_partner(prepared, key, seed, exchange_rows).select(label, "_x", "_other").persist()
     base = auc(prepared.select(label, VECTOR))
     losses = []
     for j, name in enumerate(names):

@@ -13,7 +13,11 @@ LOGISTIC, FOREST, BOOSTING = "Logistic Regression", "Random Forest", "Gradient B
 
 @dataclass(frozen=True)
 class Settings:
-    """Fixed values of the compared models and of the validation scheme."""
+    """Fixed values of the compared models and of the validation scheme.
+
+    ``partitions`` packs the training rows into so many partitions (None: as they arrive). Tree models
+    sample rows by partition, so it belongs to the model's settings.
+    """
 
     inverse_penalty: float = 0.5
     logistic_iterations: int = 1000
@@ -27,6 +31,7 @@ class Settings:
     folds: int = 5
     seed: int = 42
     beta: float = 2.0
+    partitions: int | None = None
     models: tuple[str, ...] = (LOGISTIC, FOREST, BOOSTING)
 
 

@@ -8,10 +8,11 @@ in one task.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import attach
-from tidemark.functions.numeric import rows
+from tidemark.functions.numeric import round_half_even, rows
 from tidemark.functions.quantiles import order_statistics
 
 _SPAN = 2**52
@@ -57,9 +58,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     The boosting weight is the rounded ratio of negatives to positives for positives, else 1.
     """
     counted = df.where(F.col(label).isNotNull()).groupBy(label).agg(rows().alias("customers"))
-    everyone = counted.agg(F.sum("customers")).scalar()
+    everyone = F.sum("customers").over(W.partitionBy())
     n = F.col("customers").cast("double")
-    ratio = F.floor((everyone - F.col("customers")).cast("double") / n * 10.0 + 0.5) / F.lit(10.0)
+    ratio = round_half_even((everyone - F.col("customers")).cast("double") / n, 1)
     return counted.select(
         label,
         "customers",

@@ -11,7 +11,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.lookup import attach, inline_if_small
 from tidemark.ml.attribution import driver_importance
 from tidemark.ml.candidates import Settings, estimators
 from tidemark.ml.curve import area_under_roc, best_threshold, classification_report
@@ -19,6 +18,7 @@ from tidemark.ml.preparation import VECTOR, fit_preparation
 from tidemark.ml.sampling import class_weights, stratified_folds, stratified_split
 from tidemark.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tidemark.operators.risk import predictions_from
+from tidemark.session import settle
 
 KEY = "customer_id"
 
@@ -59,24 +59,22 @@ def model_columns(features: DataFrame) -> DataFrame:
     return features.select(KEY, TARGET, *numeric, *categorical).where(F.col(TARGET).isNotNull())
 
 
-ROWS_PER_PARTITION = 20_000
-
-
-def _prepared(train: DataFrame, *others: DataFrame) -> tuple[PipelineModel, list[DataFrame]]:
+def _prepared(
+    train: DataFrame, *others: DataFrame, partitions: int | None = None
+) -> tuple[PipelineModel, list[DataFrame]]:
     """Fit the preparation on ``train``; return it with narrow, cached model inputs.
 
-    Fits read the training rows hundreds of times, so small data is packed into few partitions;
-    large data keeps the partitioning it arrives in.
+    Fits read the training rows hundreds of times; ``partitions`` packs them, see ``Settings``.
     """
     preparation = fit_preparation(train, *_columns(train))
-    weights, _ = inline_if_small(class_weights(train, TARGET))
-    n = weights.agg(F.sum("customers")).first()[0]
-    weighted = attach(preparation.transform(train), weights.drop("customers"), [TARGET], "inner")
+    weights = settle(class_weights(train, TARGET).drop("customers"), "class-weights")
+    weighted = preparation.transform(train).join(weights, TARGET)
     label = F.col(TARGET).cast("double").alias("label")
     frames = [weighted.select(KEY, label, VECTOR, "balanced_weight", "boosting_weight")]
     frames += [preparation.transform(df).select(KEY, label, VECTOR) for df in others]
-    packed = max(1, n // ROWS_PER_PARTITION)
-    return preparation, [f.coalesce(packed).persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
+    if partitions:
+        frames = [f.coalesce(partitions) for f in frames]
+    return preparation, [f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
 
 
 def _fit_all(settings: Settings, train: DataFrame) -> dict:
@@ -97,7 +95,9 @@ def cross_validated_auc(train: DataFrame, settings: Settings) -> dict[str, float
     sums = dict.fromkeys(settings.models, 0.0)
     for fold in range(settings.folds):
         held = F.col("fold") == fold
-        _, (fit_rows, held_rows) = _prepared(folded.where(~held), folded.where(held))
+        _, (fit_rows, held_rows) = _prepared(
+            folded.where(~held), folded.where(held), partitions=settings.partitions
+        )
         for name, classifier in _fit_all(settings, fit_rows).items():
             sums[name] += _auc(classifier, held_rows)
         fit_rows.unpersist()
@@ -141,13 +141,15 @@ def compare(
     data = model_columns(features)
     numeric, categorical = _columns(data)
     train, test = stratified_split(data, KEY, TARGET, settings.test_share, settings.seed)
-    chosen_on = test
+    others = [test]
     if selection == "validation":
         share = settings.test_share / (1 - settings.test_share)
         train, chosen_on = stratified_split(train, KEY, TARGET, share, settings.seed + 2)
+        others.append(chosen_on)
     elif selection != "test":
         raise ValueError(f"unknown selection {selection!r}")
-    preparation, (fit_rows, test_rows, choice_rows) = _prepared(train, test, chosen_on)
+    preparation, (fit_rows, *held) = _prepared(train, *others, partitions=settings.partitions)
+    test_rows, choice_rows = held[0], held[-1]
     fitted = _fit_all(settings, fit_rows)
     choice = {name: _auc(model, choice_rows) for name, model in fitted.items()}
     tested = choice
@@ -156,7 +158,8 @@ def compare(
     best = max(choice, key=lambda name: round(choice[name], 4))
     cut = best_threshold(probability(fitted[best], choice_rows), "label", "p", settings.beta).first()
     fit_rows.unpersist()
-    choice_rows.unpersist()
+    if choice_rows is not test_rows:
+        choice_rows.unpersist()
     cv = cross_validated_auc(train, settings) if cross_validate else {}
     champion = Trained(best, preparation, fitted[best], cut["threshold"], list(numeric + categorical))
     scores = {n: {"test_auc": tested[n], "cv_auc": cv.get(n)} for n in fitted}

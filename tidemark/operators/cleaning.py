@@ -9,10 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.lookup import attach, inline_if_small
 from tidemark.functions.numeric import flag
-from tidemark.functions.quantiles import exact_quantiles, quantile_edges, quantiles_of_counts
+from tidemark.functions.quantiles import quantiles_of_counts
 from tidemark.functions.text import title_case
+from tidemark.session import settle
 
 # Fixed value: reporting date of the shipped extracts.
 SNAPSHOT = dt.date(2026, 4, 1)
@@ -30,6 +30,13 @@ def parse_date(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+def whole_days(start: Column, end: dt.date) -> Column:
+    """Complete days from ``start`` to midnight of ``end``: a started day does not count."""
+    midnight = F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp_ntz").cast("timestamp")
+    micros = F.unix_micros(midnight) - F.unix_micros(start.cast("timestamp"))
+    return F.floor(micros / 86_400_000_000).cast("int")
+
+
 def valid_customer() -> Column:
     """Range rules; a missing operand fails its rule."""
     return (
@@ -51,7 +58,7 @@ def clean_customers(df: DataFrame, snapshot: dt.date = SNAPSHOT) -> DataFrame:
     if "registration_date" in present:
         out = out.withColumn("registration_date", parse_date(df, "registration_date"))
         out = out.withColumn(
-            "customer_tenure_days", F.datediff(F.lit(snapshot), F.col("registration_date"))
+            "customer_tenure_days", whole_days(F.col("registration_date"), snapshot)
         )
     if {"reviews_given", "avg_review_score"} <= present:
         unreviewed = F.col("reviews_given") == 0
@@ -84,36 +91,40 @@ def rejected_customers(df: DataFrame) -> DataFrame:
     ).select("r.rule", "r.rejected")
 
 
-def _fill_ratings(orders: DataFrame) -> DataFrame:
-    """Adds ``_filled``: rating, else category median, else median of the filled column.
+def rating_medians(ratings: DataFrame) -> DataFrame:
+    """Per category the median rating and, in every row, the median after that first fill.
 
-    Ratings are counted by (category, rating) in one narrow pass. A rating scale gives a handful
-    of rows, which are evaluated once and used for all medians; a continuous rating gives many,
-    and the medians are then taken from the orders themselves.
+    ``ratings`` are counted by (category, rating) first, whatever their number; all medians come
+    from these counts, which are stored because two steps read them.
     """
-    counts, small = inline_if_small(
-        orders.groupBy("category", "customer_rating").agg(F.count(F.lit(1)).alias("_n"))
+    counted = ratings.groupBy("category", "customer_rating").agg(F.count(F.lit(1)).alias("_n"))
+    counts = settle(counted, "rating-counts")
+    medians = quantiles_of_counts(counts, "customer_rating", "_n", [0.5], by=["category"])
+    known = medians.select("category", F.col("quantiles")[0].alias("_category_median"))
+    filled = counts.join(known, "category", "left").withColumn(
+        "_filled", F.coalesce(F.col("customer_rating").cast("double"), F.col("_category_median"))
+    )
+    overall = quantiles_of_counts(filled, "_filled", "_n", [0.5]).select("quantiles").scalar()
+    every = counts.select("category").distinct().join(known, "category", "left")
+    return settle(every.withColumn("_overall_median", overall[0]), "rating-medians")
+
+
+def _fill_ratings(orders: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Adds ``_filled``: rating, else category median, else median of the filled column."""
+    medians = rating_medians(ratings)
+    lookup = medians.where(F.col("category").isNotNull()).select("category", "_category_median")
+    overall = medians.agg(F.max("_overall_median")).scalar()
+    rating = F.col("customer_rating").cast("double")
+    return orders.join(lookup, "category", "left").withColumn(
+        "_filled", F.coalesce(rating, "_category_median", overall)
     )
-    if small:
-        medians = quantiles_of_counts(counts, "customer_rating", "_n", [0.5], by=["category"])
-    else:
-        medians = exact_quantiles(orders, "customer_rating", [0.5], by=["category"])
-    lookup = medians.select("category", F.col("quantiles")[0].alias("_category_median"))
-    first_fill = F.coalesce(F.col("customer_rating").cast("double"), F.col("_category_median"))
-    filled = attach(orders, lookup, ["category"]).withColumn("_filled", first_fill)
-    if small:
-        filled_counts = counts.join(lookup, "category", "left").withColumn("_filled", first_fill)
-        overall = quantiles_of_counts(filled_counts, "_filled", "_n", [0.5])
-        overall = overall.select("quantiles").scalar()
-    else:
-        overall = quantile_edges(filled, "_filled", [0.5])
-    return filled.withColumn("_filled", F.coalesce("_filled", overall[0]))
-
-
-def clean_orders(df: DataFrame) -> DataFrame:
+
+
+def clean_orders(df: DataFrame, ratings: DataFrame | None = None) -> DataFrame:
     """Typed orders with filled ratings and the month / discount / return columns.
 
-    ``rating_imputed`` marks the rows whose rating was missing before filling.
+    ``rating_imputed`` marks the rows whose rating was missing before filling. ``ratings`` is a
+    narrower plan of the same orders (category and rating), for the pass that takes the medians.
     """
     names = list(df.columns)
     present = set(names)
@@ -122,7 +133,7 @@ def clean_orders(df: DataFrame) -> DataFrame:
         if name in present:
             out = out.withColumn(name, parse_date(df, name))
     if "customer_rating" in present:
-        out = _fill_ratings(out)
+        out = _fill_ratings(out, df if ratings is None else ratings)
         out = out.withColumn("rating_imputed", flag(F.col("customer_rating").isNull()))
         out = out.withColumn("customer_rating", F.col("_filled"))
         names.append("rating_imputed")

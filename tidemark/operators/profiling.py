@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.numeric import mean, percent, round_half_away, rows, total
+from tidemark.functions.numeric import mean, percent, round_half_away, round_half_even, rows, total
 from tidemark.functions.quantiles import exact_quantiles
 
 
@@ -123,7 +124,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count and share per value, missing values left out."""
     counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(rows().alias("n"))
-    everything = counted.agg(F.sum("n")).scalar()
+    everything = F.sum("n").over(W.partitionBy())
     return counted.withColumn(
         "pct", round_half_away(F.col("n").cast("double") * 100 / everything, 4)
     ).orderBy(F.desc("n"), column)
@@ -158,19 +159,17 @@ def distinct_counts(df: DataFrame, columns: list[str], exact: bool = True) -> Da
     )
 
 
-def table_totals(customers: DataFrame, orders: DataFrame, revenue: DataFrame) -> DataFrame:
-    """Headline totals over the three tables, one row."""
+def table_totals(customers: DataFrame, revenue: DataFrame) -> DataFrame:
+    """Headline totals, one row; the months carry ``orders`` and ``returned``, so orders are read once."""
     c = customers.agg(percent(F.col("churned"), 2).alias("churn_rate_pct"))
-    o = orders.agg(percent(F.col("returned"), 1).alias("return_rate_pct"))
+    returned = F.try_divide(F.sum("returned").cast("double"), F.sum("orders").cast("double")) * 100
     r = revenue.agg(
         round_half_away(total(F.col("revenue_usd")), 0).alias("total_revenue"),
         round_half_away(mean(F.col("revenue_usd")), 0).alias("avg_monthly_revenue"),
+        round_half_away(returned, 1).alias("return_rate_pct"),
     )
     return r.select(
-        "total_revenue",
-        "avg_monthly_revenue",
-        c.scalar().alias("churn_rate_pct"),
-        o.scalar().alias("return_rate_pct"),
+        "total_revenue", "avg_monthly_revenue", c.scalar().alias("churn_rate_pct"), "return_rate_pct"
     )
 
 
@@ -180,7 +179,7 @@ def product_category_means(products: DataFrame) -> DataFrame:
     return (
         products.where(F.col("category").isNotNull())
         .groupBy("category")
-        .agg(*[round_half_away(mean(F.col(m)), 2).alias(m) for m in measures])
+        .agg(*[round_half_even(mean(F.col(m)), 2).alias(m) for m in measures])
         .orderBy("category")
     )
 

@@ -19,7 +19,7 @@ from tidemark.functions.binning import (
     tenure_cohort,
 )
 from tidemark.functions.lookup import attach
-from tidemark.functions.numeric import flag, mean, percent, round_half_away, rows, total
+from tidemark.functions.numeric import flag, mean, percent, round_half_away, round_half_even, rows, total
 from tidemark.functions.quantiles import exact_quantiles, quantile_edges
 from tidemark.operators.features import DORMANT_DAYS, engagement_score
 
@@ -39,46 +39,51 @@ def _spend() -> Column:
     return F.col("total_spend_usd")
 
 
-def mark_above_mean(grouped: DataFrame, rate: str, few: bool = False) -> DataFrame:
+def mark_above_mean(grouped: DataFrame, rate: str) -> DataFrame:
     """Adds the unweighted mean of the group rates and whether a group lies above it.
 
-    Rates are added as decimals, so the mean does not depend on the order of the groups. ``few``
-    says that the groups are a fixed short list, for which a window needs no second pass.
+    ``rate`` is not rounded. Rates are added as decimals, so the mean does not depend on the order of
+    the groups; the window holds one row a group.
     """
-    overall = mean(F.col(rate).cast("decimal(18,6)"))
-    if few:
-        every = W.partitionBy()
-        exact = F.col(rate).cast("decimal(18,6)")
-        overall = F.try_divide(
-            F.sum(exact).over(every).cast("double"), F.count(exact).over(every).cast("double")
-        )
-        marked = grouped.withColumn("_overall", overall)
-    else:
-        marked = grouped.withColumn("_overall", grouped.agg(overall).scalar())
+    exact = F.col(rate).cast("decimal(24,14)")
+    every = W.partitionBy()
+    overall = F.try_divide(F.sum(exact).over(every).cast("double"), F.count(exact).over(every).cast("double"))
     return (
-        marked.withColumn("mean_rate", round_half_away(F.col("_overall"), 4))
-        .withColumn("above_mean", flag(F.col(rate) > F.col("_overall")))
+        grouped.withColumn("_overall", overall)
+        .withColumn("mean_rate", round_half_away(F.col("_overall"), 4))
+        .withColumn("above_mean", flag(exact.cast("double") > F.col("_overall")))
         .drop("_overall")
     )
 
 
-def churn_rate_by(customers: DataFrame, *keys: str) -> DataFrame:
-    """Customers and churn rate (4 decimals, in percent) per group; missing keys are dropped."""
+def _marked_churn(grouped: DataFrame) -> DataFrame:
+    return mark_above_mean(grouped, "_churn_rate").drop("_churn_rate")
+
+
+def churn_rate_by(customers: DataFrame, *keys: str, unrounded: bool = False) -> DataFrame:
+    """Customers and churn rate (4 decimals, in percent) per group; missing keys are dropped.
+
+    ``unrounded`` adds ``_churn_rate`` for a later comparison with the mean of the groups.
+    """
     known = customers
     for k in keys:
         known = known.where(F.col(k).isNotNull())
     return known.groupBy(*keys).agg(
-        rows().alias("customers"), percent(F.col("churned"), 4).alias("churn_rate_pct")
+        rows().alias("customers"),
+        percent(F.col("churned"), 4).alias("churn_rate_pct"),
+        *([percent(F.col("churned")).alias("_churn_rate")] if unrounded else []),
     )
 
 
-def churn_by_bins(customers: DataFrame, source: str, bins: Bins, name: str) -> DataFrame:
+def churn_by_bins(
+    customers: DataFrame, source: str, bins: Bins, name: str, unrounded: bool = False
+) -> DataFrame:
     """Churn rate per bin in bin order; a bin without customers keeps its row, rate missing."""
-    return _by_label(customers.withColumn(name, bins.of(F.col(source))), bins, name)
+    return _by_label(customers.withColumn(name, bins.of(F.col(source))), bins, name, unrounded)
 
 
-def _by_label(labelled: DataFrame, bins: Bins, name: str) -> DataFrame:
-    found = churn_rate_by(labelled, name)
+def _by_label(labelled: DataFrame, bins: Bins, name: str, unrounded: bool = False) -> DataFrame:
+    found = churn_rate_by(labelled, name, unrounded=unrounded)
     dimension = bins.dimension(labelled.sparkSession, name)
     return (
         dimension.join(found, name, "left")
@@ -105,7 +110,7 @@ def churn_split(customers: DataFrame) -> DataFrame:
             round_half_away(mean(_spend()), 2).alias("avg_ltv_usd"),
         )
     )
-    everyone = grouped.agg(F.sum("customers")).scalar()
+    everyone = F.sum("customers").over(W.partitionBy())
     return grouped.withColumn(
         "share_pct", round_half_away(F.col("customers") * 100.0 / everyone, 1)
     ).orderBy("churned")
@@ -127,12 +132,13 @@ def tier_breakdown(customers: DataFrame) -> DataFrame:
         F.count("customer_id").alias("customers"),
         F.sum("churned").alias("churned"),
         percent(F.col("churned"), 4).alias("churn_rate_pct"),
+        percent(F.col("churned")).alias("_churn_rate"),
         round_half_away(mean(_spend()), 2).alias("avg_ltv_usd"),
         F.coalesce(total(_spend(), _churned()), F.lit(0.0)).alias("revenue_at_risk_usd"),
     )
     order = _label_bins(TIER_ORDER).dimension(customers.sparkSession, "membership_tier")
     tiers = order.join(stats, "membership_tier", "left")
-    return mark_above_mean(tiers, "churn_rate_pct", few=True).orderBy("bucket_order")
+    return _marked_churn(tiers).orderBy("bucket_order")
 
 
 def channel_stats(customers: DataFrame) -> DataFrame:
@@ -142,13 +148,12 @@ def channel_stats(customers: DataFrame) -> DataFrame:
         .groupBy("acquisition_channel")
         .agg(
             percent(F.col("churned"), 4).alias("churn_rate_pct"),
-            round_half_away(mean(_spend()), 2).alias("avg_ltv_usd"),
+            percent(F.col("churned")).alias("_churn_rate"),
+            round_half_even(mean(_spend()), 2).alias("avg_ltv_usd"),
             F.count("customer_id").alias("customers"),
         )
     )
-    return mark_above_mean(grouped, "churn_rate_pct").orderBy(
-        "churn_rate_pct", "acquisition_channel"
-    )
+    return _marked_churn(grouped).orderBy("churn_rate_pct", "acquisition_channel")
 
 
 # -- recency and engagement ---------------------------------------------------------------------
@@ -197,9 +202,9 @@ def churn_by_spend_quartile(customers: DataFrame) -> DataFrame:
     """Churn rate per spend quartile and the mean of the four rates."""
     label = quantile_label(customers, "total_spend_usd", SPEND_QUARTILES)
     quartiles = _by_label(
-        customers.withColumn("spend_quartile", label), _label_bins(SPEND_QUARTILES), "spend_quartile"
+        customers.withColumn("spend_quartile", label), _label_bins(SPEND_QUARTILES), "spend_quartile", True
     )
-    return mark_above_mean(quartiles, "churn_rate_pct", few=True).orderBy("bucket_order")
+    return _marked_churn(quartiles).orderBy("bucket_order")
 
 
 def top_spender_churn(customers: DataFrame) -> DataFrame:
@@ -228,16 +233,16 @@ def churn_by_returns(customers: DataFrame) -> DataFrame:
 def churn_by_primary_category(customers: DataFrame, primary: DataFrame) -> DataFrame:
     """Churn rate per most bought category; both sides are one row per customer."""
     labelled = primary.join(customers.select("customer_id", "churned"), "customer_id")
-    grouped = churn_rate_by(labelled, "primary_category")
-    return mark_above_mean(grouped, "churn_rate_pct").orderBy("churn_rate_pct", "primary_category")
+    grouped = churn_rate_by(labelled, "primary_category", unrounded=True)
+    return _marked_churn(grouped).orderBy("churn_rate_pct", "primary_category")
 
 
 # -- demographics --------------------------------------------------------------------------------
 
 
 def churn_by_age(customers: DataFrame) -> DataFrame:
-    grouped = churn_by_bins(customers, "age", AGE, "age_group")
-    return mark_above_mean(grouped, "churn_rate_pct", few=True).orderBy("bucket_order")
+    grouped = churn_by_bins(customers, "age", AGE, "age_group", unrounded=True)
+    return _marked_churn(grouped).orderBy("bucket_order")
 
 
 def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -251,7 +256,7 @@ def churn_by_top_countries(customers: DataFrame, k: int = 8) -> DataFrame:
     largest = top_values(customers, "country", k).select("country")
     # k rows at most: safe to broadcast.
     members = customers.join(F.broadcast(largest), "country", "left_semi")
-    return mark_above_mean(churn_rate_by(members, "country"), "churn_rate_pct", few=True).orderBy(
+    return _marked_churn(churn_rate_by(members, "country", unrounded=True)).orderBy(
         "churn_rate_pct", "country"
     )
 

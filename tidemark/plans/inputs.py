@@ -10,7 +10,7 @@ from tidemark.operators.correlation import correlation_input, target_correlation
 from tidemark.operators.features import build_features
 from tidemark.operators.risk import predictions_from
 from tidemark.session import settle
-from tidemark.sources.star_schema import LINE_DERIVED, StarSchema
+from tidemark.sources.star_schema import StarSchema
 
 RULE_COLUMNS = ("age", "total_orders", "total_spend_usd", "avg_review_score")
 CUSTOMER_COLUMNS = (
@@ -28,6 +28,11 @@ RISK_CUSTOMER_COLUMNS = (
 )
 RISK_ORDER_COLUMNS = ("order_id", "customer_id", "category", "total_amount_usd", "discount_pct", "returned")
 
+ROLLUP_COLUMNS = (
+    "order_id", "category", "total_amount_usd", "customer_rating", "returned", "customer_id",
+    "discount_pct", "delivery_days", "session_duration_minutes", "pages_viewed_before_purchase",
+)
+
 
 class Inputs:
     """Logical tables of one star-schema folder, cleaned, lazily planned."""
@@ -56,12 +61,9 @@ class Inputs:
         return settle(self.customers(*columns), "customers")
 
     def orders(self, *columns: str) -> DataFrame:
-        """Cleaned orders. Filling ratings reads the lines twice, so they are joined once and stored."""
-        lines = self.star.orders()
-        narrow = lines.select(*columns) if columns else lines
-        if "customer_rating" in narrow.columns and self.star.stored_orders is None:
-            narrow = settle(narrow, "orders")
-        return clean_orders(narrow)
+        """Cleaned orders; where ratings are filled, a narrow pass counts them first."""
+        ratings = self.star.orders("category", "customer_rating")
+        return clean_orders(self.star.orders(*columns), ratings)
 
     def revenue(self) -> DataFrame:
         return clean_monthly_revenue(self.star.monthly_revenue())
@@ -69,20 +71,12 @@ class Inputs:
     def products(self) -> DataFrame:
         return self.star.product_summary()
 
-    def store_orders(self) -> None:
-        """Store the order lines, for plans that would otherwise join them several times."""
-        if self.star.stored_orders is None:
-            self.star.stored_orders = settle(self.star.orders(), "orders")
-
     def features(self) -> DataFrame:
-        """The full feature table; customers, ratings and rollup share one stored line join."""
-        self.store_orders()
-        return build_features(settle(self.customers(), "customers"), self.orders())
+        """The full feature table."""
+        return build_features(settle(self.customers(), "customers"), self.orders(*ROLLUP_COLUMNS))
 
     def risk_scored(self, *columns: str) -> tuple[DataFrame, DataFrame]:
         """Stored customers holding ``columns``, and their features up to the risk score."""
-        if LINE_DERIVED & set(columns):
-            self.store_orders()
         customers = self.settled_customers(*dict.fromkeys(RISK_CUSTOMER_COLUMNS + columns))
         return customers, build_features(customers, self.orders(*RISK_ORDER_COLUMNS))
 

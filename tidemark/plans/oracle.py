@@ -259,10 +259,16 @@ def _by_bins(source: str, edges: list, labels: list[str], name: str, where: str
 
 
 def _marked(inner: str, rate: str = "churn_rate_pct") -> str:
+    column = "churned" if rate == "churn_rate_pct" else "returned"
+    raw = f"{avg(column)}*100 AS raw_rate"
+    rounded = f"{r(avg(column) + '*100', 4)} AS {rate}"
+    inner = inner.replace(rounded, f"{rounded}, {raw}")
+    for listed in ("customers, churn_rate_pct\n", "churned, churn_rate_pct, avg"):
+        inner = inner.replace(listed, listed.replace("churn_rate_pct", "churn_rate_pct, raw_rate"))
     return f"""
-        SELECT g.*, {r("m", 4)} AS mean_rate,
-          CASE WHEN {rate} > m THEN 1 ELSE 0 END AS above_mean
-        FROM ({inner}) g, (SELECT CAST(SUM(CAST({rate} AS DECIMAL(18,6))) AS DOUBLE)/COUNT({rate}) AS m
+        SELECT g.* EXCLUDE (raw_rate), {r("m", 4)} AS mean_rate,
+          CASE WHEN CAST(CAST(raw_rate AS DECIMAL(24,14)) AS DOUBLE) > m THEN 1 ELSE 0 END AS above_mean
+        FROM ({inner}) g, (SELECT CAST(SUM(CAST(raw_rate AS DECIMAL(24,14))) AS DOUBLE)/COUNT(raw_rate) AS m
           FROM ({inner})) a"""
 
 
@@ -475,8 +481,8 @@ def all_oracles() -> dict[str, str]:
         {r("(SELECT SUM(revenue_usd)/COUNT(*) FROM revenue)", 0)} AS avg_monthly_revenue,
         (SELECT {r(avg("churned") + "*100", 2)} FROM customers) AS churn_rate_pct,
         (SELECT {r(avg("returned") + "*100", 1)} FROM raw_orders) AS return_rate_pct""")
-    add("product_category_means", f"""SELECT category, {r(avg("total_revenue_usd"), 2)} AS total_revenue_usd,
-        {r(avg("avg_rating"), 2)} AS avg_rating, {r(avg("return_rate"), 2)} AS return_rate
+    add("product_category_means", f"""SELECT category, {even(avg("total_revenue_usd"), 2)} AS total_revenue_usd,
+        {even(avg("avg_rating"), 2)} AS avg_rating, {even(avg("return_rate"), 2)} AS return_rate
         FROM products GROUP BY category""")
     add("relationship_check", """
         SELECT 'duplicate customer keys' AS check_name,
@@ -591,7 +597,7 @@ def all_oracles() -> dict[str, str]:
           FROM customers GROUP BY 1) USING (membership_tier)"""
     add("tier_breakdown", _marked(tiers))
     add("channel_stats", _marked(f"""SELECT acquisition_channel, {RATE4} AS churn_rate_pct,
-        {r(avg("total_spend_usd"), 2)} AS avg_ltv_usd, {COUNT} AS customers FROM customers
+        {even(avg("total_spend_usd"), 2)} AS avg_ltv_usd, {COUNT} AS customers FROM customers
         WHERE acquisition_channel IS NOT NULL GROUP BY 1"""))
     add("recency_by_class", f"""SELECT churned, {r(avg("days_since_last_purchase"), 4)} AS avg_recency_days,
         {r(avg("CASE WHEN days_since_last_purchase >= 180 THEN 1 ELSE 0 END") + "*100", 4)} AS dormant_pct
@@ -634,15 +640,16 @@ def all_oracles() -> dict[str, str]:
         CASE WHEN COUNT(*) OVER w = 6 THEN {r("AVG(revenue_usd) OVER w", 2)} END AS rolling_avg_usd
         FROM revenue WINDOW w AS (ORDER BY year, month ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)""")
     add("annual_summary", f"""SELECT year, {r("SUM(revenue_usd)", 2)} AS revenue_usd,
-        {r("SUM(revenue_usd)/1e6", 2)} AS revenue_m, {big("SUM(new_customers)")} AS new_customers,
+        {even("SUM(revenue_usd)/1e6", 2)} AS revenue_m, {big("SUM(new_customers)")} AS new_customers,
         {big("SUM(unique_customers)")} AS unique_customers FROM revenue GROUP BY year""")
     add("annual_unique_customers", """SELECT CAST(year(order_date) AS INT) AS year,
         CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS unique_customers FROM raw_orders GROUP BY 1""")
     add("category_revenue", f"""SELECT * REPLACE ({r("revenue", 2)} AS revenue)
         FROM ({_marked(CATEGORY_STATS, "return_rate_pct")})""")
-    add("top_categories", f"""SELECT category, {r("revenue", 2)} AS revenue,
-        {r("return_rate_pct", 2)} AS return_rate_pct, {r("avg_rating", 2)} AS avg_rating, orders
-        FROM ({CATEGORY_STATS}) ORDER BY revenue DESC, category LIMIT 5""")
+    add("top_categories", f"""SELECT category, {even(tot("total_amount_usd"), 2)} AS revenue,
+        {even(avg("returned") + "*100", 2)} AS return_rate_pct, {even(avg("customer_rating"), 2)} AS avg_rating,
+        {big("COUNT(order_id)")} AS orders FROM clean_orders WHERE category IS NOT NULL GROUP BY category
+        ORDER BY revenue DESC, category LIMIT 5""")
     add("churn_by_age", _marked(_by_bins("age", [0, 25, 35, 45, 60, 100],
         ["18–25", "26–35", "36–45", "46–60", "60+"], "age_group")))
     add("top_countries", """SELECT country, CAST(COUNT(*) AS BIGINT) AS n FROM customers
@@ -744,9 +751,9 @@ def all_oracles() -> dict[str, str]:
     add("split_sizes", """SELECT churned, CAST(n - t AS BIGINT) AS train_rows, CAST(t AS BIGINT) AS test_rows
         FROM (SELECT churned, COUNT(*) AS n, floor(COUNT(*)*0.2e0 + 0.5) AS t FROM customers
           GROUP BY churned)""")
-    add("class_weights", """SELECT churned, CAST(n AS BIGINT) AS customers,
+    add("class_weights", f"""SELECT churned, CAST(n AS BIGINT) AS customers,
         CAST(total AS DOUBLE)/(2e0*n) AS balanced_weight,
-        CASE WHEN churned = 1 THEN CAST(floor(CAST(total - n AS DOUBLE)/n*1e1 + 0.5) AS BIGINT)/1e1 ELSE 1e0 END
+        CASE WHEN churned = 1 THEN {even("CAST(total - n AS DOUBLE)/n", 1)} ELSE 1e0 END
           AS boosting_weight
         FROM (SELECT churned, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total FROM customers
           GROUP BY churned)""")

@@ -16,7 +16,7 @@ from tidemark.ml import attribution, curve, sampling, training
 from tidemark.ml.candidates import FOREST, LOGISTIC, Settings
 from tidemark.operators import commerce, correlation, features, profiling, risk, segments
 from tidemark.operators.cleaning import parse_date, rejected_customers
-from tidemark.plans.inputs import CUSTOMER_COLUMNS, Inputs
+from tidemark.plans.inputs import CUSTOMER_COLUMNS, ROLLUP_COLUMNS, Inputs
 from tidemark.session import settle, shared_dir
 from tidemark.sources import publish, readers
 from tidemark.sources.schemas import EXPECTED_COLUMNS, RAW_TABLES
@@ -28,10 +28,6 @@ Plan = Callable[[Inputs], DataFrame]
 
 SPEND = ("total_spend_usd", "churned")
 CATEGORY_COLUMNS = ("order_id", "category", "total_amount_usd", "customer_rating", "returned")
-ROLLUP_COLUMNS = CATEGORY_COLUMNS + (
-    "customer_id", "discount_pct", "delivery_days", "session_duration_minutes",
-    "pages_viewed_before_purchase",
-)
 
 
 def _first_customers(i: Inputs) -> DataFrame:
@@ -54,19 +50,19 @@ def _ranges(i: Inputs) -> DataFrame:
     customers = i.customers("age", "total_spend_usd")
     parts = [
         profiling.value_range(customers, ["age", "total_spend_usd"]),
-        profiling.value_range(i.star.orders(), ["order_date"]),
+        profiling.value_range(i.star.orders("order_date"), ["order_date"]),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
 def _totals(i: Inputs) -> DataFrame:
-    return profiling.table_totals(i.customers("churned"), i.star.orders(), i.revenue())
+    return profiling.table_totals(i.customers("churned"), i.star.monthly_revenue(with_returned=True))
 
 
 def _relationships(i: Inputs) -> DataFrame:
     customers, predictions = i.scored()
     return profiling.relationship_check(
-        customers, i.star.orders(), settle(predictions.select("customer_id"), "predictions")
+        customers, i.star.orders("customer_id"), settle(predictions.select("customer_id"), "predictions")
     )
 
 
@@ -173,19 +169,18 @@ def _follow_ups(i: Inputs) -> DataFrame:
     """The stream, run over the event file until nothing is left."""
     stream = (
         i.spark.readStream.schema(SOURCES["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(i.star.folder)
+        .parquet(f"{i.star.folder}/events.parquet")
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
     folder = f"{shared_dir(i.spark)}/tidemark/follow-ups-{uuid.uuid4().hex}"
-    triggers.run_available(triggers.return_follow_ups(stream, trigger="error"), folder)
-    return i.spark.read.parquet(f"{folder}/out").select("event_id", "user_id", "event_type")
+    ups = triggers.return_follow_ups(stream, trigger="error")
+    triggers.run_available(ups, folder)
+    return triggers.written(i.spark, folder, ups.schema).select("event_id", "user_id", "event_type")
 
 
 def _published(i: Inputs) -> tuple[str, dict[str, DataFrame]]:
     """Write the cleaned tables to shared storage."""
     folder = f"{shared_dir(i.spark)}/tidemark/published-{uuid.uuid4().hex}"
-    i.store_orders()
     tables = {
         "customers": i.customers(),
         "orders": i.orders(),
@@ -274,15 +269,15 @@ PLANS: dict[str, Plan] = {
     ),
     "null_counts": lambda i: profiling.null_counts(i.star.orders()),
     "duplicate_rows": lambda i: profiling.duplicate_count(i.star.orders()),
-    "duplicate_keys": lambda i: profiling.duplicate_count(i.star.orders(), ["order_id"]),
+    "duplicate_keys": lambda i: profiling.duplicate_count(i.star.orders("order_id"), ["order_id"]),
     "distinct_tiers": lambda i: profiling.distinct_values(
         i.customers("membership_tier"), "membership_tier"
     ),
     "churn_value_counts": lambda i: profiling.value_counts(i.customers("churned"), "churned"),
-    "order_status_counts": lambda i: profiling.value_counts(i.star.orders(), "order_status"),
+    "order_status_counts": lambda i: profiling.value_counts(i.star.orders("order_status"), "order_status"),
     "value_ranges": _ranges,
     "distinct_counts": lambda i: profiling.distinct_counts(
-        i.star.orders(), ["category", "order_status", "customer_id"]
+        i.star.orders("category", "order_status", "customer_id"), ["category", "order_status", "customer_id"]
     ),
     "table_totals": _totals,
     "product_category_means": lambda i: profiling.product_category_means(i.products()),
@@ -309,17 +304,19 @@ PLANS: dict[str, Plan] = {
     "revenue_trend": lambda i: commerce.revenue_trend(i.revenue()),
     "revenue_per_user": lambda i: commerce.revenue_per_user(commerce.revenue_trend(i.revenue())),
     "category_performance": lambda i: commerce.category_performance(
-        i.orders(*CATEGORY_COLUMNS, "discount_pct", "delivery_days")
+        i.star.orders(*CATEGORY_COLUMNS, "discount_pct", "delivery_days")
     ),
-    "order_status_funnel": lambda i: commerce.order_status_funnel(i.star.orders()),
+    "order_status_funnel": lambda i: commerce.order_status_funnel(i.star.orders("order_status", "total_amount_usd")),
     "device_payment_matrix": lambda i: segments.device_payment_matrix(
         i.customers("preferred_device", "preferred_payment_method", *SPEND)
     ),
     "tenure_cohorts": lambda i: segments.tenure_cohorts(
         i.customers("customer_tenure_days", *SPEND)
     ),
-    "product_quadrants": lambda i: commerce.product_quadrants(i.products(), ["product_id"]),
-    "quadrant_sizes": lambda i: commerce.quadrant_sizes(i.products()),
+    "product_quadrants": lambda i: commerce.product_quadrants(
+        settle(i.products(), "products"), ["product_id"]
+    ),
+    "quadrant_sizes": lambda i: commerce.quadrant_sizes(settle(i.products(), "products")),
     # findings
     "churn_split": lambda i: segments.churn_split(i.customers(*SPEND)),
     "ltv_gap": lambda i: segments.ltv_gap(i.customers(*SPEND)),
@@ -348,17 +345,22 @@ PLANS: dict[str, Plan] = {
     "churn_by_returns": lambda i: segments.churn_by_returns(
         i.customers("churned", "returns_made")
     ),
-    "primary_category": lambda i: features.primary_category(i.star.orders()),
+    "primary_category": lambda i: features.primary_category(i.star.orders("customer_id", "category")),
     "churn_by_primary_category": lambda i: segments.churn_by_primary_category(
-        i.customers("customer_id", "churned"), features.primary_category(i.star.orders())
+        i.customers("customer_id", "churned"),
+        features.primary_category(i.star.orders("customer_id", "category")),
+    ),
+    "category_returns": lambda i: commerce.category_returns(i.star.orders(*CATEGORY_COLUMNS)),
+    "most_returned_category": lambda i: commerce.most_returned_categories(
+        i.star.orders("category", "returned")
     ),
-    "category_returns": lambda i: commerce.category_returns(i.orders(*CATEGORY_COLUMNS)),
-    "most_returned_category": lambda i: commerce.most_returned_categories(i.star.orders()),
     "rolling_revenue": lambda i: commerce.rolling_revenue(i.star.monthly_revenue()),
     "annual_summary": lambda i: commerce.annual_summary(i.star.monthly_revenue()),
-    "annual_unique_customers": lambda i: commerce.annual_unique_customers(i.star.orders()),
-    "category_revenue": lambda i: commerce.category_revenue(i.orders(*CATEGORY_COLUMNS)),
-    "top_categories": lambda i: commerce.top_categories(i.orders(*CATEGORY_COLUMNS)),
+    "annual_unique_customers": lambda i: commerce.annual_unique_customers(
+        i.star.orders("customer_id", "order_date")
+    ),
+    "category_revenue": lambda i: commerce.category_revenue(i.star.orders(*CATEGORY_COLUMNS)),
+    "top_categories": lambda i: commerce.top_categories(i.star.orders(*CATEGORY_COLUMNS)),
     "churn_by_age": lambda i: segments.churn_by_age(i.customers("churned", "age")),
     "top_countries": lambda i: segments.top_values(i.customers("country"), "country", 8),
     "churn_by_top_countries": lambda i: segments.churn_by_top_countries(

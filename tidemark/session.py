@@ -32,12 +32,15 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` as the cluster sets it.
 
-    Only where nothing is configured (unit tests) is a temporary folder chosen.
+    Only on a local master with nothing configured (unit tests) is a temporary folder chosen; a
+    cluster's executors would each write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         current = spark.sparkContext.getCheckpointDir()
         if current is None:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             current = tempfile.mkdtemp(prefix="tidemark-")
             spark.sparkContext.setCheckpointDir(current)
         return current.rstrip("/")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.schemas import RAW_TABLES
@@ -11,17 +12,23 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv_table(
-    spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False
-) -> DataFrame:
+    spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False,
+    multi_line: bool = False,
+) -> DataFrame:
     """A headed CSV under a declared schema, columns matched by the file's header order.
 
+    Fields may be quoted, a quote inside is doubled; ``multi_line`` also allows line breaks inside (a
+    file is then read by one task). The text NaN in a number becomes null.
+
     ``keep_corrupt`` adds the raw text of lines that do not fit the schema.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.options(header=True, mode="PERMISSIVE", quote='"', escape='"', multiLine=multi_line)
     if keep_corrupt:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+    read = reader.schema(schema).csv(path)
+    numbers = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType | T.FloatType)]
+    return read.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers}) if numbers else read
 
 
 def load_raw(spark: SparkSession, folder: str, keep_corrupt: bool = False) -> dict[str, DataFrame]:

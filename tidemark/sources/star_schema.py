@@ -21,6 +21,7 @@ from tidemark.functions.numeric import mean, rows, total
 SNAPSHOT = dt.date(2000, 8, 1)
 HORIZON_DAYS = 365
 
+PART_DERIVED = frozenset({"product_name", "category"})
 LINE_DERIVED = frozenset({"returns_made", "preferred_category"})
 
 
@@ -54,7 +55,6 @@ class StarSchema:
         self.folder = folder.rstrip("/")
         self.snapshot = snapshot
         self.horizon_days = horizon_days
-        self.stored_orders: DataFrame | None = None
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
@@ -69,45 +69,42 @@ class StarSchema:
         bound = F.lit(dt.datetime.combine(self.snapshot, dt.time())).cast("timestamp_ntz")
         return self.source("orders").where(F.col("o_orderdate") < bound)
 
-    def orders(self) -> DataFrame:
+    def orders(self, *wanted: str) -> DataFrame:
         """One row per order line placed before the snapshot.
 
-        Plans that read the lines several times set ``stored_orders`` to a stored copy first.
+        Naming the wanted columns leaves the parts out where no part column is among them: every
+        line refers to a part, so the join changes no row.
         """
-        if self.stored_orders is not None:
-            return self.stored_orders
         heads = self._past_orders.select(
             "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("_d")
         )
-        lines = self.source("lineitem")
-        parts = self.source("part").select("p_partkey", "p_name", "p_type")
+        joined = self.source("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+        if not wanted or PART_DERIVED & set(wanted):
+            parts = self.source("part").select("p_partkey", "p_name", "p_type")
+            joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         ship = F.col("l_shipdate").cast("date")
         delivered = F.when(ship >= F.col("_d"), ship)
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         discount = F.col("l_discount").cast("decimal(4,2)")
-        return (
-            lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.col("p_partkey").alias("product_id"),
-                F.col("p_name").alias("product_name"),
-                F.col("p_type").alias("category"),
-                F.col("o_orderstatus").alias("order_status"),
-                F.col("_d").alias("order_date"),
-                delivered.alias("delivery_date"),
-                F.datediff(delivered, F.col("_d")).alias("delivery_days"),
-                F.when(
-                    F.col("l_orderkey") % 8 < 3, (1 + F.col("l_orderkey") % 5).cast("double")
-                ).alias("customer_rating"),
-                F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
-                (F.col("l_returnflag") == "R").cast("int").alias("returned"),
-                (price * (1 - discount)).cast("decimal(18,4)").alias("total_amount_usd"),
-                F.col("l_quantity").alias("session_duration_minutes"),
-                F.col("l_linenumber").alias("pages_viewed_before_purchase"),
-            )
-        )
+        rated = F.col("l_orderkey") % 8 < 3
+        columns = {
+            "order_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+            "customer_id": F.col("o_custkey"),
+            "product_id": F.col("l_partkey"),
+            "product_name": F.col("p_name"),
+            "category": F.col("p_type"),
+            "order_status": F.col("o_orderstatus"),
+            "order_date": F.col("_d"),
+            "delivery_date": delivered,
+            "delivery_days": F.datediff(delivered, F.col("_d")),
+            "customer_rating": F.when(rated, (1 + F.col("l_orderkey") % 5).cast("double")),
+            "discount_pct": F.round(F.col("l_discount") * 100).cast("int"),
+            "returned": (F.col("l_returnflag") == "R").cast("int"),
+            "total_amount_usd": (price * (1 - discount)).cast("decimal(18,4)"),
+            "session_duration_minutes": F.col("l_quantity"),
+            "pages_viewed_before_purchase": F.col("l_linenumber"),
+        }
+        return joined.select(*[columns[name].alias(name) for name in wanted or columns])
 
     def _order_history(self, with_priority: bool) -> DataFrame:
         """Per customer, from order heads: history measures and the label's later orders.
@@ -141,7 +138,7 @@ class StarSchema:
     def _line_history(self) -> DataFrame:
         """Per customer, from order lines: returns and the most bought category."""
         per_category = (
-            self.orders()
+            self.orders("customer_id", "category", "returned")
             .groupBy("customer_id", "category")
             .agg(rows().alias("n"), F.sum("returned").alias("returns"))
         )
@@ -196,10 +193,10 @@ class StarSchema:
         picked = wanted or tuple(columns)
         return base.select(*[columns[name].alias(name) for name in picked])
 
-    def monthly_revenue(self) -> DataFrame:
-        """Calendar months of the order history."""
+    def monthly_revenue(self, with_returned: bool = False) -> DataFrame:
+        """Calendar months of the order history; ``with_returned`` adds the number of returned orders."""
         by_month = (
-            self.orders()
+            self.orders("customer_id", "order_date", "total_amount_usd", "discount_pct", "returned")
             .groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
             .agg(
                 rows().alias("orders"),
@@ -207,6 +204,7 @@ class StarSchema:
                 mean(F.col("total_amount_usd")).alias("avg_order_value"),
                 mean(F.col("discount_pct")).alias("avg_discount_pct"),
                 mean(F.col("returned")).alias("return_rate"),
+                F.sum("returned").alias("returned"),
                 F.countDistinct("customer_id").alias("unique_customers"),
             )
         )
@@ -225,6 +223,7 @@ class StarSchema:
             "return_rate",
             "unique_customers",
             F.coalesce("new_customers", F.lit(0)).cast("bigint").alias("new_customers"),
+            *(["returned"] if with_returned else []),
         )
 
     def product_summary(self) -> DataFrame:

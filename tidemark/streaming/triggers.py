@@ -7,9 +7,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 DORMANT_AFTER = dt.timedelta(days=180)
@@ -98,8 +99,15 @@ def return_follow_ups(
     return returns.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([event_id])
 
 
+def written(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What ``run_available`` wrote; a stream without output gives an empty table."""
+    return spark.read.schema(schema).parquet(f"{folder}/out")
+
+
 def run_available(df: DataFrame, folder: str) -> StreamingQuery:
     """Process what is there and stop; output and progress live under ``folder``."""
+    # a sink that never gets a batch makes no folder
+    df.sparkSession.createDataFrame([], df.schema).write.parquet(f"{folder}/out")
     query = (
         df.writeStream.format("parquet")
         .outputMode("append")
