@@ -169,7 +169,7 @@ def _follow_ups(i: Inputs) -> DataFrame:
     """The stream, run over the event file until nothing is left."""
     stream = (
         i.spark.readStream.schema(SOURCES["events"])
-        .parquet(f"{i.star.folder}/events.parquet")
+        .parquet(f"{i.star.folder}/event[s].parquet")  # a pattern may match a file or a folder
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
     folder = f"{shared_dir(i.spark)}/tidemark/follow-ups-{uuid.uuid4().hex}"
