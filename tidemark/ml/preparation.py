@@ -7,7 +7,14 @@ loaded and chained with a model.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    SQLTransformer,
+    StandardScaler,
+    StandardScalerModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +50,17 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
     return {c: found.get(c, "") for c in columns}
 
 
+def learned_values(preparation: PipelineModel, numeric: tuple[str, ...], categorical: tuple[str, ...]) -> list[tuple]:
+    """(column, mean, standard deviation, known labels) as the fitted stages hold them, a row a column."""
+    scaler = next(s for s in preparation.stages if isinstance(s, StandardScalerModel))
+    rows = [
+        (c, float(m), float(d), None) for c, m, d in zip(numeric, scaler.mean.toArray(), scaler.std.toArray())
+    ]
+    indexer = [s for s in preparation.stages if isinstance(s, StringIndexerModel)]
+    labels = indexer[0].labelsArray if indexer else []
+    return rows + [(c, None, None, len(known)) for c, known in zip(categorical, labels)]
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -308,6 +308,71 @@ def _pairs() -> str:
     return " UNION ALL ".join(parts)
 
 
+MODEL_NUMBERS = [
+    "age", "total_orders", "total_spend_usd", "avg_order_value_usd", "days_since_last_purchase", "reviews_given",
+    "avg_review_score", "returns_made", "wishlist_items", "newsletter_subscribed", "customer_tenure_days",
+    "rfm_score", "recency_score", "frequency_score", "monetary_score", "tier_rank", "engagement_score",
+    "high_return_flag", "low_satisfaction_flag", "dormant_flag", "churn_risk_score", "return_rate",
+    "avg_session_mins", "avg_pages_viewed", "pct_discounted_orders", "unique_categories",
+]
+MODEL_TEXTS = [
+    "gender", "membership_tier", "preferred_category", "preferred_device", "preferred_payment_method",
+    "acquisition_channel",
+]
+
+
+def _filled_number(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return f"SELECT coalesce({x}, (SELECT quantile_cont({x}, 0.5) FROM features), 0e0) AS x FROM features"
+
+
+def _mode(c: str, source: str = "features") -> str:
+    return f"""(SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1)"""
+
+
+def _preparation_values() -> str:
+    numbers = [
+        f"""SELECT '{c}' AS column_name, {r(f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM features)", 4)} AS median,
+          {r("avg(x)", 4)} AS mean, {r("stddev_samp(x)", 4)} AS std, CAST(NULL AS VARCHAR) AS mode,
+          CAST(NULL AS INTEGER) AS labels FROM ({_filled_number(c)})"""
+        for c in MODEL_NUMBERS
+    ]
+    texts = [
+        f"""SELECT '{c}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), {_mode(c)},
+          CAST((SELECT COUNT(DISTINCT {c}) FROM features) AS INTEGER)"""
+        for c in MODEL_TEXTS
+    ]
+    return " UNION ALL ".join(numbers + texts)
+
+
+def _encoded_rows() -> str:
+    """Place of the text among the sorted texts of the fitting rows, -1 for a text not among them."""
+    seen = "(SELECT * FROM features WHERE membership_tier IS DISTINCT FROM 'Platinum')"
+    places = [
+        f"""CAST(coalesce(list_position((SELECT list_sort(list(DISTINCT {c})) FROM {seen} WHERE {c} IS NOT NULL),
+          coalesce({c}, {_mode(c, seen)})), 0) - 1 AS INTEGER) AS {c}"""
+        for c in MODEL_TEXTS
+    ]
+    return f"SELECT customer_id, {', '.join(places)} FROM features"
+
+
+def _contributions() -> str:
+    """Mean absolute coefficient times distance from the mean; numbers standardised, texts as ordinals."""
+    parts = []
+    for j, c in enumerate(MODEL_NUMBERS + MODEL_TEXTS):
+        b = f"({(j % 5 - 2) * 0.3!r}e0)"
+        if c in MODEL_NUMBERS:
+            rows, z = _filled_number(c), "CASE WHEN s = 0 THEN 0e0 ELSE (x - m)/s END"
+        else:
+            rows, z = f"""SELECT CAST(list_position((SELECT list_sort(list(DISTINCT {c})) FROM features
+              WHERE {c} IS NOT NULL), coalesce({c}, {_mode(c)})) - 1 AS DOUBLE) AS x FROM features""", "x - m"
+        parts.append(
+            f"""SELECT '{c}' AS feature, avg(abs({b}*({z}))) AS m
+            FROM ({rows}), (SELECT avg(x) AS m, stddev_samp(x) AS s FROM ({rows}))"""
+        )
+    return " UNION ALL ".join(parts)
+
+
 def _target() -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, {r(f'corr({c}, churned)', 6)} AS r FROM corr_input"
@@ -709,8 +774,16 @@ def all_oracles() -> dict[str, str]:
             {EXPECTED_LOSS} AS expected_loss_usd FROM predictions JOIN customers USING (customer_id)
             GROUP BY {key}""")
     add("cohort_profile", _profile(0.5))
-    add("top_drivers", f"""SELECT feature, {r("abs(r)", 4)} AS importance FROM target_rows
-        ORDER BY abs(r) DESC, feature LIMIT 15""", corr_input=CORR_INPUT, target_rows=_target())
+    contributions = _contributions()
+    add("linear_contributions", f"SELECT feature, {r('m', 6)} AS mean_abs_shap FROM ({contributions})")
+    add("preparation_values", _preparation_values())
+    add("encoded_rows", _encoded_rows())
+    add("fold_sizes", """SELECT churned, CAST(f AS INT) AS fold,
+        CAST((CASE WHEN f = 4 THEN n ELSE floor(n*((f + 1)/5e0) + 0.5) END)
+          - (CASE WHEN f = 0 THEN 0 ELSE floor(n*(f/5e0) + 0.5) END) AS BIGINT) AS customers
+        FROM (SELECT churned, COUNT(*) AS n FROM customers GROUP BY churned), range(5) t(f)""")
+    add("top_drivers", f"""SELECT feature, {r("m", 4)} AS importance FROM ({contributions})
+        ORDER BY m DESC, feature LIMIT 15""")
     retention = """SELECT customer_id, membership_tier, total_spend_usd, days_since_last_purchase,
         churn_probability FROM customers JOIN predictions USING (customer_id) WHERE risk_tier = 'HIGH'"""
     add("retention_list", retention)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import binning as b
 from tidemark.functions.numeric import round_half_away
-from tidemark.ml import attribution, curve, sampling, training
+from tidemark.ml import attribution, curve, preparation, sampling, training
 from tidemark.ml.candidates import FOREST, LOGISTIC, Settings
 from tidemark.operators import commerce, correlation, features, profiling, risk, segments
 from tidemark.operators.cleaning import parse_date, rejected_customers
@@ -228,14 +229,19 @@ def _sizes(i: Inputs) -> DataFrame:
     return counted[0].join(counted[1], "churned")
 
 
-def _champion(i: Inputs, models=(LOGISTIC,)) -> tuple[training.Comparison, DataFrame]:
+# Ensembles of the registered model queries; the command line trains with the full settings.
+ENSEMBLES = Settings(forest_trees=20, boosting_rounds=10)
+
+
+def _champion(i: Inputs, models=ENSEMBLES.models, cross_validate=False) -> tuple[training.Comparison, DataFrame]:
     features = settle(i.features(), "features")
-    result = training.compare(features, Settings(models=models), cross_validate=False)
+    result = training.compare(features, replace(ENSEMBLES, models=models), cross_validate=cross_validate)
     return result, features
 
 
 def _model_comparison(i: Inputs) -> DataFrame:
-    return _champion(i, Settings().models)[0].table(i.spark)
+    """All candidates with test AUC and AUC by five folds; the best on the test rows is the champion."""
+    return _champion(i, cross_validate=True)[0].table(i.spark)
 
 
 def _cross_validation(i: Inputs) -> DataFrame:
@@ -256,6 +262,62 @@ def _permutation(i: Inputs) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class FixedLinear:
+    """A linear model with given coefficients, for checking what is derived from a fitted one."""
+
+    coefficients: tuple[float, ...]
+
+
+NUMERIC, CATEGORICAL = features.NUMERIC_FEATURES, features.CATEGORICAL_FEATURES
+# Fixed values: -0.6 to 0.6 in steps of 0.3, repeating.
+FIXED_COEFFICIENTS = FixedLinear(tuple((j % 5 - 2) * 0.3 for j in range(len(NUMERIC + CATEGORICAL))))
+
+
+def _preparation_values(i: Inputs) -> DataFrame:
+    data = settle(training.model_columns(i.features()), "model-columns")
+    fitted = preparation.fit_preparation(data, NUMERIC, CATEGORICAL)
+    medians = preparation.exact_medians(data, list(NUMERIC))
+    modes = preparation.modes(data, list(CATEGORICAL))
+    rows = [
+        (c, medians.get(c), m, d, modes.get(c), n)
+        for c, m, d, n in preparation.learned_values(fitted, NUMERIC, CATEGORICAL)
+    ]
+    learned = i.spark.createDataFrame(
+        rows, "column_name string, median double, mean double, std double, mode string, labels int"
+    )
+    return learned.select(
+        "column_name", *[round_half_away(F.col(c), 4).alias(c) for c in ("median", "mean", "std")], "mode", "labels"
+    )
+
+
+def _encoded_rows(i: Inputs) -> DataFrame:
+    """Ordinals of all customers under a preparation that never saw one of the tiers."""
+    data = settle(training.model_columns(i.features()), "model-columns")
+    seen = data.where(F.coalesce(F.col("membership_tier") != "Platinum", F.lit(True)))
+    encoded = preparation.fit_preparation(seen, NUMERIC, CATEGORICAL).transform(data)
+    return encoded.select("customer_id", *[F.col(f"{c}__ord").cast("int").alias(c) for c in CATEGORICAL])
+
+
+def _fold_sizes(i: Inputs) -> DataFrame:
+    folded = sampling.stratified_folds(
+        i.settled_customers("customer_id", "churned"), "customer_id", "churned"
+    )
+    return folded.groupBy("churned", "fold").agg(F.count(F.lit(1)).alias("customers"))
+
+
+def _linear_contributions(i: Inputs) -> DataFrame:
+    data = settle(training.model_columns(i.features()), "model-columns")
+    fitted = preparation.fit_preparation(data, NUMERIC, CATEGORICAL)
+    names = list(NUMERIC + CATEGORICAL)
+    return attribution.linear_importance(FIXED_COEFFICIENTS, fitted.transform(data), names)
+
+
+def _rounded_contributions(i: Inputs) -> DataFrame:
+    out = _linear_contributions(i)
+    return out.select("feature", round_half_away(F.col("mean_abs_shap"), 6).alias("mean_abs_shap"))
+
+
 PLANS: dict[str, Plan] = {
     # profiling
     "table_shapes": _shapes,
@@ -395,7 +457,7 @@ PLANS: dict[str, Plan] = {
         lambda c, p: risk.cohort_profile(c, p, 0.5),
         *risk.PROFILE_KEYS, "returns_made", "total_orders", "avg_review_score",
     ),
-    "top_drivers": lambda i: risk.top_drivers(i.importance()),
+    "top_drivers": lambda i: risk.top_drivers(_linear_contributions(i)),
     "retention_list": _scored(
         risk.retention_list, "membership_tier", "total_spend_usd", "days_since_last_purchase"
     ),
@@ -415,6 +477,10 @@ PLANS: dict[str, Plan] = {
     "risk_score_auc": _auc,
     "classification_report": _report,
     "split_sizes": _sizes,
+    "fold_sizes": _fold_sizes,
+    "preparation_values": _preparation_values,
+    "encoded_rows": _encoded_rows,
+    "linear_contributions": _rounded_contributions,
     "class_weights": lambda i: sampling.class_weights(i.customers("churned"), "churned"),
     # storage
     "csv_reload": _csv_reload,
@@ -429,6 +495,7 @@ PLANS: dict[str, Plan] = {
 MODEL_PLANS: dict[str, Plan] = {
     "churn_scores": _churn_scores,
     "driver_importance": lambda i: training.importance(_champion(i)[0]),
+    "top_model_drivers": lambda i: risk.top_drivers(training.importance(_champion(i)[0])),
     "model_report": lambda i: training.test_report(_champion(i)[0]),
     "forest_importance": lambda i: training.importance(_champion(i, (FOREST,))[0]),
     "permutation_importance": _permutation,
