@@ -204,6 +204,12 @@ def grow_tree(key: np.ndarray, times: np.ndarray, texts: int, rules: TreeModelRu
     return tree
 
 
+def numbers(df: DataFrame) -> list[np.ndarray]:
+    """The integer columns of a bounded table as arrays."""
+    found = df.toArrow()
+    return [found.column(k).to_numpy().astype(np.int64) for k in range(found.num_columns)]
+
+
 def score_texts(
     df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", rules: TreeModelRules = TreeModelRules()
 ) -> DataFrame:
@@ -217,11 +223,12 @@ def score_texts(
     below = tokens + 0.5 * (distinct + 1)
     symbols = counts.filter((F.col("kind") == 0) & (F.col("key") < 1 << 56)).agg(F.sum("times")).first()[0] or 0
     grams = counts.filter((F.col("kind") == 0) & (F.col("times") >= max(1, rules.entry_share * symbols)))
-    found = grams.select("key", "times").toPandas()
-    tree = grow_tree(found["key"].to_numpy(np.int64).view(np.uint64), found["times"].to_numpy(np.int64), texts, rules)
+    found = numbers(grams.select("key", "times"))
+    tree = grow_tree(found[0].view(np.uint64), found[1], texts, rules)
     words = counts.filter(F.col("kind") == 1).select("key", "times")
-    often = words.filter(F.col("times") >= max(1, rules.word_share * tokens)).toPandas().sort_values("key")
-    shared = spark.sparkContext.broadcast((tree, often["key"].to_numpy(np.int64), often["times"].to_numpy(np.int64)))
+    often = numbers(words.filter(F.col("times") >= max(1, rules.word_share * tokens)))
+    order = np.argsort(often[0])
+    shared = spark.sparkContext.broadcast((tree, often[0][order], often[1][order]))
     end_score = float(np.log10((texts + 0.5) / below))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
