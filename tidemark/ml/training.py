@@ -208,10 +208,11 @@ def load_model(spark: SparkSession, folder: str) -> Trained:
 
 
 def train_and_publish(
-    features: DataFrame, folder: str, settings: Settings = Settings(), selection: str = "test"
-) -> dict[str, DataFrame]:
+    features: DataFrame, folder: str, settings: Settings = Settings(), selection: str = "test",
+    cross_validate: bool = True,
+) -> dict[str, DataFrame]:
     """Train, explain, score and write model, predictions and importances."""
-    result = compare(features, settings, selection)
+    result = compare(features, settings, selection, cross_validate)
     drivers = importance(result)
     predictions = predict_all(result.champion, features)
     save_model(result.champion, folder)

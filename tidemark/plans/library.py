@@ -40,10 +40,15 @@ def open_tables(spark: SparkSession, folder: str, scored: bool = False) -> dict[
 def clean_and_publish(
     spark: SparkSession, raw_folder: str, out_folder: str, snapshot: dt.date = SNAPSHOT
 ) -> dict[str, DataFrame]:
-    """Load the four CSV tables, clean them, write Parquet, register tables and views."""
+    """Load the four CSV tables, clean them, write tables and business views, register both.
+
+    The views are written as tables of their own, so that they outlive the run.
+    """
     cleaned = clean_all(readers.load_raw(spark, raw_folder), snapshot)
     publish.write_tables(cleaned, out_folder)
-    return open_tables(spark, out_folder)
+    tables = open_tables(spark, out_folder)
+    publish.write_tables(business_views(tables), out_folder)
+    return tables
 
 
 def train(

@@ -840,13 +840,29 @@ def all_oracles() -> dict[str, str]:
     add("published_rows", " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, {COUNT} AS row_count FROM {t}" for n, t in published))
 
+    add("clean_from_csv", " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, {COUNT} AS row_count, CAST(SUM({c}) AS DOUBLE) AS measure FROM {t}"
+        for (n, t), c in zip(published, (
+            "customer_tenure_days", "customer_rating", "unique_customers", "total_orders"))))
+    add("catalog_rows", f"""SELECT 'tidemark_customers' AS table_name, {COUNT} AS row_count FROM customers
+        UNION ALL SELECT 'tidemark_revenue', {COUNT} FROM revenue""")
+    add("exported_views", """SELECT 'v_executive_kpis' AS table_name, CAST(1 AS BIGINT) AS row_count
+        UNION ALL SELECT 'v_churn_by_tier', CAST(COUNT(*) AS BIGINT) FROM (SELECT DISTINCT membership_tier FROM customers)
+        UNION ALL SELECT 'v_churn_by_channel', CAST(COUNT(*) AS BIGINT)
+          FROM (SELECT DISTINCT acquisition_channel FROM customers)
+        UNION ALL SELECT 'v_revenue_trend', CAST(COUNT(*) AS BIGINT) FROM revenue""")
+    add("model_round_trip", f"""SELECT {COUNT} AS customers, CAST(0 AS BIGINT) AS differing,
+        CAST({len(MODEL_NUMBERS + MODEL_TEXTS)} AS BIGINT) AS drivers FROM customers""")
+
     # -- events
-    add("dormancy_spells", """SELECT user_id AS customer_id, MIN(ts) AS active_from, MAX(ts) AS last_event,
+    dormancy = """SELECT user_id AS customer_id, MIN(ts) AS active_from, MAX(ts) AS last_event,
         MAX(ts) + INTERVAL 12 HOUR AS dormant_at, CAST(COUNT(*) AS BIGINT) AS events
         FROM (SELECT user_id, ts, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS spell FROM (
           SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
             + INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh FROM events WHERE user_id IS NOT NULL))
         GROUP BY user_id, spell
-        HAVING MAX(ts) + INTERVAL 12 HOUR <= (SELECT MAX(ts) FROM events)""")
+        HAVING MAX(ts) + INTERVAL 12 HOUR <= (SELECT MAX(ts) FROM events)"""
+    add("dormancy_spells", dormancy)
+    add("dormancy_stream", dormancy + " - INTERVAL 1 DAY")
     add("return_follow_ups", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error'")
     return q

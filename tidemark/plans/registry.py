@@ -16,7 +16,8 @@ from tidemark.functions.numeric import round_half_away
 from tidemark.ml import attribution, curve, preparation, sampling, training
 from tidemark.ml.candidates import FOREST, LOGISTIC, Settings
 from tidemark.operators import commerce, correlation, features, profiling, risk, segments
-from tidemark.operators.cleaning import parse_date, rejected_customers
+from tidemark.operators.cleaning import clean_all, parse_date, rejected_customers
+from tidemark.plans import library
 from tidemark.plans.inputs import CUSTOMER_COLUMNS, ROLLUP_COLUMNS, Inputs
 from tidemark.session import settle, shared_dir
 from tidemark.sources import publish, readers
@@ -219,6 +220,100 @@ def _csv_reload(i: Inputs) -> DataFrame:
     )
 
 
+def _raw_csv(i: Inputs) -> str:
+    """The four raw tables as headed CSV below shared storage."""
+    folder = f"{shared_dir(i.spark)}/tidemark/raw-{uuid.uuid4().hex}"
+    tables = {
+        "customers": i.raw_customers(),
+        "orders": i.star.orders(),
+        "monthly_revenue": i.star.monthly_revenue(),
+        "product_summary": i.products(),
+    }
+    for name, df in tables.items():
+        df.select(*RAW_TABLES[name].names).write.option("header", True).csv(f"{folder}/{name}.csv")
+    return folder
+
+
+def _clean_from_csv(i: Inputs) -> DataFrame:
+    """The whole cleaning step from CSV, totalled per table."""
+    cleaned = clean_all(readers.load_raw(i.spark, _raw_csv(i)), i.star.snapshot)
+    measures = {
+        "customers": "customer_tenure_days", "orders": "customer_rating",
+        "monthly_revenue": "unique_customers", "product_summary": "total_orders",
+    }
+    parts = [
+        cleaned[name].agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.col(c).cast("double")).alias("measure"),
+        )
+        for name, c in measures.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _catalog_rows(i: Inputs) -> DataFrame:
+    """Two tables put into the catalog, replaced by themselves, counted and dropped again."""
+    suffix = uuid.uuid4().hex[:12]
+    tables = {
+        f"tidemark_customers_{suffix}": i.settled_customers("customer_id", "churned"),
+        f"tidemark_revenue_{suffix}": settle(i.revenue(), "revenue"),
+    }
+    for _ in range(2):
+        publish.replace_catalog_tables(tables, bucket_by={f"tidemark_customers_{suffix}": (4, "customer_id")})
+    found = publish.catalog_tables(i.spark, list(tables))
+    counted = settle(publish.audit_rows(found), "catalog-rows")
+    for name in tables:
+        i.spark.sql(f"DROP TABLE {name}")
+    return counted.withColumn("table_name", F.regexp_replace("table_name", f"_{suffix}$", ""))
+
+
+def _exported_views(i: Inputs) -> DataFrame:
+    """The four business views published, exported as CSV, read back and counted."""
+    folder = f"{shared_dir(i.spark)}/tidemark/export-{uuid.uuid4().hex}"
+    tables = {"customers": i.settled_customers("membership_tier", "acquisition_channel", *SPEND)}
+    views = library.business_views(tables | {"monthly_revenue": settle(i.revenue(), "revenue")})
+    publish.write_tables(views, folder)
+    written = readers.load_clean(i.spark, folder, list(views))
+    publish.register_views(written)
+    publish.export_csv(i.spark, f"{folder}/csv", tuple(views))
+    back = {n: i.spark.read.option("header", True).csv(f"{folder}/csv/{n}") for n in views}
+    return publish.audit_rows(back)
+
+
+def _model_round_trip(i: Inputs) -> DataFrame:
+    """Train, publish, load the saved model again: customers, drivers, and scores that differ."""
+    folder = f"{shared_dir(i.spark)}/tidemark/model-{uuid.uuid4().hex}"
+    table = settle(i.features(), "features")
+    training.train_and_publish(table, folder, replace(ENSEMBLES, models=(LOGISTIC,)), cross_validate=False)
+    written = readers.load_clean(i.spark, folder, ["churn_predictions", "shap_importance"])
+    again = training.predict_all(training.load_model(i.spark, folder), table)
+    both = written["churn_predictions"].join(
+        again.select("customer_id", F.col("churn_probability").alias("p")), "customer_id", "full"
+    )
+    differs = ~F.col("churn_probability").eqNullSafe(F.col("p"))
+    drivers = written["shap_importance"].agg(F.count(F.lit(1))).scalar()
+    return both.agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(differs).alias("differing"), drivers.alias("drivers")
+    )
+
+
+def _dormancy_stream(i: Inputs) -> DataFrame:
+    """The session-window path: spells that the watermark (a day behind the last event) has passed."""
+    stream = (
+        i.spark.readStream.schema(SOURCES["events"])
+        .parquet(f"{i.star.folder}/event[s].parquet")
+        .select(F.col("user_id").alias("customer_id"), F.col("ts").cast("timestamp").alias("ts"))
+    )
+    folder = f"{shared_dir(i.spark)}/tidemark/dormancy-{uuid.uuid4().hex}"
+    spells = triggers.dormancy(stream, gap=dt.timedelta(hours=12))
+    triggers.run_available(spells, folder)
+    return triggers.written(i.spark, folder, spells.schema).select(
+        "customer_id",
+        *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("active_from", "last_event", "dormant_at")],
+        "events",
+    )
+
+
 def _sizes(i: Inputs) -> DataFrame:
     customers = i.settled_customers("customer_id", "churned")
     train, test = sampling.stratified_split(customers, "customer_id", "churned")
@@ -486,8 +581,13 @@ PLANS: dict[str, Plan] = {
     "csv_reload": _csv_reload,
     "published_rows": _published_rows,
     "published_columns": _published_columns,
+    "clean_from_csv": _clean_from_csv,
+    "catalog_rows": _catalog_rows,
+    "exported_views": _exported_views,
+    "model_round_trip": _model_round_trip,
     # event-driven triggers
     "dormancy_spells": _dormancy,
+    "dormancy_stream": _dormancy_stream,
     "return_follow_ups": _follow_ups,
 }
 
