@@ -32,7 +32,7 @@ def test_chunks_change_nothing(spark, odd, chunk, overlap):
 
 
 def test_decoding_returns_the_bytes(spark, odd, none):
-    back = bpe.decode_documents(bpe.encode_documents(odd, PATH, PATTERN), PATH, PATTERN)
+    back = bpe.decode_documents(bpe.encode_documents(odd, PATH, PATTERN), PATH)
     assert sorted(bytes(r["decoded"]) for r in back.collect()) == sorted((r["text"] or "").encode() for r in odd.collect())
     assert bpe.encode_documents(none, PATH, PATTERN).count() == 0
 

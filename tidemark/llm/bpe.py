@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bound_batches, store
+from tidemark.llm.common import bound_batches, store, tidy
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
@@ -39,12 +39,11 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 @lru_cache(maxsize=4)
-def token_bytes(path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
     """All tokens' bytes in one array, and their offsets by id."""
-    enc = encoding(path, pattern)
-    own: list[bytes] = [b""] * enc.n_vocab
-    for token in enc.token_byte_values():
-        own[enc.encode_single_token(token)] = token
+    with open(path, "rb") as lines:
+        ranks = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, lines)}
+    own = [ranks.get(k, b"") for k in range(max(ranks, default=-1) + 1)]
     at = np.zeros(len(own) + 1, dtype=np.int64)
     np.cumsum([len(t) for t in own], out=at[1:])
     return np.frombuffer(b"".join(own), np.uint8), at
@@ -66,7 +65,7 @@ def decode_ids(ids: bytes, tokens: np.ndarray, at: np.ndarray) -> bytes:
 def _encoded(path: str, pattern: str, keys: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(path, pattern)
-        for batch in batches:
+        for batch in tidy(batches):
             ids = [encode_text(enc, text.as_py()) for text in batch.column(keys)]
             kept = [batch.column(k) for k in range(keys)]
             yield pa.RecordBatch.from_arrays(
@@ -107,7 +106,7 @@ def long_pieces(df: DataFrame, id_col: str, pattern: str, size: int, overlap: in
     ]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             for row, own, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 for k, start in enumerate(range(0, len(text), size)):
                     yield pa.RecordBatch.from_arrays(
@@ -117,7 +116,7 @@ def long_pieces(df: DataFrame, id_col: str, pattern: str, size: int, overlap: in
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = regex.compile(pattern)
-        for batch in batches:
+        for batch in tidy(batches):
             heads, tails = [], []
             for text in batch.column(3).to_pylist():
                 starts = [m.start() for m in matcher.finditer(text)]
@@ -159,12 +158,12 @@ def long_pieces(df: DataFrame, id_col: str, pattern: str, size: int, overlap: in
     ).select("row", id_col, "piece", "text")
 
 
-def decode_documents(df: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+def decode_documents(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """The rows with one more column, ``decoded``: the bytes of their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, at = token_bytes(path, pattern)
-        for batch in batches:
+        tokens, at = token_bytes(path)
+        for batch in tidy(batches):
             ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
             decoded = pa.array([decode_ids(x or b"", tokens, at) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, "decoded"])

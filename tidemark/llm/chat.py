@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bound_batches, flat, packed, shuffle_parts
+from tidemark.llm.common import bound_batches, flat, packed, shuffle_parts, tidy
 
 # The template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]")
@@ -148,7 +148,7 @@ def format_conversations(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for batch in batches:
+        for batch in tidy(batches):
             if not batch.num_rows:
                 continue
             ids = batch.column(0).to_pylist()

@@ -18,7 +18,7 @@ from tidemark.session import settle
 GAP_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 # Work arrays are built for this many bytes of text at a time; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 IS_GAP = np.zeros(256, dtype=bool)
 IS_GAP[list(GAP_BYTES)] = True
@@ -26,7 +26,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches sent to Python hold at most ``rows`` rows, so that long texts fit in memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
@@ -78,13 +78,21 @@ def slices(offsets: np.ndarray, budget: int = SLICE_BYTES) -> Iterator[tuple[int
         first = last
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(
+    column: pa.Array, budget: int = SLICE_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, bytes, offsets from 0) of each slice of the column."""
     data, offsets = flat(column)
-    for a, b in slices(offsets):
+    for a, b in slices(offsets, budget):
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; a worker that is kept for later tasks then gives its free memory back."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 class Words:
     """Word positions of a slice: starts, ends, row of each word, and words before each row."""
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bound_batches
+from tidemark.llm.common import bound_batches, tidy
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -221,7 +221,7 @@ def extract_pages(
     kept = [id_col, *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             texts = [main_text(x.as_py(), rules) for x in batch.column(0)]
             own = [batch.column(k + 1) for k in range(len(kept))]
             yield pa.RecordBatch.from_arrays(

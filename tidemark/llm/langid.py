@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import IS_GAP, LOWER, bound_batches, text_slices
+from tidemark.llm.common import IS_GAP, LOWER, bound_batches, text_slices, tidy
 
 UNKNOWN = "und"
 GRAMS = (2, 3, 4)
 BUCKET_BITS = 14
+WORK_BYTES = 1 << 20  # of text at a time: every byte takes some sixty in work arrays
 SPREAD = np.uint32(0x9E3779B1)
 
 
@@ -108,8 +109,8 @@ def sample_features(df: DataFrame, lang_col: str, text_col: str, order_col: str,
     chosen = labelled.filter(draw < F.element_at(F.create_map(*pairs), F.col(lang_col)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in text_slices(batch.column(2)):
+        for batch in tidy(batches):
+            for a, b, data, offsets in text_slices(batch.column(2), WORK_BYTES):
                 found = bucket_counts(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], batch.column(1)[a:b],
@@ -213,8 +214,8 @@ def predict_languages(df: DataFrame, model: LangModel, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.languages, UNKNOWN], dtype=object)
-        for batch in batches:
-            for a, b, data, offsets in text_slices(batch.column(1)):
+        for batch in tidy(batches):
+            for a, b, data, offsets in text_slices(batch.column(1), WORK_BYTES):
                 best, score = scores(model, data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], pa.array(names[best], pa.string()), pa.array(score), pa.array((best < 0) | (score < model.reject))],
@@ -234,8 +235,8 @@ def keep_identified(df: DataFrame, model: LangModel, text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            for a, b, data, offsets in text_slices(batch.column(at)):
+        for batch in tidy(batches):
+            for a, b, data, offsets in text_slices(batch.column(at), WORK_BYTES):
                 best, score = scores(model, data, offsets)
                 yield batch.slice(a, b - a).filter(pa.array((best >= 0) & (score >= model.reject)))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Words, bound_batches, codes_of, mixed, packed, repeated, text_slices
+from tidemark.llm.common import Words, bound_batches, codes_of, mixed, packed, repeated, text_slices, tidy
 
 BASE_LENGTH = 5
 ROLL = np.uint64(0x9E3779B97F4A7C15)
@@ -148,7 +148,7 @@ def quality_report(
     bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(1)):
                 m = measure(data, offsets, lengths)
                 base, kept = verdicts(m, rules)
@@ -168,7 +168,7 @@ def keep_good(df: DataFrame, text_col: str = "text", rules: QualityRules = Quali
     bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(at)):
                 _, kept = verdicts(measure(data, offsets, lengths), rules)
                 yield batch.slice(a, b - a).filter(pa.array(kept))

@@ -81,7 +81,7 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = encode_documents(table(spark, folder, "documents"), path, pattern)
-    return decode_documents(encoded, path, pattern).select(
+    return decode_documents(encoded, path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import LOWER, Words, bound_batches, shuffle_parts, store, text_slices
+from tidemark.llm.common import LOWER, Words, bound_batches, shuffle_parts, store, text_slices, tidy
 from tidemark.llm.components import components
 
 BITS = 64
@@ -93,7 +93,7 @@ def fingerprint_documents(df: DataFrame, text_col: str = "text", width: int = 3)
     others = [c for c in df.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(0)):
                 found = fingerprints(data, offsets, width).view(np.int64)
                 kept = [batch.column(k)[a:b] for k in range(1, batch.num_columns)]
@@ -112,7 +112,7 @@ def co_occurrence(nodes: DataFrame) -> tuple[int, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros((BITS, BITS)), 0
-        for batch in batches:
+        for batch in tidy(batches):
             own = bit_matrix(batch.column(0).to_numpy().view(np.uint64)).astype(np.float32)
             total += own.T @ own
             rows += len(own)
@@ -199,7 +199,7 @@ def entries(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     """(value, probe, fingerprint): where a fingerprint is filed (probe 0) and where it looks (probe 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             own = batch.column(0).to_numpy().view(np.uint64)
             for k, (bits, most) in enumerate(plan):
                 base = group_value(own, bits) | (k << 60)
@@ -254,7 +254,7 @@ def link_entries(rows: DataFrame, rules: SimHashRules) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in batches:
+        for batch in tidy(batches):
             now = [batch.column(k).to_numpy() for k in range(5)]
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now)]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import LOWER, Words, bound_batches, codes_of, store, text_slices
+from tidemark.llm.common import LOWER, Words, bound_batches, codes_of, store, text_slices, tidy
 
 END, BEFORE, KINDS = 10, 0, 257
 HOLD = 3_000_000  # distinct n-grams a task gathers before it passes them on
@@ -102,7 +102,7 @@ def corpus_counts(df: DataFrame, text_col: str, rules: TreeModelRules) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, words, texts = ([], []), ([], []), 0
-        for batch in batches:
+        for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(0)):
                 texts += b - a
                 symbols, limits, found, low = symbol_stream(data, offsets)
@@ -234,7 +234,7 @@ def score_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, known, times = shared.value
         gain = np.log10((times + 0.5) / below)
-        for batch in batches:
+        for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(2)):
                 symbols, limits, found, low = symbol_stream(data, offsets)
                 key, where = np.unique(windows(symbols, limits, tree.depth), return_inverse=True)

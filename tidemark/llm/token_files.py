@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import runs
-from tidemark.llm.common import LOWER, Words, bound_batches, codes_of, packed, shuffle_parts, store, text_slices
+from tidemark.llm.common import LOWER, Words, bound_batches, codes_of, packed, shuffle_parts, store, text_slices, tidy
 from tidemark.session import shared_dir
 
 MAGIC = b"TIDEIDS1"
@@ -168,7 +168,7 @@ def encoded_ids(df: DataFrame, path: str, id_col: str, text_col: str, end_id: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path, end_id)
-        for batch in batches:
+        for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(1)):
                 ids, limits = encoder(data, offsets)
                 raw, size = ids.tobytes(), encoder.kind.itemsize
@@ -194,7 +194,7 @@ def write_files(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         store_fs, place = arrow_fs.FileSystem.from_uri(folder)
         out = target = part = None
         own, known, sizes, shard = [], [], [], -1
-        for batch in batches:
+        for batch in tidy(batches):
             if not batch.num_rows:
                 continue
             if out is None:
@@ -261,7 +261,7 @@ def read_files(manifest: DataFrame, step: int = 2000) -> DataFrame:
     placed = manifest.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"), "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = TokenFile(name)
                 for a in range(0, own.n_docs, step):
