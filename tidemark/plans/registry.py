@@ -611,6 +611,7 @@ def as_query(plan: Plan) -> Query:
 def all_queries() -> dict[str, Query]:
     return {name: as_query(plan) for name, plan in (PLANS | MODEL_PLANS).items()}
 
+
 # Timed by the benchmark: one or more per operator family, without near-duplicates.
 HEADLINE = (
     "executive_kpis", "churn_by_tier", "churn_by_channel", "revenue_per_user",
@@ -626,5 +627,6 @@ HEADLINE = (
     "recency_histogram", "recency_box", "correlation_matrix", "target_correlations",
     "order_rollup", "feature_table", "prediction_table", "cohort_profile", "insight_report",
     "best_threshold", "risk_score_auc", "classification_report", "split_sizes", "csv_reload",
-    "dormancy_spells",
+    "dormancy_spells", "return_follow_ups", "published_rows", "clean_from_csv", "preparation_values",
+    "linear_contributions", "churn_scores", "model_comparison",
 )
