@@ -17,6 +17,7 @@ from tidemark.session import settle
 # Fixed value: reporting date of the shipped extracts.
 SNAPSHOT = dt.date(2026, 4, 1)
 
+# Fixed value: the columns published in title case.
 TITLE_CASED = (
     "membership_tier", "gender", "preferred_category", "preferred_device",
     "preferred_payment_method", "acquisition_channel", "country",

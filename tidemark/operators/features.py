@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,8 @@ DAYS_PER_MONTH = 30.44
 DORMANT_DAYS = 180
 HIGH_RETURN_RATE = 0.20
 LOW_REVIEW_SCORE = 3
+RFM_WEIGHTS = (0.35, 0.35, 0.30)  # recency, frequency, monetary
+RISK_WEIGHTS = (0.30, 0.25, 0.20, 0.15, 0.10)  # recency, frequency, returns, satisfaction, engagement
 VALUE_SEGMENTS = ("High Value", "Mid Value", "Low Value")
 VALUE_REST = "At Risk"
 
@@ -176,16 +181,15 @@ def build_features(customers: DataFrame, orders: DataFrame) -> DataFrame:
         }
     )
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
-    risk = (
-        (1 - r / 5) * 0.30
-        + (1 - f / 5) * 0.25
-        + F.col("high_return_flag") * 0.20
-        + F.col("low_satisfaction_flag") * 0.15
-        + (1 - F.col("engagement_score") / 3) * 0.10
-    )
+    parts = (
+        1 - r / 5, 1 - f / 5, F.col("high_return_flag"), F.col("low_satisfaction_flag"),
+        1 - F.col("engagement_score") / 3,
+    )
+    risk = reduce(add, (part * weight for part, weight in zip(parts, RISK_WEIGHTS)))
+    rfm = reduce(add, (part * weight for part, weight in zip((r, f, m), RFM_WEIGHTS)))
     return scored.drop("_ranks").withColumns(
         {
-            "rfm_score": r * 0.35 + f * 0.35 + m * 0.30,
+            "rfm_score": rfm,
             "high_value_at_risk": flag((m >= 4) & (F.col("dormant_flag") == 1)),
             "churn_risk_score": round_half_even(risk, 4),
         }

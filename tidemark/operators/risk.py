@@ -38,6 +38,7 @@ def predictions_from(
     )
 
 
+# Fixed value: columns of the at-risk list.
 AT_RISK_COLUMNS = (
     "customer_id", "country", "age", "membership_tier", "total_spend_usd",
     "days_since_last_purchase", "avg_review_score", "returns_made", "acquisition_channel",
