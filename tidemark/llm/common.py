@@ -27,11 +27,12 @@ LOWER[65:91] += 32
 
 
 def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches sent to Python hold at most ``rows`` rows, so that long texts fit in memory."""
+    """Arrow batches sent to Python hold at most ``rows`` rows and some 16 MB, so that long texts fit."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
