@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 from tidemark.llm.common import LOWER, Words, bound_batches, codes_of, store, text_slices, tidy
 
 END, BEFORE, KINDS = 10, 0, 257
-HOLD = 3_000_000  # distinct n-grams a task gathers before it passes them on
+HOLD = 2_000_000  # distinct n-grams a task gathers before it passes them on
+ROWS_OUT = 100_000  # counts in a batch
 
 
 @dataclass(frozen=True)
@@ -61,10 +62,12 @@ def symbol_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 def windows(symbols: np.ndarray, limits: np.ndarray, depth: int) -> np.ndarray:
     """Each symbol with the ``depth`` symbols before it, the symbol itself in the highest byte."""
     key = np.zeros(len(symbols), dtype=np.uint64)
-    since = np.arange(len(symbols)) - np.repeat(limits[:-1], np.diff(limits))
-    wide = symbols.astype(np.uint64)
+    since = (np.arange(len(symbols)) - np.repeat(limits[:-1], np.diff(limits))).clip(max=depth).astype(np.int8)
     for back in range(depth + 1):
-        key[back:] |= np.where(since[back:] >= back, wide[: len(wide) - back], BEFORE) << np.uint64(8 * (depth - back))
+        own = symbols[: len(symbols) - back].astype(np.uint64)
+        own[since[back:] < back] = BEFORE
+        own <<= np.uint64(8 * (depth - back))
+        key[back:] |= own
     return key
 
 
@@ -94,11 +97,11 @@ def corpus_counts(df: DataFrame, text_col: str, rules: TreeModelRules) -> DataFr
     bound_batches(df.sparkSession)
     depth = rules.depth
 
-    def rows(kind: int, key: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-        kinds = np.full(len(key), kind, dtype=np.int8)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(kinds), pa.array(key.view(np.int64)), pa.array(times.astype(np.int64))], names=["kind", "key", "times"]
-        )
+    def rows(kind: int, key: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(key), ROWS_OUT):
+            own = key[a : a + ROWS_OUT]
+            columns = [np.full(len(own), kind, dtype=np.int8), own.view(np.int64), times[a : a + ROWS_OUT].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "key", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, words, texts = ([], []), ([], []), 0
@@ -117,16 +120,16 @@ def corpus_counts(df: DataFrame, text_col: str, rules: TreeModelRules) -> DataFr
                         now = merged(*held)
                         if len(now[0]) > HOLD // 2:
                             for part in all_orders(*now, depth) if kind == 0 else [now]:
-                                yield rows(kind, *part)
+                                yield from rows(kind, *part)
                             now = (now[0][:0], now[1][:0])
                         held[0][:], held[1][:] = [now[0]], [now[1]]
         if grams[0]:
             now = merged(*grams)
             if len(now[0]):
                 for part in all_orders(*now, depth):
-                    yield rows(0, *part)
-            yield rows(1, *merged(*words))
-            yield rows(2, np.zeros(1, np.int64), np.array([texts]))
+                    yield from rows(0, *part)
+            yield from rows(1, *merged(*words))
+            yield from rows(2, np.zeros(1, np.int64), np.array([texts]))
 
     found = df.select(text_col).mapInArrow(run, "kind byte, key long, times long")
     return store(found.groupBy("kind", "key").agg(F.sum("times").alias("times")), "pst-counts")
