@@ -162,9 +162,8 @@ def mix_report(df: DataFrame, id_col="doc_id", text_col="text", source_col="sour
 def mix_documents(df: DataFrame, id_col="doc_id", text_col="text", source_col="source", rules=MixRules()) -> DataFrame:
     """The mixed documents, all columns unchanged: a document taken twice is two rows."""
     _, plan = plan_mix(df, id_col, text_col, source_col, rules)
-    plan = plan.select(
-        F.struct(F.col("source").alias("source"), "last_1", "last_2").alias("_mix_plan")
-    )
+    # stored, so that its size is known: a small plan is broadcast, a large one joined with skew splitting
+    plan = store(plan.select(F.struct(F.col("source").alias("source"), "last_1", "last_2").alias("_mix_plan")), "mix-plan")
     joined = df.join(plan, df[source_col].eqNullSafe(plan["_mix_plan"]["source"]))
     key, cut = order_key(id_col, rules.seed), F.col("_mix_plan")
     times = (key <= cut["last_1"]).cast("int") + (key <= cut["last_2"]).cast("int")
