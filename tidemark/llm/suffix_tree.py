@@ -31,8 +31,9 @@ from pyspark.sql import types as T
 from tidemark.llm.common import LOWER, Words, bound_batches, codes_of, store, text_slices, tidy
 
 END, BEFORE, KINDS = 10, 0, 257
-HOLD = 2_000_000  # distinct n-grams a task gathers before it passes them on
+HOLD = 1_600_000  # distinct n-grams a task gathers before it passes them on
 ROWS_OUT = 100_000  # counts in a batch
+COUNT_BYTES = 1 << 20  # of text counted at a time
 
 
 @dataclass(frozen=True)
@@ -106,7 +107,7 @@ def corpus_counts(df: DataFrame, text_col: str, rules: TreeModelRules) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, words, texts = ([], []), ([], []), 0
         for batch in tidy(batches):
-            for a, b, data, offsets in text_slices(batch.column(0)):
+            for a, b, data, offsets in text_slices(batch.column(0), COUNT_BYTES):
                 texts += b - a
                 symbols, limits, found, low = symbol_stream(data, offsets)
                 key, count = np.unique(windows(symbols, limits, depth), return_counts=True)
