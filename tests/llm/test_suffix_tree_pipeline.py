@@ -110,3 +110,32 @@ def test_pipeline_odd_rows(spark, odd, none):
             kept = corpus_pipeline.store(stage(spark, kept, SMALL), f"odd-{name}")
             assert name == "encoding" or kept.columns == rows.columns
         assert (kept.count() > 0) == (rows is odd)
+
+
+@pytest.mark.parametrize("share", [0.0, 1e-3, 0.5])
+def test_scores_equal_one_whole_tree(spark, share):
+    texts = ["abra cadabra abra", "banana bandana", "", "cab ab ab ab", "abracadabra zebra", "\x00 nul \x00\x00"] * 4
+    texts += [f"only {k * k} here" for k in range(30)]
+    rows = list(enumerate(texts))
+    learned = [t for own, t in rows if crc(own, 5) != 1]
+    rules = s.TreeModelRules(gram_share=share, divergence=0.1)
+    symbols, limits, _, _ = s.symbol_stream(*flat(pa.array(learned)))
+    key, count = np.unique(s.windows(symbols, limits, rules.depth), return_counts=True)
+    tree = s.grow_tree(*map(np.concatenate, zip(*s.all_orders(key, count, rules.depth))), len(learned), rules)
+    got = s.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), fold("doc_id", 5) != 1, rules=rules)
+    got = {r["doc_id"]: r["score"] for r in got.collect()}
+    for own, text in rows:
+        symbols, limits, _, _ = s.symbol_stream(*flat(pa.array([text])))
+        assert got[own] == pytest.approx(tree.scores(s.windows(symbols, limits, rules.depth)).sum(), rel=1e-9)
+
+
+def test_what_is_seen_three_times_counts_in_a_large_corpus(spark):
+    few = [(k, "quixotic jazz") for k in range(3)]
+    many = [(10 + k, "aa bb " * 350_000) for k in range(10)]
+    schema, learn = "doc_id long, text string", fold("doc_id", 1) == 0
+    score = {}
+    for name, rows in (("small", few), ("large", few + many)):
+        df = spark.createDataFrame(rows, schema)
+        score[name] = s.score_texts(df, learn).filter("doc_id = 0").first()["score"]
+    # the first symbols are rarer in the large corpus, the others follow from their contexts as before
+    assert score["large"] > score["small"] - 14
