@@ -22,3 +22,14 @@ def spark():
     shared_dir(session)
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session", autouse=True)
+def small_ensembles():
+    """The test run fits the registered model queries with 20 trees and 10 rounds, as it always did."""
+    from tidemark.ml.candidates import Settings
+    from tidemark.plans import registry
+
+    full, registry.ENSEMBLES = registry.ENSEMBLES, Settings(forest_trees=20, boosting_rounds=10)
+    yield full
+    registry.ENSEMBLES = full

@@ -324,8 +324,8 @@ def _sizes(i: Inputs) -> DataFrame:
     return counted[0].join(counted[1], "churned")
 
 
-# Ensembles of the registered model queries; the command line trains with the full settings.
-ENSEMBLES = Settings(forest_trees=20, boosting_rounds=10)
+# Settings of the registered model queries: the full ones, as on the command line.
+ENSEMBLES = Settings()
 
 
 def _champion(i: Inputs, models=ENSEMBLES.models, cross_validate=False) -> tuple[training.Comparison, DataFrame]:
