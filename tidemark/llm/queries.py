@@ -19,12 +19,14 @@ from tidemark.llm.langid import predict_languages, train_language_model
 from tidemark.llm.mixing import mix_report
 from tidemark.llm.mtree import top_products
 from tidemark.llm.quality import quality_report
+from tidemark.llm.rank_bpe import decode_by_ranks, encode_by_ranks
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.suffix_tree import score_texts
 from tidemark.llm.token_files import read_files, write_files
 
 WORD_PIECES = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
+MERGES = "byte_bpe_50k.json"
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +109,18 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_chat, op3_mixing, op4_suffix_tree, op5_language, op6_bpe, op7_simhash, op8_top_products, op9_token_files, op10_html)}
+def op11_rank_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(MERGES)
+    decoded = decode_by_ranks(encode_by_ranks(table(spark, folder, "documents"), path), path)
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
+    return decoded.select("doc_id", "n_tokens", *digests)
+
+
+OPERATORS = (
+    op1_quality, op2_chat, op3_mixing, op4_suffix_tree, op5_language, op6_bpe, op7_simhash, op8_top_products,
+    op9_token_files, op10_html, op11_rank_bpe,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 
 def all_checks() -> dict[str, str]:
