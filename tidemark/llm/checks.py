@@ -51,4 +51,29 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 5
 """
 
-CHECKS: dict[str, str] = {"op3_mixing": OP3, "op8_top_products": OP8}
+OP13 = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS doc, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+held AS (SELECT doc, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM found WHERE len(terms) > 0),
+every AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS l FROM held),
+said AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+counts AS (
+  SELECT doc, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc, doc_id, n, unnest(terms) AS term FROM held)
+  WHERE term IN (SELECT term FROM said) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counts, every GROUP BY term),
+scored AS (
+  SELECT item_id, doc, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // l)))) AS BIGINT) AS score
+  FROM said JOIN counts USING (term) JOIN weights USING (term), every GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+CHECKS: dict[str, str] = {"op3_mixing": OP3, "op8_top_products": OP8, "op13_lexical": OP13}

@@ -16,6 +16,7 @@ from tidemark.llm.checks import CHECKS
 from tidemark.llm.common import fold, table
 from tidemark.llm.html_content import extract_pages
 from tidemark.llm.langid import predict_languages, train_language_model
+from tidemark.llm.lexical import rank_documents
 from tidemark.llm.mixing import mix_report
 from tidemark.llm.mtree import top_products
 from tidemark.llm.quality import quality_report
@@ -23,6 +24,7 @@ from tidemark.llm.rank_bpe import decode_by_ranks, encode_by_ranks
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.suffix_tree import score_texts
 from tidemark.llm.token_files import read_files, write_files
+from tidemark.llm.whitening import whiten
 
 WORD_PIECES = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -116,9 +118,17 @@ def op11_rank_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", *digests)
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 OPERATORS = (
     op1_quality, op2_chat, op3_mixing, op4_suffix_tree, op5_language, op6_bpe, op7_simhash, op8_top_products,
-    op9_token_files, op10_html, op11_rank_bpe,
+    op9_token_files, op10_html, op11_rank_bpe, op12_whitening, op13_lexical,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
 
