@@ -1,3 +1,5 @@
+from functools import partial
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -122,9 +124,9 @@ def test_comparison_finds_the_signal(spark, result, features):
     assert drivers[0]["feature"] == "days_since_last_purchase" and len(drivers) == 4
     report = {r["label"]: r for r in training.test_report(result).collect()}
     assert report["Churned"]["recall"] > 0.7
-    permuted = attribution.permutation_importance(
-        result.champion.classifier, result.prepared_test, result.champion.feature_names
-    ).collect()
+    score = partial(training.probability, result.champion.classifier)
+    permuted = attribution.permutation_importance(score, result.prepared_test, result.champion.feature_names).collect()
+    assert len(permuted) == 4
     assert permuted[0]["feature"] == "days_since_last_purchase" and permuted[0]["auc_loss"] > 0.2
 
 

@@ -1,50 +1,39 @@
-"""Running totals over an ordered value, spread over many tasks."""
+"""Running totals over an ordered value, by group, as prefix sums over range partitions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SLICES = 256
-
-
-def _slice_of(value: Column, edges: Column) -> Column:
-    """One more than the number of edges below ``value``."""
-    return F.array_position(F.sort_array(F.array_append(edges, value)), value)
+from tidemark.session import settle
 
 
 def running_totals(
-    df: DataFrame, value: str, measures: list[str], slices: int = SLICES
+    df: DataFrame, value: str, measures: list[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Per distinct ``value``: its sums and, as ``<measure>_above``, the sums of all larger values.
+    """Per group and distinct ``value``: its sums and, as ``<measure>_above``, the sums of all larger values.
 
-    Rows are first added up per distinct value. The distinct values are cut into ``slices`` of
-    about equal size (edges from a rank sketch of the values themselves, so the data alone fixes
-    the slice of a row); a slice grows with the distinct values, so raise it with them. Within a slice the running sum is a
-    partitioned window.
+    Rows are first added up per distinct value. The distinct values are dealt to partitions by ranges of
+    (group, value), as many as the data fill, and stored with the number of their range; running sums are taken
+    inside ranges, and what lies in earlier ranges of the group is added from one row per range. A group of any
+    size is spread over its ranges. Missing values and groups with a missing key are left out.
     """
-    points = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(value)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-    )
-    edges = points.agg(
-        F.percentile_approx(value, [i / slices for i in range(1, slices)])
-    ).scalar()
-    placed = points.withColumn("_slice", _slice_of(F.col(value), edges))
-    per_slice = placed.groupBy("_slice").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
-    higher = W.orderBy(F.desc("_slice")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        "_slice",
-        *[F.coalesce(F.sum(f"_{m}").over(higher), F.lit(0)).alias(f"_{m}_off") for m in measures],
-    )
-    inside = (
-        W.partitionBy("_slice").orderBy(F.desc(value)).rowsBetween(W.unboundedPreceding, -1)
+    by = list(by)
+    known = F.col(value).isNotNull()
+    for name in by:
+        known = known & F.col(name).isNotNull()
+    points = df.where(known).groupBy(*by, value).agg(*[F.sum(m).alias(m) for m in measures])
+    ranged = points.repartitionByRange(*by, F.desc(value)).withColumn("_range", F.spark_partition_id())
+    ranged = settle(ranged, "ranges")
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
+    earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(
+        *by, "_range", *[F.coalesce(F.sum(f"_{m}").over(earlier), F.lit(0)).alias(f"_{m}_off") for m in measures]
     )
-    above = [
-        (F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"_{m}_off")).alias(f"{m}_above")
-        for m in measures
-    ]
-    # At most ``slices`` rows: safe to broadcast by construction.
-    return placed.join(F.broadcast(offsets), "_slice").select(value, *measures, *above)
+    inside = W.partitionBy(*by, "_range").orderBy(F.desc(value)).rowsBetween(W.unboundedPreceding, -1)
+    local = ranged.select("*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"_{m}_in") for m in measures])
+    above = [(F.col(f"_{m}_in") + F.col(f"_{m}_off")).alias(f"{m}_above") for m in measures]
+    return local.join(offsets, [*by, "_range"]).select(*by, value, *measures, *above)

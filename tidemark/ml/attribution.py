@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -35,7 +37,7 @@ def linear_importance(classifier, prepared: DataFrame, names: list[str]) -> Data
 
 def tree_importance(classifier, prepared: DataFrame, names: list[str]) -> DataFrame:
     """Share of the impurity decrease per feature, as learned by the trees."""
-    shares = classifier.featureImportances.toArray().tolist()
+    shares = classifier.importances
     return prepared.sparkSession.createDataFrame(
         list(zip(names, shares)), "feature string, mean_abs_shap double"
     )
@@ -66,28 +68,31 @@ def _with_partner(prepared: DataFrame, key: str, seed: int, exchange_rows: int)
     )
 
 
+def exchanged(prepared: DataFrame, names: list[str], label: str, key: str, seed: int, exchange_rows: int) -> DataFrame:
+    """Each row once as it is (``feature`` empty) and once per feature with that entry of its partner."""
+    paired = _with_partner(prepared, key, seed, exchange_rows).select(label, "_x", "_other")
+    which = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(n).alias("feature")) for j, n in enumerate(["", *names], -1)]))
+    swapped = F.transform("_x", lambda v, i: F.when(i == F.col("w.j"), F.get("_other", i)).otherwise(v))
+    return paired.select(label, which.alias("w"), "_x", "_other").select(
+        label, F.col("w.feature").alias("feature"), array_to_vector(swapped).alias(VECTOR)
+    )
+
+
+def auc_losses(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """Per feature, largest first: AUC of the untouched rows (``feature`` empty) less that of the exchanged ones."""
+    aucs = area_under_roc(scored, label, score, ["feature"])
+    base = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(W.partitionBy())  # a row a feature
+    losses = aucs.select("feature", (base - F.col("auc")).alias("auc_loss")).where(F.col("feature") != "")
+    return losses.orderBy(F.desc("auc_loss"), "feature")
+
+
 def permutation_importance(
-    classifier, prepared: DataFrame, names: list[str], label: str = "label", key: str = "customer_id",
-    seed: int = 42, exchange_rows: int = ROWS_PER_EXCHANGE,
+    score: Callable[[DataFrame], DataFrame], prepared: DataFrame, names: list[str], label: str = "label",
+    key: str = "customer_id", seed: int = 42, exchange_rows: int = ROWS_PER_EXCHANGE,
 ) -> DataFrame:
     """Loss of AUC when one feature is exchanged between rows; works for every model.
 
-    Partners come from the same hash bucket of about ``exchange_rows`` rows.
-
-    One distributed scoring job per feature; only its AUC reaches the driver.
+    ``score`` adds the probability ``p`` to rows with a vector. All features are exchanged and scored in one job,
+    their AUCs are one grouped ranking. Partners come from the same hash bucket of about ``exchange_rows`` rows.
     """
-
-    def auc(df: DataFrame) -> float:
-        scored = classifier.transform(df).withColumn("p", vector_to_array("probability")[1])
-        return area_under_roc(scored, label, "p").first()["auc"]
-
-    paired = _with_partner(prepared, key, seed, exchange_rows).select(label, "_x", "_other").persist()
-    base = auc(prepared.select(label, VECTOR))
-    losses = []
-    for j, name in enumerate(names):
-        swapped = F.transform("_x", lambda v, i: F.when(i == j, F.get("_other", i)).otherwise(v))
-        losses.append((name, base - auc(paired.select(label, array_to_vector(swapped).alias(VECTOR)))))
-    paired.unpersist()
-    return prepared.sparkSession.createDataFrame(
-        losses, "feature string, auc_loss double"
-    ).orderBy(F.desc("auc_loss"), "feature")
+    return auc_losses(score(exchanged(prepared, names, label, key, seed, exchange_rows)), label, "p")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 
 from tidemark.ml.preparation import VECTOR
 
@@ -15,8 +15,7 @@ LOGISTIC, FOREST, BOOSTING = "Logistic Regression", "Random Forest", "Gradient B
 class Settings:
     """Fixed values of the compared models and of the validation scheme.
 
-    ``partitions`` packs the training rows into so many partitions (None: as they arrive). Tree models
-    sample rows by partition, so it belongs to the model's settings.
+    ``one_hot`` gives all candidates indicator columns instead of text ordinals.
     """
 
     inverse_penalty: float = 0.5
@@ -31,38 +30,18 @@ class Settings:
     folds: int = 5
     seed: int = 42
     beta: float = 2.0
-    partitions: int | None = None
+    one_hot: bool = False
     models: tuple[str, ...] = (LOGISTIC, FOREST, BOOSTING)
 
 
-def estimators(settings: Settings, n_train: int) -> dict:
-    """Estimators by name; the ridge penalty depends on the number of training rows."""
-    common = {"featuresCol": VECTOR, "labelCol": "label"}
-    built = {
-        LOGISTIC: LogisticRegression(
-            **common,
-            weightCol="balanced_weight",
-            regParam=1.0 / (settings.inverse_penalty * n_train),
-            elasticNetParam=0.0,
-            maxIter=settings.logistic_iterations,
-            standardization=False,
-        ),
-        FOREST: RandomForestClassifier(
-            **common,
-            weightCol="balanced_weight",
-            numTrees=settings.forest_trees,
-            maxDepth=settings.forest_depth,
-            seed=settings.seed,
-        ),
-        BOOSTING: GBTClassifier(
-            **common,
-            weightCol="boosting_weight",
-            maxIter=settings.boosting_rounds,
-            maxDepth=settings.boosting_depth,
-            stepSize=settings.boosting_step,
-            subsamplingRate=settings.boosting_sample,
-            featureSubsetStrategy=str(settings.boosting_sample),
-            seed=settings.seed,
-        ),
-    }
-    return {name: built[name] for name in settings.models}
+def logistic(settings: Settings, n_train: int) -> LogisticRegression:
+    """The linear candidate; the ridge penalty depends on the number of training rows."""
+    return LogisticRegression(
+        featuresCol=VECTOR,
+        labelCol="label",
+        weightCol="balanced_weight",
+        regParam=1.0 / (settings.inverse_penalty * n_train),
+        elasticNetParam=0.0,
+        maxIter=settings.logistic_iterations,
+        standardization=False,
+    )

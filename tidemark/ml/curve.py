@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,16 +10,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.running import running_totals
 
 
-def _labelled(scored: DataFrame, label: str, score: str) -> DataFrame:
+def _labelled(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     y = F.col(label).cast("bigint")
     return scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(score).cast("double").alias("score"), y.alias("pos"), (1 - y).alias("neg")
+        *by, F.col(score).cast("double").alias("score"), y.alias("pos"), (1 - y).alias("neg")
     )
 
 
-def score_points(scored: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score: positives and negatives with it, and with a larger one."""
-    return running_totals(_labelled(scored, label, score), "score", ["pos", "neg"])
+def score_points(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per group and distinct score: positives and negatives with it, and with a larger one."""
+    return running_totals(_labelled(scored, label, score, by), "score", ["pos", "neg"], by)
 
 
 def precision_recall(scored: DataFrame, label: str, score: str) -> DataFrame:
@@ -60,12 +61,12 @@ def best_threshold(scored: DataFrame, label: str, score: str, beta: float = 2.0)
     return curve.agg(best.alias("b")).select("b.threshold", "b.precision", "b.recall", "b.f_beta")
 
 
-def area_under_roc(scored: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact AUC: share of (churned, retained) pairs in the right order, ties half; one row."""
-    points = score_points(scored, label, score)
+def area_under_roc(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact AUC: share of (churned, retained) pairs in the right order, ties half; one row, or one a group."""
+    points = score_points(scored, label, score, by)
     pairs = F.col("neg").cast("double") * (F.col("pos_above") + F.col("pos") * 0.5)
     p, n = F.sum("pos").cast("double"), F.sum("neg").cast("double")
-    return points.agg(F.try_divide(F.sum(pairs), p * n).alias("auc"))
+    return points.groupBy(*by).agg(F.try_divide(F.sum(pairs), p * n).alias("auc"))
 
 
 def classification_report(

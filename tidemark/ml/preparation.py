@@ -61,6 +61,17 @@ def learned_values(preparation: PipelineModel, numeric: tuple[str, ...], categor
     return rows + [(c, None, None, len(known)) for c, known in zip(categorical, labels)]
 
 
+def vector_names(preparation: PipelineModel, numeric: tuple[str, ...]) -> list[str]:
+    """The input behind every entry of the model vector; ``<column>=<label>`` for an indicator."""
+    inputs = preparation.stages[-1].getInputCols()
+    indexer = next((s for s in preparation.stages if isinstance(s, StringIndexerModel)), None)
+    texts = [c.removesuffix("__txt") for c in indexer.getInputCols()] if indexer else []
+    names = {f"{c}__ord": c for c in texts}
+    for c, labels in zip(texts, indexer.labelsArray if indexer else []):
+        names |= {f"{c}__is{k}": f"{c}={label}" for k, label in enumerate(labels)}
+    return [*numeric, *[names[c] for c in inputs[1:]]]
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.ml.attribution import driver_importance
-from tidemark.ml.candidates import Settings, estimators
+from tidemark.ml.candidates import BOOSTING, FOREST, LOGISTIC, Settings, logistic
 from tidemark.ml.curve import area_under_roc, best_threshold, classification_report
-from tidemark.ml.preparation import VECTOR, fit_preparation
+from tidemark.ml.preparation import VECTOR, fit_preparation, vector_names
 from tidemark.ml.sampling import class_weights, stratified_folds, stratified_split
+from tidemark.ml.trees import TreeModel, bin_rows, grow_boosted, grow_forest, scored_rows
 from tidemark.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tidemark.operators.risk import predictions_from
 from tidemark.session import settle
 
 KEY = "customer_id"
+TEST, CHOICE = -1, -2  # fold numbers of rows that are scored, never fitted
 
 
 @dataclass
@@ -43,6 +45,9 @@ class Trained:
 
 
 def probability(classifier, prepared: DataFrame) -> DataFrame:
+    """Adds the churn probability ``p`` to prepared rows."""
+    if isinstance(classifier, TreeModel):
+        return classifier.probabilities(prepared, VECTOR)
     out = classifier.transform(prepared)
     return out.withColumn("p", vector_to_array("probability")[1])
 
@@ -59,50 +64,128 @@ def model_columns(features: DataFrame) -> DataFrame:
     return features.select(KEY, TARGET, *numeric, *categorical).where(F.col(TARGET).isNotNull())
 
 
-def _prepared(
-    train: DataFrame, *others: DataFrame, partitions: int | None = None
-) -> tuple[PipelineModel, list[DataFrame]]:
-    """Fit the preparation on ``train``; return it with narrow, cached model inputs.
+def _fit_preparation(train: DataFrame, settings: Settings) -> PipelineModel:
+    return fit_preparation(train, *_columns(train), one_hot=settings.one_hot)
 
-    Fits read the training rows hundreds of times; ``partitions`` packs them, see ``Settings``.
-    """
-    preparation = fit_preparation(train, *_columns(train))
+
+def _linear_rows(preparation: PipelineModel, train: DataFrame) -> DataFrame:
+    """Prepared training rows of the linear candidate with their class weight."""
     weights = settle(class_weights(train, TARGET).drop("customers"), "class-weights")
     weighted = preparation.transform(train).join(weights, TARGET)
-    label = F.col(TARGET).cast("double").alias("label")
-    frames = [weighted.select(KEY, label, VECTOR, "balanced_weight", "boosting_weight")]
-    frames += [preparation.transform(df).select(KEY, label, VECTOR) for df in others]
-    if partitions:
-        frames = [f.coalesce(partitions) for f in frames]
-    return preparation, [f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
+    return weighted.select(KEY, F.col(TARGET).cast("double").alias("label"), VECTOR, "balanced_weight")
 
 
-def _fit_all(settings: Settings, train: DataFrame) -> dict:
-    """Fit the candidates side by side; their jobs share the cluster."""
-    candidates = estimators(settings, train.count())
-    with ThreadPool(len(candidates)) as pool:
-        fitted = pool.map(lambda item: (item[0], item[1].fit(train)), list(candidates.items()))
-    return dict(fitted)
+def _fit_logistic(preparation: PipelineModel, train: DataFrame, settings: Settings):
+    rows = settle(_linear_rows(preparation, train), "linear-rows")
+    return logistic(settings, rows.count()).fit(rows)
 
 
 def _auc(classifier, prepared: DataFrame) -> float:
     return area_under_roc(probability(classifier, prepared), "label", "p").first()["auc"]
 
 
+def _labelled_vectors(preparation: PipelineModel, df: DataFrame) -> DataFrame:
+    return preparation.transform(df).select(KEY, F.col(TARGET).cast("double").alias("label"), VECTOR)
+
+
+def linear_fold_auc(folded: DataFrame, settings: Settings) -> list[float]:
+    """AUC of the linear candidate on every fold, preparation and model refitted without it; folds side by side."""
+
+    def one(fold: int) -> float:
+        rest, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        preparation = _fit_preparation(rest, settings)
+        return _auc(_fit_logistic(preparation, rest, settings), _labelled_vectors(preparation, held))
+
+    with ThreadPool(settings.folds) as pool:
+        return pool.map(one, range(settings.folds))
+
+
+def _tree_rows(preparation: PipelineModel, df: DataFrame, settings: Settings) -> DataFrame:
+    """Key, label, fold and the prepared entries, null again where the input was missing."""
+    numeric, categorical = _columns(df)
+    texts = () if settings.one_hot else categorical  # an indicator of a missing text is that of the mode
+    gaps = F.array(*[F.col(c).isNull() for c in (*numeric, *texts)])
+    filled = lambda v, j: F.when(~F.coalesce(F.get(gaps, j), F.lit(False)), v)
+    vector = F.transform(vector_to_array(VECTOR), filled)
+    return preparation.transform(df).select(KEY, F.col(TARGET).cast("double").alias("label"), "fold", vector.alias("x"))
+
+
+def _filled_values(preparation: PipelineModel, train: DataFrame) -> list[float]:
+    """What the preparation puts for a row without any input."""
+    empty = train.sparkSession.createDataFrame([tuple(None for _ in train.columns)], train.schema)
+    return preparation.transform(empty).select(VECTOR).first()[0].toArray().tolist()
+
+
+@dataclass
+class TreeFit:
+    """Fitted tree candidates, and every row scored: by the full fit and, for training rows, by its fold's model."""
+
+    models: dict[str, TreeModel]
+    scored: DataFrame  # key, label, fold, model, p, p_held
+
+    def aucs(self) -> dict[tuple[str, int], float]:
+        """AUC per (model, fold): held-out predictions of each fold, full-fit predictions of negative folds."""
+        value = F.when(F.col("fold") < 0, F.col("p")).otherwise(F.col("p_held"))
+        grouped = self.scored.select("model", "fold", "label", value.alias("score"))
+        found = area_under_roc(grouped, "label", "score", ["model", "fold"]).collect()
+        return {(r["model"], r["fold"]): r["auc"] for r in found}
+
+
+def fit_trees(preparation: PipelineModel, train: DataFrame, rows: DataFrame, settings: Settings, folds: int) -> TreeFit | None:
+    """Forest and boosted trees for all folds and the full fit in shared passes over ``rows`` (with ``fold``)."""
+    wanted = [m for m in (FOREST, BOOSTING) if m in settings.models]
+    if not wanted:
+        return None
+    ordinals = 0 if settings.one_hot else len(_columns(train)[1])
+    binned = bin_rows(_tree_rows(preparation, rows, settings), KEY, folds, _filled_values(preparation, train), ordinals)
+
+    def forest():
+        return grow_forest(binned, settings.forest_trees, settings.forest_depth, settings.seed)
+
+    def boosting():
+        ratio = class_weights(train, TARGET).where(F.col(TARGET) == 1).select("boosting_weight").first()
+        return grow_boosted(
+            binned, settings.boosting_rounds, settings.boosting_depth, settings.boosting_step, settings.boosting_sample,
+            float(ratio[0]) if ratio else 1.0, settings.seed,
+        )
+
+    with ThreadPool(2) as pool:  # side by side: their passes share the cluster
+        grown = [pool.apply_async(grow) if m in wanted else None for m, grow in ((FOREST, forest), (BOOSTING, boosting))]
+        forests = grown[0].get() if grown[0] else None
+        boosted, scored = grown[1].get() if grown[1] else (None, binned)
+    models = {}
+    if forests:
+        models[FOREST] = TreeModel("forest", forests[-1], binned.edges)
+    if boosted:
+        models[BOOSTING] = TreeModel("boosting", boosted[-1], binned.edges)
+    own = {FOREST: "forest", BOOSTING: "boosting"}
+    rows = scored_rows(scored, KEY, forests, boosted is not None).select(
+        KEY, "label", "fold", F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(own[m]).alias("by_model")) for m in wanted])).alias("s")
+    )
+    by_model = F.col("s.by_model")
+    held = F.when((F.col("fold") >= 0) & F.lit(folds > 0), F.get(by_model, F.col("fold")))
+    predicted = rows.select(KEY, "label", "fold", "s.model", F.element_at(by_model, -1).alias("p"), held.alias("p_held"))
+    predicted = settle(predicted, "tree-predictions")
+    for kept in (binned, scored):
+        kept.blocks.unpersist()
+    return TreeFit(models, predicted)
+
+
 def cross_validated_auc(train: DataFrame, settings: Settings) -> dict[str, float]:
-    """Mean AUC per candidate over label-stratified folds, preparation refitted per fold."""
-    folded = stratified_folds(train, KEY, TARGET, settings.folds, settings.seed + 1)
-    sums = dict.fromkeys(settings.models, 0.0)
-    for fold in range(settings.folds):
-        held = F.col("fold") == fold
-        _, (fit_rows, held_rows) = _prepared(
-            folded.where(~held), folded.where(held), partitions=settings.partitions
-        )
-        for name, classifier in _fit_all(settings, fit_rows).items():
-            sums[name] += _auc(classifier, held_rows)
-        fit_rows.unpersist()
-        held_rows.unpersist()
-    return {name: total / settings.folds for name, total in sums.items()}
+    """Mean AUC per candidate over label-stratified folds; each fold's rows are scored by models fitted without them."""
+    folded = settle(stratified_folds(train, KEY, TARGET, settings.folds, settings.seed + 1), "folds")
+    found = {}
+    if LOGISTIC in settings.models:
+        found[LOGISTIC] = sum(linear_fold_auc(folded, settings)) / settings.folds
+    fitted = fit_trees(_fit_preparation(train, settings), train, folded, settings, settings.folds)
+    return found | _fold_means(fitted, settings)
+
+
+def _fold_means(fitted: TreeFit | None, settings: Settings) -> dict[str, float]:
+    if fitted is None:
+        return {}
+    aucs = fitted.aucs()
+    return {m: sum(aucs[m, f] for f in range(settings.folds)) / settings.folds for m in fitted.models}
 
 
 @dataclass
@@ -136,34 +219,53 @@ def compare(
 
     ``selection="test"`` chooses model and threshold on the same rows that are later reported,
     which flatters the report; ``selection="validation"`` sets a further part aside for it.
-    ``features`` is read once per fit: pass a stored table.
+    ``features`` is read several times: pass a stored table.
     """
     data = model_columns(features)
-    numeric, categorical = _columns(data)
+    numeric, _ = _columns(data)
     train, test = stratified_split(data, KEY, TARGET, settings.test_share, settings.seed)
-    others = [test]
+    chosen_on = None
     if selection == "validation":
         share = settings.test_share / (1 - settings.test_share)
         train, chosen_on = stratified_split(train, KEY, TARGET, share, settings.seed + 2)
-        others.append(chosen_on)
     elif selection != "test":
         raise ValueError(f"unknown selection {selection!r}")
-    preparation, (fit_rows, *held) = _prepared(train, *others, partitions=settings.partitions)
-    test_rows, choice_rows = held[0], held[-1]
-    fitted = _fit_all(settings, fit_rows)
-    choice = {name: _auc(model, choice_rows) for name, model in fitted.items()}
-    tested = choice
-    if selection == "validation":
-        tested = {name: _auc(model, test_rows) for name, model in fitted.items()}
-    best = max(choice, key=lambda name: round(choice[name], 4))
-    cut = best_threshold(probability(fitted[best], choice_rows), "label", "p", settings.beta).first()
-    fit_rows.unpersist()
-    if choice_rows is not test_rows:
-        choice_rows.unpersist()
-    cv = cross_validated_auc(train, settings) if cross_validate else {}
-    champion = Trained(best, preparation, fitted[best], cut["threshold"], list(numeric + categorical))
-    scores = {n: {"test_auc": tested[n], "cv_auc": cv.get(n)} for n in fitted}
-    return Comparison(scores, champion, train, test, test_rows)
+    train = settle(train, "train")
+    preparation = _fit_preparation(train, settings)
+    held = {TEST: test} if chosen_on is None else {TEST: test, CHOICE: chosen_on}
+    vectors = {k: settle(_labelled_vectors(preparation, df), "held-rows") for k, df in held.items()}
+    choice = CHOICE if CHOICE in held else TEST
+    folded = train.withColumn("fold", F.lit(0))
+    if cross_validate:
+        folded = settle(stratified_folds(train, KEY, TARGET, settings.folds, settings.seed + 1), "folds")
+    rows = reduce(DataFrame.unionByName, [folded, *(df.withColumn("fold", F.lit(k)) for k, df in held.items())])
+    folds = settings.folds if cross_validate else 0
+
+    def linear() -> tuple[dict, dict, dict]:
+        if LOGISTIC not in settings.models:
+            return {}, {}, {}
+        model = _fit_logistic(preparation, train, settings)
+        found = {(LOGISTIC, k): _auc(model, rows) for k, rows in vectors.items()}
+        return {LOGISTIC: model}, found, {LOGISTIC: sum(linear_fold_auc(folded, settings)) / folds} if folds else {}
+
+    with ThreadPool(1) as pool:  # the linear candidate beside the trees
+        side = pool.apply_async(linear)
+        trees = fit_trees(preparation, train, rows, settings, folds)
+        fitted, aucs, cv = side.get()
+    if trees is not None:
+        fitted |= trees.models
+        aucs |= trees.aucs()
+        cv |= _fold_means(trees, settings) if cross_validate else {}
+    fitted = {name: fitted[name] for name in settings.models}
+    best = max(fitted, key=lambda name: round(aucs[name, choice], 4))
+    if trees is not None and best in trees.models:
+        chosen = trees.scored.where((F.col("model") == best) & (F.col("fold") == choice))
+    else:
+        chosen = probability(fitted[best], vectors[choice])
+    cut = best_threshold(chosen, "label", "p", settings.beta).first()
+    champion = Trained(best, preparation, fitted[best], cut["threshold"], vector_names(preparation, numeric))
+    scores = {n: {"test_auc": aucs[n, TEST], "cv_auc": cv.get(n)} for n in fitted}
+    return Comparison(scores, champion, train, test, vectors[TEST])
 
 
 def importance(result: Comparison) -> DataFrame:
@@ -185,26 +287,26 @@ def test_report(result: Comparison) -> DataFrame:
 
 
 def save_model(champion: Trained, folder: str) -> None:
-    """Preparation and classifier as one saved Spark ML model, threshold and name beside it."""
-    fused = PipelineModel([*champion.preparation.stages, champion.classifier])
-    fused.write().overwrite().save(f"{folder}/model")
-    spark = SparkSession.active()
-    meta = [(champion.name, champion.version, champion.threshold, champion.feature_names)]
+    """Preparation and classifier, with threshold and name beside them; trees are stored as a table."""
+    spark, trees = SparkSession.active(), isinstance(champion.classifier, TreeModel)
+    stages = [*champion.preparation.stages, *([] if trees else [champion.classifier])]
+    PipelineModel(stages).write().overwrite().save(f"{folder}/model")
+    if trees:
+        champion.classifier.save(spark, f"{folder}/trees")
+    meta = [(champion.name, champion.version, champion.threshold, champion.feature_names, trees)]
     spark.createDataFrame(
-        meta, "name string, version string, threshold double, feature_names array<string>"
+        meta, "name string, version string, threshold double, feature_names array<string>, trees boolean"
     ).coalesce(1).write.mode("overwrite").parquet(f"{folder}/metadata")
 
 
 def load_model(spark: SparkSession, folder: str) -> Trained:
     fused = PipelineModel.load(f"{folder}/model")
     meta = spark.read.parquet(f"{folder}/metadata").first()
-    return Trained(
-        meta["name"],
-        PipelineModel(fused.stages[:-1]),
-        fused.stages[-1],
-        meta["threshold"],
-        list(meta["feature_names"]),
-    )
+    if meta["trees"]:
+        preparation, classifier = fused, TreeModel.load(spark, f"{folder}/trees")
+    else:
+        preparation, classifier = PipelineModel(fused.stages[:-1]), fused.stages[-1]
+    return Trained(meta["name"], preparation, classifier, meta["threshold"], list(meta["feature_names"]))
 
 
 def train_and_publish(

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -351,10 +351,9 @@ def _churn_scores(i: Inputs) -> DataFrame:
 
 
 def _permutation(i: Inputs) -> DataFrame:
-    champion = _champion(i, (FOREST,))[0]
-    return attribution.permutation_importance(
-        champion.champion.classifier, champion.prepared_test, champion.champion.feature_names
-    )
+    result = _champion(i, (FOREST,))[0]
+    score = partial(training.probability, result.champion.classifier)
+    return attribution.permutation_importance(score, result.prepared_test, result.champion.feature_names)
 
 
 @dataclass(frozen=True)
