@@ -193,11 +193,16 @@ class Comparison:
     """Outcome of ``compare``: candidate scores, the champion and the evaluated rows."""
 
     scores: dict[str, dict[str, float | None]]
-    champion: Trained
+    fitted: dict[str, Trained]
+    best: str
     train: DataFrame
     test: DataFrame
     prepared_test: DataFrame
 
+    @property
+    def champion(self) -> Trained:
+        return self.fitted[self.best]
+
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [
             (name, round(s["test_auc"], 4), None if s["cv_auc"] is None else round(s["cv_auc"], 4),
@@ -258,14 +263,40 @@ def compare(
         cv |= _fold_means(trees, settings) if cross_validate else {}
     fitted = {name: fitted[name] for name in settings.models}
     best = max(fitted, key=lambda name: round(aucs[name, choice], 4))
-    if trees is not None and best in trees.models:
-        chosen = trees.scored.where((F.col("model") == best) & (F.col("fold") == choice))
-    else:
-        chosen = probability(fitted[best], vectors[choice])
-    cut = best_threshold(chosen, "label", "p", settings.beta).first()
-    champion = Trained(best, preparation, fitted[best], cut["threshold"], vector_names(preparation, numeric))
+    names = vector_names(preparation, numeric)
+
+    def trained(name: str) -> Trained:
+        if trees is not None and name in trees.models:
+            chosen = trees.scored.where((F.col("model") == name) & (F.col("fold") == choice))
+        else:
+            chosen = probability(fitted[name], vectors[choice])
+        cut = best_threshold(chosen, "label", "p", settings.beta).first()
+        return Trained(name, preparation, fitted[name], cut["threshold"], names)
+
     scores = {n: {"test_auc": aucs[n, TEST], "cv_auc": cv.get(n)} for n in fitted}
-    return Comparison(scores, champion, train, test, vectors[TEST])
+    return Comparison(scores, {n: trained(n) for n in fitted}, best, train, test, vectors[TEST])
+
+
+def save_comparison(result: Comparison, folder: str) -> None:
+    """All candidates, their scores and the rows they were compared on."""
+    spark = SparkSession.active()
+    for k, (name, own) in enumerate(result.fitted.items()):
+        save_model(own, f"{folder}/candidate-{k}")
+    rows = [(k, n, n == result.best, s["test_auc"], s["cv_auc"]) for k, (n, s) in enumerate(result.scores.items())]
+    schema = "place int, model string, best boolean, test_auc double, cv_auc double"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/scores")
+    for name in ("train", "test", "prepared_test"):
+        getattr(result, name).write.parquet(f"{folder}/{name}")
+
+
+def load_comparison(spark: SparkSession, folder: str) -> Comparison:
+    rows = spark.read.parquet(f"{folder}/scores").orderBy("place").collect()
+    frames = [spark.read.parquet(f"{folder}/{name}") for name in ("train", "test", "prepared_test")]
+    return Comparison(
+        {r["model"]: {"test_auc": r["test_auc"], "cv_auc": r["cv_auc"]} for r in rows},
+        {r["model"]: load_model(spark, f"{folder}/candidate-{r['place']}") for r in rows},
+        next(r["model"] for r in rows if r["best"]), *frames,
+    )
 
 
 def importance(result: Comparison) -> DataFrame:
@@ -314,7 +345,11 @@ def train_and_publish(
     cross_validate: bool = True,
 ) -> dict[str, DataFrame]:
     """Train, explain, score and write model, predictions and importances."""
-    result = compare(features, settings, selection, cross_validate)
+    return publish_comparison(compare(features, settings, selection, cross_validate), features, folder)
+
+
+def publish_comparison(result: Comparison, features: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Write the champion's model, predictions of all ``features`` and importances."""
     drivers = importance(result)
     predictions = predict_all(result.champion, features)
     save_model(result.champion, folder)

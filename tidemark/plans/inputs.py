@@ -28,6 +28,9 @@ RISK_CUSTOMER_COLUMNS = (
 )
 RISK_ORDER_COLUMNS = ("order_id", "customer_id", "category", "total_amount_usd", "discount_pct", "returned")
 
+# Star-schema tables behind the features.
+FACT_SOURCES = ("nation", "customer", "part", "orders", "lineitem")
+
 ROLLUP_COLUMNS = (
     "order_id", "category", "total_amount_usd", "customer_rating", "returned", "customer_id",
     "discount_pct", "delivery_days", "session_duration_minutes", "pages_viewed_before_purchase",
@@ -71,6 +74,13 @@ class Inputs:
     def products(self) -> DataFrame:
         return self.star.product_summary()
 
+    def fingerprint(self) -> str:
+        """Changes when a file of the star schema does: a hash over places, sizes and times of change."""
+        paths = [f"{self.star.folder}/{name}.parquet" for name in FACT_SOURCES]
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        file = F.struct("path", "length", "modificationTime")
+        return listed.agg(F.sha2(F.to_json(F.sort_array(F.collect_list(file))), 256)).first()[0]
+
     def features(self) -> DataFrame:
         """The full feature table."""
         return build_features(settle(self.customers(), "customers"), self.orders(*ROLLUP_COLUMNS))

@@ -505,10 +505,78 @@ def _report() -> str:
     )
 
 
+# Columns of the published tables with their Spark types; * marks those beyond the expected ones.
+PUBLISHED = {
+    "customers": ("customers", """acquisition_channel string, age int, avg_order_value_usd double, avg_review_score double,
+        churned int, country string, customer_id bigint, customer_tenure_days int, days_since_last_purchase int, gender string,
+        membership_tier string, newsletter_subscribed int, preferred_category string, preferred_device string,
+        preferred_payment_method string, registration_date date, returns_made int, reviews_given int, total_orders int,
+        total_spend_usd decimal(24;2), wishlist_items int"""),
+    "monthly_revenue": ("revenue", """avg_discount_pct double, avg_order_value double, month int, new_customers bigint,
+        orders bigint, period_label string, quarter string, return_rate double, revenue_mom_pct double, revenue_usd double,
+        unique_customers bigint, year int"""),
+    "orders": ("clean_orders", """category string, customer_id bigint, customer_rating double, delivery_date date,
+        delivery_days int, discount_pct int, is_discounted int, is_returned int, order_date date, order_id bigint,
+        order_month_label string, order_status string, pages_viewed_before_purchase int, *product_id bigint,
+        *product_name string, rating_imputed int, returned int, session_duration_minutes double,
+        total_amount_usd decimal(18;4)"""),
+    "product_summary": ("products", """avg_delivery_days double, avg_discount_pct double, avg_price double, avg_rating double,
+        category string, *product_id bigint, product_name string, return_rate double, total_orders bigint,
+        total_revenue_usd double"""),
+}
+# The exported tables: source, number columns, other columns (a date counts as its ten letters).
+EXPORTED = {
+    "customers": ("customers", """age total_orders total_spend_usd avg_order_value_usd days_since_last_purchase reviews_given
+        avg_review_score returns_made wishlist_items newsletter_subscribed churned customer_id""",
+        "registration_date gender country membership_tier preferred_category preferred_device preferred_payment_method acquisition_channel"),
+    "orders": ("clean_orders", """order_id customer_id total_amount_usd discount_pct customer_rating returned
+        session_duration_minutes pages_viewed_before_purchase""", "category order_status"),
+    "monthly_revenue": ("revenue", """avg_discount_pct avg_order_value month new_customers orders return_rate revenue_mom_pct
+        revenue_usd unique_customers year""", "period_label quarter"),
+    "product_summary": ("products", """avg_delivery_days avg_discount_pct avg_price avg_rating product_id return_rate
+        total_orders total_revenue_usd""", "category product_name"),
+    "churn_predictions": ("predictions", "customer_id churn_probability predicted_churn", "risk_tier model_version"),
+    "shap_importance": ("contributed", "mean_abs_shap", "feature"),
+    "v_executive_kpis": ("kpis", "total_customers total_churned churn_rate_pct avg_ltv_usd lost_revenue_usd retained_revenue_usd", ""),
+    "v_churn_by_tier": ("tiers", "customers churned churn_rate_pct avg_ltv_usd", "membership_tier"),
+    "v_churn_by_channel": ("channels", "customers churn_rate_pct avg_ltv_usd", "acquisition_channel"),
+    "v_revenue_trend": ("trend", "year month revenue_usd unique_customers new_customers return_rate_pct mom_growth_pct",
+        "quarter period_label"),
+}
+
+
+def _published_columns() -> str:
+    parts = []
+    for table, (source, columns) in PUBLISHED.items():
+        for column, kind in (c.split() for c in columns.replace("\n", " ").split(",")):
+            status = "additional" if column.startswith("*") else "ok"
+            name, kind = column.lstrip("*"), kind.replace(";", ",")
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, '{status}' AS status, "
+                f"CAST(COUNT({name}) AS BIGINT) AS filled FROM {source}"
+            )
+    return " UNION ALL ".join(parts)
+
+
+def _exported_columns() -> str:
+    parts = []
+    for table, (source, numbers, texts) in EXPORTED.items():
+        amounts = {c: f"CAST({c} AS DOUBLE)" for c in numbers.split()}
+        amounts |= {c: f"LENGTH(CAST({c} AS VARCHAR))" for c in texts.split()}
+        for column, amount in amounts.items():
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{column}' AS column_name, CAST(COUNT({column}) AS BIGINT) AS filled, "
+                f"{r(f'SUM({amount})', 2)} AS total FROM {source}"
+            )
+    return " UNION ALL ".join(parts)
+
+
 def all_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
+    bodies: dict[str, str] = {}
 
     def add(name: str, body: str, **extra: str) -> None:
+        bodies[name] = body
         q[name] = with_ctes(body, **extra)
 
     # -- profiling
@@ -782,7 +850,7 @@ def all_oracles() -> dict[str, str]:
         CAST((CASE WHEN f = 4 THEN n ELSE floor(n*((f + 1)/5e0) + 0.5) END)
           - (CASE WHEN f = 0 THEN 0 ELSE floor(n*(f/5e0) + 0.5) END) AS BIGINT) AS customers
         FROM (SELECT churned, COUNT(*) AS n FROM customers GROUP BY churned), range(5) t(f)""")
-    add("top_drivers", f"""SELECT feature, {r("m", 4)} AS importance FROM ({contributions})
+    add("top_linear_drivers", f"""SELECT feature, {r("m", 4)} AS importance FROM ({contributions})
         ORDER BY m DESC, feature LIMIT 15""")
     retention = """SELECT customer_id, membership_tier, total_spend_usd, days_since_last_purchase,
         churn_probability FROM customers JOIN predictions USING (customer_id) WHERE risk_tier = 'HIGH'"""
@@ -790,7 +858,7 @@ def all_oracles() -> dict[str, str]:
     add("retention_list_by_spend", retention + " ORDER BY total_spend_usd DESC, customer_id LIMIT 50")
     add("high_risk_sample", """SELECT customer_id, churn_probability, risk_tier FROM predictions
         WHERE churn_probability > 0.5 ORDER BY churn_probability DESC, customer_id LIMIT 100""")
-    add("insight_report", f"""
+    add("insight_report_by_rule", f"""
         SELECT 'high-risk sample' AS section, risk_tier AS rank_key, CAST(customer_id AS VARCHAR) AS item,
           churn_probability AS value FROM (SELECT * FROM predictions WHERE churn_probability > 0.5
             ORDER BY churn_probability DESC, customer_id LIMIT 100)
@@ -844,15 +912,17 @@ def all_oracles() -> dict[str, str]:
         f"SELECT '{n}' AS table_name, {COUNT} AS row_count, CAST(SUM({c}) AS DOUBLE) AS measure FROM {t}"
         for (n, t), c in zip(published, (
             "customer_tenure_days", "customer_rating", "unique_customers", "total_orders"))))
-    add("catalog_rows", f"""SELECT 'tidemark_customers' AS table_name, {COUNT} AS row_count FROM customers
-        UNION ALL SELECT 'tidemark_revenue', {COUNT} FROM revenue""")
-    add("exported_views", """SELECT 'v_executive_kpis' AS table_name, CAST(1 AS BIGINT) AS row_count
-        UNION ALL SELECT 'v_churn_by_tier', CAST(COUNT(*) AS BIGINT) FROM (SELECT DISTINCT membership_tier FROM customers)
-        UNION ALL SELECT 'v_churn_by_channel', CAST(COUNT(*) AS BIGINT)
-          FROM (SELECT DISTINCT acquisition_channel FROM customers)
-        UNION ALL SELECT 'v_revenue_trend', CAST(COUNT(*) AS BIGINT) FROM revenue""")
-    add("model_round_trip", f"""SELECT {COUNT} AS customers, CAST(0 AS BIGINT) AS differing,
-        CAST({len(MODEL_NUMBERS + MODEL_TEXTS)} AS BIGINT) AS drivers FROM customers""")
+    spend, earned = (f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)" for c in ("total_spend_usd", "revenue_usd"))
+    add("catalog_rows", f"""SELECT 'first' AS state, 'customers' AS table_name, {COUNT} AS row_count, {spend} AS total FROM customers
+        UNION ALL SELECT 'first', 'revenue', {COUNT}, {earned} FROM revenue
+        UNION ALL SELECT 'replaced', 'customers', {COUNT}, 2*{spend} FROM customers WHERE churned = 0
+        UNION ALL SELECT 'replaced', 'revenue', {COUNT}, {earned} FROM revenue WHERE month <= 6""")
+    add("published_columns", _published_columns())
+    add("exported_views", _exported_columns(), contributed=f"SELECT feature, {r('m', 6)} AS mean_abs_shap FROM ({contributions})",
+        kpis=bodies["executive_kpis"], tiers=bodies["churn_by_tier"], channels=bodies["churn_by_channel"])
+    names = ("Logistic Regression", "Random Forest", "Gradient Boosting")
+    add("model_round_trip", " UNION ALL ".join(f"""SELECT '{name}' AS model, {COUNT} AS customers, CAST(0 AS BIGINT) AS differing,
+        CAST({len(MODEL_NUMBERS + MODEL_TEXTS)} AS BIGINT) AS drivers FROM customers""" for name in names))
 
     # -- events
     dormancy = """SELECT user_id AS customer_id, MIN(ts) AS active_from, MAX(ts) AS last_event,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -20,7 +21,7 @@ from tidemark.operators.cleaning import clean_all, parse_date, rejected_customer
 from tidemark.plans import library
 from tidemark.plans.inputs import CUSTOMER_COLUMNS, ROLLUP_COLUMNS, Inputs
 from tidemark.session import settle, shared_dir
-from tidemark.sources import publish, readers
+from tidemark.sources import publish, readers, versions
 from tidemark.sources.schemas import EXPECTED_COLUMNS, RAW_TABLES
 from tidemark.sources.star_schema import SOURCES
 from tidemark.streaming import triggers
@@ -29,6 +30,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[Inputs], DataFrame]
 
 SPEND = ("total_spend_usd", "churned")
+EXPORTED_ORDERS = (
+    "order_id", "customer_id", "category", "order_status", "total_amount_usd", "discount_pct", "customer_rating", "returned",
+    "session_duration_minutes", "pages_viewed_before_purchase",
+)
 CATEGORY_COLUMNS = ("order_id", "category", "total_amount_usd", "customer_rating", "returned")
 
 
@@ -133,6 +138,13 @@ def _loss_by(key: str) -> Plan:
 
 
 def _insights(i: Inputs) -> DataFrame:
+    """The report on the champion's predictions and drivers."""
+    result, features = _champion(i)
+    predictions = settle(training.predict_all(result.champion, features), "predictions")
+    return risk.insight_report(i.settled_customers(*CUSTOMER_COLUMNS), predictions, training.importance(result))
+
+
+def _rule_insights(i: Inputs) -> DataFrame:
     customers, predictions = i.scored(*CUSTOMER_COLUMNS)
     predictions = settle(predictions, "predictions")
     return risk.insight_report(customers, predictions, i.importance(customers), 0.5)
@@ -252,49 +264,86 @@ def _clean_from_csv(i: Inputs) -> DataFrame:
 
 
 def _catalog_rows(i: Inputs) -> DataFrame:
-    """Two tables put into the catalog, replaced by themselves, counted and dropped again."""
-    suffix = uuid.uuid4().hex[:12]
+    """Two tables published, read through catalog views, replaced by other rows, read through the same views."""
+    root = f"{shared_dir(i.spark)}/tidemark/catalog-{uuid.uuid4().hex}"
+    prefix = f"tidemark_{uuid.uuid4().hex[:12]}_"
     tables = {
-        f"tidemark_customers_{suffix}": i.settled_customers("customer_id", "churned"),
-        f"tidemark_revenue_{suffix}": settle(i.revenue(), "revenue"),
+        "customers": i.settled_customers("customer_id", "churned", "total_spend_usd"),
+        "revenue": settle(i.revenue().select("year", "month", "revenue_usd"), "revenue"),
+    }
+
+    def seen(state: str) -> DataFrame:
+        views = {n: i.spark.table(prefix + n) for n in tables}
+        spend, revenue = (F.sum(F.col(c).cast("decimal(18,2)")).cast("double") for c in ("total_spend_usd", "revenue_usd"))
+        parts = [
+            views["customers"].agg(F.lit("customers").alias("table_name"), F.count(F.lit(1)).alias("row_count"), spend.alias("total")),
+            views["revenue"].agg(F.lit("revenue").alias("table_name"), F.count(F.lit(1)).alias("row_count"), revenue.alias("total")),
+        ]
+        return settle(reduce(DataFrame.unionByName, parts).select(F.lit(state).alias("state"), "*"), "catalog-rows")
+
+    versions.publish_version(tables, root)
+    versions.create_views(i.spark, root, tables, prefix)
+    first = seen("first")
+    replaced = {
+        "customers": tables["customers"].where("churned = 0").withColumn("total_spend_usd", F.col("total_spend_usd") * 2),
+        "revenue": tables["revenue"].where("month <= 6"),
     }
-    for _ in range(2):
-        publish.replace_catalog_tables(tables, bucket_by={f"tidemark_customers_{suffix}": (4, "customer_id")})
-    found = publish.catalog_tables(i.spark, list(tables))
-    counted = settle(publish.audit_rows(found), "catalog-rows")
+    versions.publish_version(replaced, root)
+    both = first.unionByName(seen("replaced"))
     for name in tables:
-        i.spark.sql(f"DROP TABLE {name}")
-    return counted.withColumn("table_name", F.regexp_replace("table_name", f"_{suffix}$", ""))
+        i.spark.sql(f"DROP VIEW `{prefix}{name}`")
+    return both
+
+
+def _column_sums(tables: dict[str, DataFrame], numeric: dict[str, set[str]]) -> DataFrame:
+    """Per table and column: rows with a value, and the sum (of a text: of its lengths)."""
+    parts = []
+    for name, df in tables.items():
+        amount = lambda c: F.col(c).cast("double") if c in numeric[name] else F.length(F.col(c)).cast("double")  # noqa: E731, B023
+        entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).isNotNull().cast("long").alias("n"), amount(c).alias("v")) for c in df.columns])
+        parts.append(
+            df.select(F.explode(entries).alias("e")).groupBy("e.column_name").agg(
+                F.sum("e.n").alias("filled"), round_half_away(F.sum("e.v"), 2).alias("total")
+            ).select(F.lit(name).alias("table_name"), "column_name", "filled", "total")
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _exported_views(i: Inputs) -> DataFrame:
-    """The four business views published, exported as CSV, read back and counted."""
+    """All ten tables and views published, exported as CSV, read back and summed by column."""
     folder = f"{shared_dir(i.spark)}/tidemark/export-{uuid.uuid4().hex}"
-    tables = {"customers": i.settled_customers("membership_tier", "acquisition_channel", *SPEND)}
-    views = library.business_views(tables | {"monthly_revenue": settle(i.revenue(), "revenue")})
-    publish.write_tables(views, folder)
-    written = readers.load_clean(i.spark, folder, list(views))
+    customers, predictions = i.scored(*CUSTOMER_COLUMNS)
+    tables = {
+        "customers": customers.select(*CUSTOMER_COLUMNS), "orders": i.orders(*EXPORTED_ORDERS).select(*EXPORTED_ORDERS), "monthly_revenue": i.revenue(),
+        "product_summary": i.products(), "churn_predictions": predictions, "shap_importance": _rounded_contributions(i),
+    }
+    publish.write_tables(tables, folder)
+    written = readers.load_clean(i.spark, folder, list(tables))
+    written |= library.business_views(written)
     publish.register_views(written)
-    publish.export_csv(i.spark, f"{folder}/csv", tuple(views))
-    back = {n: i.spark.read.option("header", True).csv(f"{folder}/csv/{n}") for n in views}
-    return publish.audit_rows(back)
+    publish.export_csv(i.spark, f"{folder}/csv")
+    numeric = {n: {c for c, t in df.dtypes if t not in ("string", "date", "timestamp", "timestamp_ntz", "boolean")} for n, df in written.items()}
+    back = {n: i.spark.read.option("header", True).csv(f"{folder}/csv/{n}") for n in publish.EXPORTS}
+    return _column_sums(back, numeric)
 
 
 def _model_round_trip(i: Inputs) -> DataFrame:
-    """Train, publish, load the saved model again: customers, drivers, and scores that differ."""
-    folder = f"{shared_dir(i.spark)}/tidemark/model-{uuid.uuid4().hex}"
-    table = settle(i.features(), "features")
-    training.train_and_publish(table, folder, replace(ENSEMBLES, models=(LOGISTIC,)), cross_validate=False)
-    written = readers.load_clean(i.spark, folder, ["churn_predictions", "shap_importance"])
-    again = training.predict_all(training.load_model(i.spark, folder), table)
-    both = written["churn_predictions"].join(
-        again.select("customer_id", F.col("churn_probability").alias("p")), "customer_id", "full"
-    )
-    differs = ~F.col("churn_probability").eqNullSafe(F.col("p"))
-    drivers = written["shap_importance"].agg(F.count(F.lit(1))).scalar()
-    return both.agg(
-        F.count(F.lit(1)).alias("customers"), F.count_if(differs).alias("differing"), drivers.alias("drivers")
-    )
+    """Every candidate published, its saved model loaded again: customers, drivers, and scores that differ."""
+    result, table = _champion(i)
+    parts = []
+    for name in result.fitted:
+        folder = f"{shared_dir(i.spark)}/tidemark/model-{uuid.uuid4().hex}"
+        written = training.publish_comparison(replace(result, best=name), table, folder)
+        again = training.predict_all(training.load_model(i.spark, folder), table)
+        both = written["churn_predictions"].join(
+            again.select("customer_id", F.col("churn_probability").alias("p")), "customer_id", "full"
+        )
+        differs = ~F.col("churn_probability").eqNullSafe(F.col("p"))
+        drivers = written["shap_importance"].agg(F.count(F.lit(1))).scalar()
+        parts.append(both.agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("customers"), F.count_if(differs).alias("differing"), drivers.alias("drivers")
+        ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _dormancy_stream(i: Inputs) -> DataFrame:
@@ -328,15 +377,24 @@ def _sizes(i: Inputs) -> DataFrame:
 ENSEMBLES = Settings()
 
 
-def _champion(i: Inputs, models=ENSEMBLES.models, cross_validate=False) -> tuple[training.Comparison, DataFrame]:
-    features = settle(i.features(), "features")
-    result = training.compare(features, replace(ENSEMBLES, models=models), cross_validate=cross_validate)
-    return result, features
+def _champion(i: Inputs, models=ENSEMBLES.models, cross_validate=True) -> tuple[training.Comparison, DataFrame]:
+    """The fitted comparison and the features, fitted once per state of the star schema's files and stored."""
+    settings = replace(ENSEMBLES, models=models)
+    state = hashlib.sha256(f"{i.fingerprint()} {settings} {cross_validate}".encode()).hexdigest()[:32]
+    root = f"{shared_dir(i.spark)}/tidemark/fits/{state}"
+    if versions.current(i.spark, root) is None:
+        version = uuid.uuid4().hex
+        features = settle(i.features(), "features")
+        features.write.parquet(f"{root}/{version}/features")
+        training.save_comparison(training.compare(features, settings, cross_validate=cross_validate), f"{root}/{version}")
+        versions.switch(i.spark, root, version)
+    folder = f"{root}/{versions.current(i.spark, root)[1]}"
+    return training.load_comparison(i.spark, folder), i.spark.read.parquet(f"{folder}/features")
 
 
 def _model_comparison(i: Inputs) -> DataFrame:
     """All candidates with test AUC and AUC by five folds; the best on the test rows is the champion."""
-    return _champion(i, cross_validate=True)[0].table(i.spark)
+    return _champion(i)[0].table(i.spark)
 
 
 def _cross_validation(i: Inputs) -> DataFrame:
@@ -351,7 +409,7 @@ def _churn_scores(i: Inputs) -> DataFrame:
 
 
 def _permutation(i: Inputs) -> DataFrame:
-    result = _champion(i, (FOREST,))[0]
+    result = _champion(i, (FOREST,), cross_validate=False)[0]
     score = partial(training.probability, result.champion.classifier)
     return attribution.permutation_importance(score, result.prepared_test, result.champion.feature_names)
 
@@ -551,7 +609,7 @@ PLANS: dict[str, Plan] = {
         lambda c, p: risk.cohort_profile(c, p, 0.5),
         *risk.PROFILE_KEYS, "returns_made", "total_orders", "avg_review_score",
     ),
-    "top_drivers": lambda i: risk.top_drivers(_linear_contributions(i)),
+    "top_linear_drivers": lambda i: risk.top_drivers(_linear_contributions(i)),
     "retention_list": _scored(
         risk.retention_list, "membership_tier", "total_spend_usd", "days_since_last_purchase"
     ),
@@ -560,7 +618,7 @@ PLANS: dict[str, Plan] = {
         "membership_tier", "total_spend_usd", "days_since_last_purchase",
     ),
     "high_risk_sample": lambda i: risk.high_risk_sample(i.predictions(), 0.5),
-    "insight_report": _insights,
+    "insight_report_by_rule": _rule_insights,
     # model quality, on the rule-based score
     "best_threshold": lambda i: curve.best_threshold(
         i.risk_scores(), "churned", "churn_risk_score"
@@ -594,9 +652,10 @@ PLANS: dict[str, Plan] = {
 MODEL_PLANS: dict[str, Plan] = {
     "churn_scores": _churn_scores,
     "driver_importance": lambda i: training.importance(_champion(i)[0]),
-    "top_model_drivers": lambda i: risk.top_drivers(training.importance(_champion(i)[0])),
+    "top_drivers": lambda i: risk.top_drivers(training.importance(_champion(i)[0])),
+    "insight_report": _insights,
     "model_report": lambda i: training.test_report(_champion(i)[0]),
-    "forest_importance": lambda i: training.importance(_champion(i, (FOREST,))[0]),
+    "forest_importance": lambda i: training.importance(_champion(i, (FOREST,), cross_validate=False)[0]),
     "permutation_importance": _permutation,
     "logistic_cross_validation": _cross_validation,
     "model_comparison": _model_comparison,

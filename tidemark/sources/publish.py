@@ -64,19 +64,28 @@ def audit_columns(
     tables: dict[str, DataFrame],
     expected: dict[str, list[str]] = EXPECTED_COLUMNS,
 ) -> DataFrame:
-    """Expected against actual columns: (table_name, column_name, data_type, status)."""
-    rows = []
+    """Expected against actual columns: (table_name, column_name, data_type, status, filled).
+
+    ``filled`` counts the rows that hold a value, in one scan per table; null for a missing column.
+    """
+    parts, missing = [], []
     for table in sorted(set(tables) | set(expected)):
         actual = dict(tables[table].dtypes) if table in tables else {}
         wanted = expected.get(table, [])
-        for column in sorted(set(actual) | set(wanted)):
-            status = (
-                "missing" if column not in actual else "ok" if column in wanted else "additional"
+        missing += [(table, c, None, "missing", None) for c in wanted if c not in actual]
+        if not actual:
+            continue
+        counted = tables[table].agg(*[F.count(F.col(f"`{c}`")).alias(f"c{k}") for k, c in enumerate(actual)])
+        found = [
+            F.struct(
+                F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(kind).alias("data_type"),
+                F.lit("ok" if c in wanted else "additional").alias("status"), F.col(f"c{k}").alias("filled"),
             )
-            rows.append((table, column, actual.get(column), status))
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, data_type string, status string"
-    )
+            for k, (c, kind) in enumerate(actual.items())
+        ]
+        parts.append(counted.select(F.explode(F.array(*found)).alias("e")).select("e.*"))
+    schema = "table_name string, column_name string, data_type string, status string, filled long"
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame(missing, schema))
 
 
 def catalog_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame]:
