@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import binning as b
 from tidemark.functions.lookup import attach
 from tidemark.functions.numeric import clip, flag, mean, round_half_away, round_half_even
+from tidemark.functions import quantiles
 from tidemark.functions.quantiles import exact_quantiles, order_statistics, quantiles_of_counts
 from tidemark.functions.running import running_totals
 from tidemark.functions.text import title_case
@@ -94,16 +95,48 @@ def test_quantiles_equal_numpy(spark, values):
     np.testing.assert_allclose(rows[0]["quantiles"], np.quantile(present, PROBS), rtol=1e-12, atol=1e-9)
 
 
-@pytest.mark.parametrize("accuracy", [20, 100])
-def test_quantiles_stay_exact_when_the_sketch_is_coarse(spark, accuracy):
+def test_quantiles_of_heavy_tails_and_repeats(spark):
     rng = np.random.default_rng(5)
-    heavy = np.concatenate([np.full(4000, 7.0), rng.lognormal(3, 2, 8000), [1e12]])
+    heavy = np.concatenate([np.full(4000, 7.0), rng.lognormal(3, 2, 8000), [1e12], -rng.lognormal(0, 3, 500)])
     rng.shuffle(heavy)
     df = spark.createDataFrame(pd.DataFrame({"v": heavy})).repartition(16)
-    got = exact_quantiles(df, "v", PROBS[1:-1], accuracy=accuracy).first()["quantiles"]
+    got = exact_quantiles(df, "v", PROBS[1:-1]).first()["quantiles"]
     np.testing.assert_allclose(got, np.quantile(heavy, PROBS[1:-1]), rtol=1e-12)
 
 
+def test_quantiles_of_extreme_doubles(spark):
+    """Neighbouring doubles, the largest ones, subnormals, both zeros, infinities and NaN."""
+    close = [1.0 + k * 2.0**-52 for k in range(40)]
+    values = [5e-324, -5e-324, 0.0, -0.0, 1.7e308, -1.7e308, 1.6e308, float("inf"), float("-inf"), *close]
+    picked = order_statistics(column(spark, values), "v", [k / len(values) for k in range(1, len(values) + 1)]).first()["cuts"]
+    assert picked == sorted(values)
+    with_nan = column(spark, [*values, float("nan"), float("nan")])
+    cuts = order_statistics(with_nan, "v", [0.5, 1.0]).first()["cuts"]
+    assert cuts[0] == sorted(values)[25] and np.isnan(cuts[1])
+
+
+def test_selection_never_orders_more_than_the_digits(spark, monkeypatch):
+    """Ten times the rows: what the passes hand to the ordering task stays within the digits of a rank."""
+    sizes = []
+    inner = quantiles._counted
+
+    def counted(*args):
+        out = inner(*args)
+        rows = out.groupBy(*[c for c in out.columns if c in ("_g", "g", "want")]).count()
+        sizes.append(rows.agg(F.max("count")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(quantiles, "_counted", counted)
+    monkeypatch.setattr(quantiles, "DIGITS", 256)
+    monkeypatch.setattr(quantiles, "PER_FACTOR", 16)
+    for n in (20_000, 200_000):
+        df = spark.range(n).select((F.rand(3) * 1000).alias("v"))
+        frame = np.sort(df.toPandas().v.to_numpy())
+        got = exact_quantiles(df, "v", [0.5]).first()["quantiles"]
+        np.testing.assert_allclose(got, [np.quantile(frame, 0.5)], rtol=1e-12)
+    assert max(sizes) <= 256 and len(sizes) <= 12
+
+
 def test_quantiles_by_group_and_from_counts(spark):
     rng = np.random.default_rng(6)
     frame = pd.DataFrame({"g": rng.choice(["a", "b", None], 900, p=[0.6, 0.3, 0.1]), "v": rng.integers(0, 9, 900) * 0.5})
@@ -119,7 +152,7 @@ def test_quantiles_by_group_and_from_counts(spark):
 
 def test_order_statistics(spark):
     df = spark.range(1, 1001).select(F.lit("x").alias("g"), F.col("id").cast("double").alias("v"))
-    cuts = order_statistics(df, "v", [0.2, 0.5], by=["g"], accuracy=50).first()["cuts"]
+    cuts = order_statistics(df, "v", [0.2, 0.5], by=["g"]).first()["cuts"]
     assert cuts == [200.0, 500.0]
 
 

@@ -1,13 +1,13 @@
-"""Exact interpolated quantiles and order statistics without gathering a column in one buffer.
-
-Two passes over one narrow column:
-
-1. a mergeable rank sketch brackets every wanted rank between two values;
-2. rows inside a bracket are counted by value, all other rows are folded into one row per gap.
-
-What remains to be sorted is a few ten-thousandths of the rows per wanted quantile, whatever the
-distribution, and the answer is exact: the sketch only decides which rows are kept apart, and a
-rank that would fall strictly inside a folded gap raises instead of being guessed.
+"""Exact interpolated quantiles and order statistics by descending through counts per digit.
+
+The wanted ranks are found like digits of a number. A first pass over the narrow column counts the values per
+digit of a monotone logarithmic scale, with the smallest and largest value of each. For a rank whose digit holds
+more than one value, the next pass counts the values between that smallest and largest per digit of a linear
+scale of ``DIGITS`` steps, and so on; every pass narrows the range by the number of digits, so four or five
+suffice for any doubles and one or two for usual ones. Any number of ranks share a pass. The counts are taken
+before the shuffle, and what one task orders is at most the digits of one rank, however many rows there are.
+Rounding decides only where values are counted apart: the scales are monotone, and the answer is a value that
+was seen.
 """
 
 from __future__ import annotations
@@ -18,84 +18,118 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.lookup import attach
+from tidemark.session import settle
 
-ACCURACY = 10_000
+DIGITS = 65_536
+PER_FACTOR = 256  # digits of the first pass for each factor e
+PICK = "struct<want int, rank bigint, lo double, hi double, before bigint, cnt bigint>"
+GROUP = "_g"
+UNDECIDED = "p.lo <> p.hi AND p.rank <> p.before AND p.rank <> p.before + p.cnt - 1"
 
 
-def _brackets(probs: Sequence[float], accuracy: int) -> list[float]:
-    slack = 2.0 / accuracy
-    out = []
-    for p in probs:
-        out += [max(0.0, p - slack), min(1.0, p + slack)]
-    return out
+def _known(by: list[str]) -> Column:
+    known = F.lit(True)
+    for name in by:
+        known = known & F.col(name).isNotNull()
+    return known
 
 
-def _fold(values: DataFrame, n_brackets: int, by: list[str]) -> DataFrame:
-    """Rows in a bracket by value, the others by gap: (by, lo, hi, cnt)."""
-    ids = range(n_brackets)
-    inside = " OR ".join(f"_v BETWEEN _marks[{2 * i}] AND _marks[{2 * i + 1}]" for i in ids)
-    gap = " + ".join(f"int(_v > _marks[{2 * i + 1}])" for i in ids)
-    keyed = values.select(
-        *by, "_v", F.expr(f"CASE WHEN {inside} THEN _v END AS _key"), F.expr(f"{gap} AS _gap")
-    )
-    return keyed.groupBy(*by, "_gap", "_key").agg(
-        F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("cnt")
+def _first_digit() -> Column:
+    """Grows with ``_v``; infinities and NaN (above all numbers) have digits of their own."""
+    scaled = f"CAST(signum(_v) * floor(ln(1D + abs(_v)) * {PER_FACTOR}) AS BIGINT)"
+    return F.expr(
+        f"CASE WHEN isnan(_v) THEN 1000000002 WHEN _v = double('Infinity') THEN 1000000001 "
+        f"WHEN _v = double('-Infinity') THEN -1000000001 ELSE {scaled} END"
     )
 
 
-def _at_rank(rank: str) -> str:
-    """SQL for the value at a zero-based rank, from the folded rows with their running counts."""
-    return f"""max(CASE WHEN before <= {rank} AND {rank} < before + cnt THEN
-        CASE WHEN lo = hi OR {rank} = before THEN lo
-             WHEN {rank} = before + cnt - 1 THEN hi
-             ELSE double(raise_error('quantile bracket missed its rank')) END END)"""
+def _counted(values: DataFrame, keys: list[str], digit: Column, *more: Column) -> DataFrame:
+    return values.groupBy(*keys, digit.alias("_digit")).agg(
+        F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("cnt"), *more
+    )
 
 
-def _ranked(
-    df: DataFrame, value: str, probs: Sequence[float], by: list[str], accuracy: int
-) -> DataFrame:
-    values = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v is not null")
-    sketch = F.percentile_approx(
-        "_v", [float(p) for p in _brackets(probs, accuracy)], accuracy
-    ).alias("_marks")
-    if by:
-        values = values.where(_known(by))
-        marks = values.groupBy(*by).agg(sketch)
-        marked = attach(values, marks, by, "inner")
-    else:
-        marked = values.withColumn("_marks", values.agg(sketch).scalar())
-    return _with_ranks(_fold(marked, len(probs), by), by)
+def _located(counted: DataFrame, by: list[str], ranks: Sequence[str]) -> DataFrame:
+    """Per group: ``_n`` and the digit of each wanted rank (SQL over ``_n``)."""
+    upto = W.partitionBy(*by).orderBy("_digit").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = counted.withColumn("before", F.sum("cnt").over(upto) - F.col("cnt")).withColumn(
+        "_n", F.sum("cnt").over(W.partitionBy(*by))
+    )
+    picks = [
+        F.expr(
+            f"max(CASE WHEN before <= {rank} AND {rank} < before + cnt THEN named_struct('want', {k}, "
+            f"'rank', CAST({rank} AS BIGINT), 'lo', lo, 'hi', hi, 'before', before, 'cnt', cnt) END)"
+        )
+        for k, rank in enumerate(ranks)
+    ]
+    return running.groupBy(*by).agg(F.max("_n").alias("_n"), F.array(*picks).cast(f"array<{PICK}>").alias("_picks"))
 
 
-def _with_ranks(folded: DataFrame, by: list[str]) -> DataFrame:
-    upto = W.partitionBy(*by).orderBy("lo").rowsBetween(W.unboundedPreceding, W.currentRow)
-    running = folded.withColumn("before", F.sum("cnt").over(upto) - F.col("cnt"))
-    return running.withColumn("_n", F.sum("cnt").over(W.partitionBy(*by)))
+def _narrowed(values: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+    """One more digit for the ranks that are still undecided."""
+    asked = state.select(*by, F.expr(f"filter(_picks, p -> {UNDECIDED})").alias("_open")).where("size(_open) > 0")
+    held = values.join(asked, by).select(
+        *by, "_v", F.explode(F.expr("filter(_open, p -> _v BETWEEN p.lo AND p.hi)")).alias("p")
+    )
+    share = F.expr(  # by halves where the range itself overflows
+        "CASE WHEN p.hi - p.lo < double('Infinity') THEN (_v - p.lo) / (p.hi - p.lo) "
+        "ELSE (_v / 2 - p.lo / 2) / (p.hi / 2 - p.lo / 2) END"
+    )
+    counted = _counted(
+        held.withColumn("want", F.col("p.want")), [*by, "want"], F.floor(share * (DIGITS - 1)).cast("long"),
+        F.min("p.rank").alias("rank"), F.min("p.before").alias("below"),
+    )
+    upto = W.partitionBy(*by, "want").orderBy("_digit").rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = F.col("below") + F.sum("cnt").over(upto) - F.col("cnt")
+    hit = counted.withColumn("before", before).where("before <= rank AND rank < before + cnt")
+    found = hit.groupBy(*by).agg(F.collect_list(F.struct("want", "rank", "lo", "hi", "before", "cnt")).alias("_new"))  # a row a rank
+    newer = F.expr("transform(_picks, p -> coalesce(get(filter(_new, q -> q.want = p.want), 0), p))")
+    merged = F.when(F.col("_new").isNull(), F.col("_picks")).otherwise(newer).cast(f"array<{PICK}>")
+    return state.join(found, by, "left").select(*by, "_n", merged.alias("_picks"))
+
+
+def _ranked(df: DataFrame, value: str, ranks: Sequence[str], by: list[str]) -> DataFrame:
+    """Per group: ``_n`` and the array ``_at`` of the values at the zero-based ranks."""
+    values = df.where(_known(by)).select(*by, F.col(value).cast("double").alias("_v")).where("_v is not null")
+    values = values.withColumn("_v", F.expr("_v + 0D"))  # one zero
+    keys = by or [GROUP]
+    if not by:
+        values = values.withColumn(GROUP, F.lit(0))
+
+    def kept(state: DataFrame) -> DataFrame:
+        # without groups the state is a single row; with groups it is as long as they are many
+        return settle(state, "ranks") if by else state.sparkSession.createDataFrame(state.collect(), state.schema)
+
+    state = kept(_located(_counted(values, keys, _first_digit()), keys, ranks))
+    while not state.where(f"exists(_picks, p -> {UNDECIDED})").isEmpty():
+        state = kept(_narrowed(values, state, keys))
+    return _values_at(state, by)
+
+
+def _values_at(state: DataFrame, by: list[str]) -> DataFrame:
+    at = F.transform("_picks", lambda p: F.when(p["rank"] == p["before"], p["lo"]).otherwise(p["hi"]))
+    out = state.select(*by, "_n", at.alias("_at"))
+    if by:
+        return out
+    nothing = out.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("_n"), F.array().cast("array<double>").alias("_at"))
+    return out if not state.isEmpty() else nothing
 
 
-def _known(by: list[str]) -> Column:
-    known = F.lit(True)
-    for name in by:
-        known = known & F.col(name).isNotNull()
-    return known
+def _both(probs: Sequence[float]) -> list[str]:
+    """The two neighbouring ranks of each quantile."""
+    at = [f"(double(_n - 1) * {float(p)!r}D)" for p in probs]
+    return [r for a in at for r in (f"floor({a})", f"least(floor({a}) + 1, _n - 1)")]
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = ACCURACY,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles, one row per group: ``n`` and the array ``quantiles``.
 
     The arrays ``lower``, ``upper`` and ``fraction`` hold the neighbouring values and the position
     between them, from which the quantiles of any increasing function of the value follow.
-    Missing values are ignored, groups with a missing key are dropped.
+    Missing values are ignored, groups with a missing key are dropped. ``df`` is read once a pass.
     """
     by = list(by)
-    return _interpolate(_ranked(df, value, probs, by, accuracy), probs, by)
+    return _interpolate(_ranked(df, value, _both(probs), by), probs, by)
 
 
 def quantiles_of_counts(
@@ -106,55 +140,34 @@ def quantiles_of_counts(
     v = F.col(value).cast("double")
     points = (
         counts.where(F.col(value).isNotNull() & _known(by))
-        .groupBy(*by, v.alias("lo"))
+        .groupBy(*by, v.alias("_digit"))
         .agg(F.sum(count).alias("cnt"))
-        .withColumn("hi", F.col("lo"))
+        .select(*by, "_digit", F.col("_digit").alias("lo"), F.col("_digit").alias("hi"), "cnt")
     )
-    return _interpolate(_with_ranks(points, by), probs, by)
+    located = _located(points, by, _both(probs))
+    at = F.transform("_picks", lambda p: p["lo"])
+    return _interpolate(located.select(*by, "_n", at.alias("_at")), probs, by)
 
 
 def _interpolate(ranked: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
-    picks = []
-    for i, p in enumerate(probs):
-        at = f"(double(_n - 1) * {float(p)!r}D)"
-        low = f"floor({at})"
-        picks += [
-            F.expr(f"{_at_rank(low)} AS _lo{i}"),
-            F.expr(f"{_at_rank(f'least({low} + 1, _n - 1)')} AS _hi{i}"),
-            F.expr(f"max({at} - {low}) AS _f{i}"),
-        ]
-    picked = ranked.groupBy(*by).agg(F.max("_n").alias("n"), *picks)
     ids = range(len(probs))
+    fraction = [f"(double(_n - 1) * {float(p)!r}D) - floor(double(_n - 1) * {float(p)!r}D)" for p in probs]
     arrays = {
-        "quantiles": "_lo{i} + (_hi{i} - _lo{i}) * _f{i}",
-        "lower": "_lo{i}",
-        "upper": "_hi{i}",
-        "fraction": "_f{i}",
+        "quantiles": [f"get(_at, {2 * i}) + (get(_at, {2 * i + 1}) - get(_at, {2 * i})) * ({fraction[i]})" for i in ids],
+        "lower": [f"get(_at, {2 * i})" for i in ids],
+        "upper": [f"get(_at, {2 * i + 1})" for i in ids],
+        "fraction": fraction,
     }
-    built = [
-        F.expr(f"array({', '.join(form.format(i=i) for i in ids)}) AS {name}")
-        for name, form in arrays.items()
-    ]
-    return picked.select(*by, "n", *built)
+    return ranked.select(
+        *by, F.col("_n").alias("n"), *[F.expr(f"array({', '.join(parts)})").alias(name) for name, parts in arrays.items()]
+    )
 
 
-def order_statistics(
-    df: DataFrame,
-    value: str,
-    fractions: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = ACCURACY,
-) -> DataFrame:
+def order_statistics(df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Per group the value that has round(fraction * n) values at or below it: array ``cuts``."""
     by = list(by)
-    ranked = _ranked(df, value, fractions, by, accuracy)
-    picks = [
-        F.expr(f"{_at_rank(f'(greatest(floor(_n * {float(p)!r}D + 0.5D), 1) - 1)')} AS _c{i}")
-        for i, p in enumerate(fractions)
-    ]
-    picked = ranked.groupBy(*by).agg(F.max("_n").alias("n"), *picks)
-    cuts = ", ".join(f"_c{i}" for i in range(len(fractions)))
-    return picked.select(*by, "n", F.expr(f"array({cuts}) AS cuts"))
+    ranks = [f"(greatest(floor(_n * {float(p)!r}D + 0.5D), 1) - 1)" for p in fractions]
+    return _ranked(df, value, ranks, by).select(*by, F.col("_n").alias("n"), F.col("_at").alias("cuts"))
 
 
 def quantile_edges(df: DataFrame, value: str, probs: Sequence[float]) -> Column:
