@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,6 +50,12 @@ def driver_importance(classifier, prepared: DataFrame, names: list[str]) -> Data
     return out.orderBy(F.desc("mean_abs_shap"), "feature")
 
 
+def _drawn(key: str, seed: int) -> Column:
+    """A whole number fixed by key and seed: the first 60 bits of an MD5 digest."""
+    text = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def _with_partner(prepared: DataFrame, key: str, seed: int, exchange_rows: int) -> DataFrame:
     """Each row with the vector of another random row; every vector is handed out once.
 
@@ -57,8 +63,8 @@ def _with_partner(prepared: DataFrame, key: str, seed: int, exchange_rows: int)
     so no task sees more than one bucket at a time however many rows there are.
     """
     buckets = max(1, prepared.count() // exchange_rows)
-    place = F.xxhash64(F.col(key), F.lit(seed))
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(buckets))
+    place = _drawn(key, seed)
+    bucket = F.pmod(_drawn(key, seed + 1), F.lit(buckets))
     placed = prepared.withColumn("_b", bucket).withColumn("_h", place)
     ring = W.partitionBy("_b").orderBy("_h")
     whole = ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

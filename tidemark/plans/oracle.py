@@ -545,6 +545,30 @@ EXPORTED = {
 }
 
 
+def _exchange_losses() -> str:
+    """Partners in a ring of MD5 order inside MD5 buckets; AUC by summed ranks."""
+    weights = {"days_since_last_purchase": 3, "total_orders": -40, "wishlist_items": 7, "age": -1}
+    draw = "CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR) || '|{}'), 1, 15) AS BIGINT)"
+    own = " + ".join(f"{w}*{c}" for c, w in weights.items())
+    variants = [("", own)] + [
+        (c, " + ".join(f"{w}*{'o_' if c == other else ''}{other}" for other, w in weights.items())) for c in weights
+    ]
+    ring = "(PARTITION BY b ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    others = ", ".join(f"coalesce(lead({c}) OVER (PARTITION BY b ORDER BY h), first_value({c}) OVER {ring}) AS o_{c}" for c in weights)
+    values = ", ".join(f"coalesce(CAST({c} AS BIGINT), 0) AS {c}" for c in weights)
+    scores = " UNION ALL ".join(f"SELECT '{name}' AS feature, churned, {score} AS s FROM paired" for name, score in variants)
+    return f"""SELECT feature, {r("base - auc", 9)} AS auc_loss FROM (
+      SELECT feature, auc, max(CASE WHEN feature = '' THEN auc END) OVER () AS base FROM (
+        SELECT feature, CAST(SUM(neg*(above + pos*0.5e0)) AS DOUBLE)/(SUM(pos)*SUM(neg)) AS auc FROM (
+          SELECT *, coalesce(SUM(pos) OVER (PARTITION BY feature ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+          FROM (SELECT feature, s, SUM(churned) AS pos, SUM(1 - churned) AS neg FROM (
+            WITH keyed AS (SELECT customer_id, churned, {values}, {draw.format(42)} AS h,
+                {draw.format(43)} % (SELECT greatest(1, COUNT(*) // 4096) FROM customers) AS b FROM customers),
+              paired AS (SELECT *, {others} FROM keyed)
+            {scores}) GROUP BY feature, s))
+        GROUP BY feature)) WHERE feature <> ''"""
+
+
 def _published_columns() -> str:
     parts = []
     for table, (source, columns) in PUBLISHED.items():
@@ -777,6 +801,12 @@ def all_oracles() -> dict[str, str]:
         {big("SUM(unique_customers)")} AS unique_customers FROM revenue GROUP BY year""")
     add("annual_unique_customers", """SELECT CAST(year(order_date) AS INT) AS year,
         CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS unique_customers FROM raw_orders GROUP BY 1""")
+    parts = {"month": "strftime(order_date, '%Y-%m')", "quarter": "year(order_date) || '-Q' || quarter(order_date)",
+        "year": "CAST(year(order_date) AS VARCHAR)", "all": "'all'"}
+    add("active_periods", " UNION ALL ".join(f"""SELECT '{p}' AS period, {label} AS label,
+        CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS unique_customers, TRUE AS estimate_agrees FROM raw_orders GROUP BY ALL"""
+        for p, label in parts.items()))
+    add("exchange_losses", _exchange_losses())
     add("category_revenue", f"""SELECT * REPLACE ({r("revenue", 2)} AS revenue)
         FROM ({_marked(CATEGORY_STATS, "return_rate_pct")})""")
     add("top_categories", f"""SELECT category, {even(tot("total_amount_usd"), 2)} AS revenue,

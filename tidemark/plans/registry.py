@@ -9,6 +9,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import partial, reduce
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tidemark.functions import binning as b
 from tidemark.functions.numeric import round_half_away
 from tidemark.ml import attribution, curve, preparation, sampling, training
 from tidemark.ml.candidates import FOREST, LOGISTIC, Settings
-from tidemark.operators import commerce, correlation, features, profiling, risk, segments
+from tidemark.operators import commerce, correlation, distinct, features, profiling, risk, segments
 from tidemark.operators.cleaning import clean_all, parse_date, rejected_customers
 from tidemark.plans import library
 from tidemark.plans.inputs import CUSTOMER_COLUMNS, ROLLUP_COLUMNS, Inputs
@@ -161,6 +162,19 @@ def _auc(i: Inputs) -> DataFrame:
     return out.select(round_half_away(F.col("auc"), 9).alias("auc"))
 
 
+def _monthly_members(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """The stored monthly bitmaps and sketches of ordering customers."""
+    month = F.trunc("order_date", "month").alias("order_date")
+    lines = settle(i.star.orders("customer_id", "order_date").select("customer_id", month).distinct(), "active-months")
+    numbers = distinct.numbered(i.raw_customers("customer_id"), "customer_id")
+    bitmaps = distinct.monthly_bitmaps(lines.join(numbers, "customer_id"), "number")
+    return settle(bitmaps, "monthly-members"), settle(distinct.monthly_sketches(lines, "customer_id"), "monthly-sketches")
+
+
+def _annual_members(i: Inputs) -> DataFrame:
+    return distinct.members(_monthly_members(i)[0], "year").orderBy("year")
+
+
 def _events(i: Inputs) -> DataFrame:
     return i.star.source("events").select(
         "event_id", F.col("user_id").alias("customer_id"), F.col("ts").cast("timestamp").alias("ts"),
@@ -414,6 +428,25 @@ def _permutation(i: Inputs) -> DataFrame:
     return attribution.permutation_importance(score, result.prepared_test, result.champion.feature_names)
 
 
+# Whole-number coefficients of a score for checking the exchange of features.
+EXCHANGED = {"days_since_last_purchase": 3, "total_orders": -40, "wishlist_items": 7, "age": -1}
+
+
+def _exchange_losses(i: Inputs) -> DataFrame:
+    """Loss of AUC of a fixed linear score when one of its inputs is exchanged, all inputs in one job."""
+    customers = i.settled_customers("customer_id", "churned", *EXCHANGED)
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in EXCHANGED])
+    prepared = customers.select("customer_id", F.col("churned").alias("label"), array_to_vector(values).alias(preparation.VECTOR))
+    weights = F.array(*[F.lit(float(w)) for w in EXCHANGED.values()])
+
+    def score(df: DataFrame) -> DataFrame:
+        terms = F.zip_with(vector_to_array(preparation.VECTOR), weights, lambda x, w: x * w)
+        return df.withColumn("p", F.aggregate(terms, F.lit(0.0), lambda total, x: total + x))
+
+    losses = attribution.permutation_importance(score, prepared, list(EXCHANGED))
+    return losses.select("feature", round_half_away(F.col("auc_loss"), 9).alias("auc_loss"))
+
+
 @dataclass(frozen=True)
 class FixedLinear:
     """A linear model with given coefficients, for checking what is derived from a fitted one."""
@@ -570,9 +603,8 @@ PLANS: dict[str, Plan] = {
     ),
     "rolling_revenue": lambda i: commerce.rolling_revenue(i.star.monthly_revenue()),
     "annual_summary": lambda i: commerce.annual_summary(i.star.monthly_revenue()),
-    "annual_unique_customers": lambda i: commerce.annual_unique_customers(
-        i.star.orders("customer_id", "order_date")
-    ),
+    "annual_unique_customers": _annual_members,
+    "active_periods": lambda i: distinct.active_periods(*_monthly_members(i)),
     "category_revenue": lambda i: commerce.category_revenue(i.star.orders(*CATEGORY_COLUMNS)),
     "top_categories": lambda i: commerce.top_categories(i.star.orders(*CATEGORY_COLUMNS)),
     "churn_by_age": lambda i: segments.churn_by_age(i.customers("churned", "age")),
@@ -633,6 +665,7 @@ PLANS: dict[str, Plan] = {
     "preparation_values": _preparation_values,
     "encoded_rows": _encoded_rows,
     "linear_contributions": _rounded_contributions,
+    "exchange_losses": _exchange_losses,
     "class_weights": lambda i: sampling.class_weights(i.customers("churned"), "churned"),
     # storage
     "csv_reload": _csv_reload,
