@@ -964,5 +964,6 @@ def all_oracles() -> dict[str, str]:
         HAVING MAX(ts) + INTERVAL 12 HOUR <= (SELECT MAX(ts) FROM events)"""
     add("dormancy_spells", dormancy)
     add("dormancy_stream", dormancy + " - INTERVAL 1 DAY")
+    add("dormancy_timers", dormancy + " - INTERVAL 1 DAY")
     add("return_follow_ups", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error'")
     return q

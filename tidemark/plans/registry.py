@@ -25,7 +25,7 @@ from tidemark.session import settle, shared_dir
 from tidemark.sources import publish, readers, versions
 from tidemark.sources.schemas import EXPECTED_COLUMNS, RAW_TABLES
 from tidemark.sources.star_schema import SOURCES
-from tidemark.streaming import triggers
+from tidemark.streaming import timers, triggers
 
 Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[Inputs], DataFrame]
@@ -360,15 +360,15 @@ def _model_round_trip(i: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _dormancy_stream(i: Inputs) -> DataFrame:
-    """The session-window path: spells that the watermark (a day behind the last event) has passed."""
+def _dormancy_stream(i: Inputs, by_timer: bool = False) -> DataFrame:
+    """Spells that the watermark (a day behind the last event) has passed, by session windows or keyed timers."""
     stream = (
         i.spark.readStream.schema(SOURCES["events"])
         .parquet(f"{i.star.folder}/event[s].parquet")
         .select(F.col("user_id").alias("customer_id"), F.col("ts").cast("timestamp").alias("ts"))
     )
     folder = f"{shared_dir(i.spark)}/tidemark/dormancy-{uuid.uuid4().hex}"
-    spells = triggers.dormancy(stream, gap=dt.timedelta(hours=12))
+    spells = (timers.timed_dormancy if by_timer else triggers.dormancy)(stream, gap=dt.timedelta(hours=12))
     triggers.run_available(spells, folder)
     return triggers.written(i.spark, folder, spells.schema).select(
         "customer_id",
@@ -678,6 +678,7 @@ PLANS: dict[str, Plan] = {
     # event-driven triggers
     "dormancy_spells": _dormancy,
     "dormancy_stream": _dormancy_stream,
+    "dormancy_timers": lambda i: _dormancy_stream(i, by_timer=True),
     "return_follow_ups": _follow_ups,
 }
 
