@@ -1,11 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
-A page's text nodes are grouped by their root-to-leaf path of block elements (with class and id). For
-every path, text length and punctuation per node are taken, smoothed over neighbouring paths in page
-order, fused (geometric mean) and compared with a threshold. The elements that hold the paths above it
-are the content; all their blocks are kept, short ones too. Parts that name themselves as furniture
-(navigation, footers, adverts, forms, comments, ...) never count, and where a page marks an article or
-a main part, only paths inside it compete.
+A page's text blocks are grouped by their root-to-leaf path of block elements (with class and id). For every
+path, the text outside links and the punctuation per block are taken, smoothed over neighbouring paths in page
+order and fused (geometric mean); the share of link text lowers the ratio, and so does a class or id that names
+furniture and nothing else (``sidebar`` or ``comment-list``, not ``share-price-report``). Paths above the
+threshold, a share of the best ratio, are content. The answer is every block below their common ancestor, short
+ones too, except paths that are mostly links or whose lowered ratio misses the threshold; a heading that stands
+before the ancestor belongs to it. Elements that are never text (scripts, navigation, forms, footers, ...) are
+left out, and where a page marks an article or a main part, only paths inside it compete.
+
+A page is read once from left to right: a tag ends at the next unquoted ``>`` within ``TAG_CHARS`` characters,
+else at the next ``>`` at all; a ``<`` that begins no tag is text. Paths are numbers, so depth costs nothing.
 
 Defined results: a null or empty page, or one without content, gives the empty text; broken nesting is
 repaired as browsers do for paragraphs, list items and table cells; equal pages give equal texts; null
@@ -47,14 +52,18 @@ FURNITURE = frozenset(
     " pager skip alert copyright".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
+NEUTRAL = frozenset(
+    "box wrap wrapper area list item items section block container inner outer content row col column left right top"
+    " bottom head heading bar panel group module link links text icon button btn post posts article articles form site"
+    " page web main the and for js is".split()
+)
+HEADINGS = frozenset(("h1", "h2"))
 FURNITURE_CONTAINERS = frozenset("div section ul ol li p span header table tr td article dl figure center small a".split())
 LAYOUT = re.compile(r"\b(?:has|with|no|without|overflow)-\S+", re.I)
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL,
-)
+TAG_CHARS = 1 << 14
+TAG = re.compile(r"</?[a-zA-Z][^\s/>]*")
+ENDS = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
@@ -62,45 +71,122 @@ PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 
 @dataclass(frozen=True)
 class PathRules:
-    threshold: float = 0.5  # of the standard deviation of the fused ratios
-    least_share: float = 0.25  # an element counts if it has this share of the best element's text
+    threshold: float = 0.25  # of the best path's ratio
+    named: float = 0.05  # factor on the ratio of a path whose class or id names furniture
+    linked: float = 0.5  # a path with more of its text in links is a link list
 
 
 class Block:
-    __slots__ = ("path", "holder", "pieces", "nodes", "linked")
+    __slots__ = ("path", "held", "pieces", "linked")
+
+    def __init__(self, path: int, held: bool):
+        self.path, self.held, self.pieces, self.linked = path, held, [], 0
+
+
+class Paths:
+    """Root-to-leaf paths as numbers; a path's parent has a smaller number."""
+
+    def __init__(self):
+        self.parent, self.label, self.named, self.known = [-1], [""], [False], {}
+
+    def below(self, parent: int, label: str, named: bool) -> int:
+        found = self.known.setdefault((parent, label), len(self.parent))
+        if found == len(self.parent):
+            self.parent.append(parent)
+            self.label.append(label)
+            self.named.append(named or self.named[parent])
+        return found
+
+    def common(self, chosen: list[int]) -> int:
+        """The deepest path that all of ``chosen`` run through."""
+        count = [0] * len(self.parent)
+        for path in set(chosen):
+            count[path] += 1
+        for path in range(len(count) - 1, 0, -1):
+            count[self.parent[path]] += count[path]
+        return max((p for p, n in enumerate(count) if n == count[0]), default=0)
+
+    def under(self, root: int) -> list[bool]:
+        out = [False] * len(self.parent)
+        out[root] = True
+        for path in range(root + 1, len(out)):
+            out[path] = out[self.parent[path]]
+        return out
 
-    def __init__(self, path: str, holder: str):
-        self.path, self.holder, self.pieces, self.nodes, self.linked = path, holder, [], 0, 0
 
+def names_furniture(value: str) -> bool:
+    """Whether a word of a class or id names furniture and no other word speaks against it."""
+    for token in LAYOUT.sub(" ", value).split():
+        parts = {p.lower() for p in PART.findall(token)}
+        if parts & FURNITURE and parts <= FURNITURE | NEUTRAL:
+            return True
+    return False
 
-def is_furniture(tag: str, attrs: str, in_article: bool) -> tuple[bool, str]:
-    """Whether the element is furniture by its tag or attributes; its label in paths."""
+
+def judged(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, str]:
+    """Whether the element is never text, whether it is named as furniture, and its label in paths."""
     if tag in NEVER or (tag == "header" and not in_article):
-        return True, tag
+        return True, False, tag
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
-        return False, tag
-    label, bad = tag, False
+        return False, False, tag
+    label, never, named = tag, False, False
     for name, *values in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), values[0] or values[1] or values[2]
         if name in ("class", "id"):
             label += ("." if name == "class" else "#") + value
             if tag in FURNITURE_CONTAINERS:
-                bad = bad or "hidden" in value.split() or any(p.lower() in FURNITURE for p in PART.findall(LAYOUT.sub(" ", value)))
+                never = never or "hidden" in value.split()
+                named = named or names_furniture(value)
         elif name == "role":
-            bad = bad or value.lower() in ROLES
+            never = never or value.lower() in ROLES
         elif name == "style":
-            bad = bad or "display:none" in value.replace(" ", "").lower()
+            never = never or "display:none" in value.replace(" ", "").lower()
         elif name == "hidden" or value.lower() == "true":
-            bad = True
-    return bad, label
+            never = True
+    return never, named, label
+
+
+def tokens(html: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, tag, attributes) of each tag; end tags begin with /, comments and declarations have no name."""
+    at, last = 0, {c: html.rfind(c) for c in ">\"'"}
+    while (at := html.find("<", at)) >= 0:
+        if html.startswith("<!--", at) or html.startswith("<![CDATA[", at):
+            close = "-->" if html[at + 2] == "-" else "]]>"
+            end = html.find(close, at + 4)
+            end = len(html) if end < 0 else end + 3
+        elif html.startswith(("<!", "<?"), at):
+            end = html.find(">", at) + 1 or len(html)
+        else:
+            name = TAG.match(html, at)
+            if name is None:
+                at += 1
+                continue
+            if at > last[">"]:
+                return  # no tag ends any more: the rest is text
+            stop, limit = name.end(), name.end() + TAG_CHARS
+            while True:
+                mark = ENDS.search(html, stop, limit)
+                if mark is None or mark[0] == ">":
+                    break
+                stop = html.find(mark[0], mark.end(), limit) + 1 if mark.end() <= last[mark[0]] else 0
+                if not stop:
+                    mark = None
+                    break
+            close = mark.start() if mark else html.find(">", name.end())
+            yield at, close + 1, name[0][1:].lower(), html[name.end() : close]
+            at = close + 1
+            continue
+        yield at, end, "", ""
+        at = end
 
 
-def blocks_of(html: str) -> list[Block]:
-    """The text blocks of a page in order, without furniture."""
-    stack: list[tuple[str, str, bool, str]] = []  # tag, path, furniture, article or main that holds it
+def blocks_of(html: str) -> tuple[list[Block], Paths]:
+    """The text blocks of a page in order, without elements that are never text."""
+    stack: list[tuple[str, int, bool, bool]] = []  # tag, path, never, inside an article or main part
+    opened: dict[str, int] = {}
+    paths = Paths()
     blocks: list[Block] = []
     block: Block | None = None
-    links = 0
     at, size = 0, len(html)
 
     def text(raw: str) -> None:
@@ -110,70 +196,68 @@ def blocks_of(html: str) -> list[Block]:
         if block is None:
             if not raw.strip():
                 return
-            block = Block(stack[-1][1] if stack else "", stack[-1][3] if stack else "")
+            block = Block(stack[-1][1] if stack else 0, bool(stack) and stack[-1][3])
             blocks.append(block)
         block.pieces.append(unescape(raw))
-        block.nodes += 1
-        if links:
+        if opened.get("a"):
             block.linked += len(raw)
 
     def pop_to(depth: int) -> None:
-        nonlocal links
         while len(stack) > depth:
-            links -= stack.pop()[0] == "a"
+            opened[stack.pop()[0]] -= 1
 
-    for m in TOKEN.finditer(html):
-        if m.start() < at:
+    for start, end, tag, attrs in tokens(html):
+        if start < at:
             continue
-        if m.start() > at:
-            text(html[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
+        if start > at:
+            text(html[at:start])
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if m["end"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    pop_to(depth)
-                    break
+        if tag[0] == "/":
+            tag = tag[1:]
+            if opened.get(tag):
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth][0] == tag:
+                        pop_to(depth)
+                        break
             if tag not in INLINE:
                 block = None
             continue
         if tag not in INLINE:
             block = None
-            for depth in range(len(stack) - 1, -1, -1):
-                own = stack[depth][0]
-                if own in CLOSED_BY_BLOCK and tag != "br":
-                    pop_to(depth)
-                    break
-                if own not in INLINE:
-                    break
-            if tag in SAME_CLOSES:
+            if opened.get("p") and tag != "br":
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth][0] in CLOSED_BY_BLOCK:
+                        pop_to(depth)
+                        break
+                    if stack[depth][0] not in INLINE:
+                        break
+            rivals = {"td", "th"} if tag in ("td", "th") else {"dt", "dd"} if tag in ("dt", "dd") else {tag}
+            if tag in SAME_CLOSES and any(opened.get(r) for r in rivals):
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] in SAME_CLOSES[tag]:
                         break
-                    if stack[depth][0] == tag or {stack[depth][0], tag} in ({"td", "th"}, {"dt", "dd"}):
+                    if stack[depth][0] in rivals:
                         pop_to(depth)
                         break
         if tag in VOID:
             continue
-        above = stack[-1] if stack else ("", "", False, "")
-        bad, label = is_furniture(tag, m["attrs"], bool(above[3]))
-        bad = bad or above[2]
-        path = above[1] if tag in INLINE else f"{above[1]}/{label}"
-        holder = above[3] or (path if tag in ("article", "main") or 'role="main"' in m["attrs"] else "")
-        if tag in RAW and not m["attrs"].endswith("/"):
+        above = stack[-1] if stack else ("", 0, False, False)
+        never, named, label = judged(tag, attrs, above[3])
+        path = above[1] if tag in INLINE and not named else paths.below(above[1], label, named)
+        held = above[3] or tag in ("article", "main") or 'role="main"' in attrs
+        if attrs.endswith("/"):
+            continue
+        if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
             at = close.end() if close else size
             continue
-        if m["attrs"].endswith("/"):
-            continue
-        stack.append((tag, path, bad, holder))
-        links += tag == "a"
+        stack.append((tag, path, never or above[2], held))
+        opened[tag] = opened.get(tag, 0) + 1
     if at < size:
         text(html[at:])
-    return blocks
+    return blocks, paths
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:
@@ -181,36 +265,54 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return (wide[:-2] + 2 * wide[1:-1] + wide[2:]) / 4
 
 
+def path_ratios(found: list[tuple[Block, str]], paths: Paths, rules: PathRules) -> tuple[dict[int, float], dict[int, float]]:
+    """Per path, in page order: the fused ratio, and the share of its text that lies in links."""
+    sums: dict[int, list[float]] = {}  # text outside links, punctuation, blocks, all text
+    for b, t in found:
+        own = sums.setdefault(b.path, [0.0, 0.0, 0.0, 0.0])
+        own[0] += max(0, len(t) - b.linked)
+        own[1] += len(PUNCTUATION.findall(t)) if b.linked < len(t) / 2 else 0
+        own[2] += 1
+        own[3] += len(t)
+    table = np.array(list(sums.values()))
+    links = 1 - table[:, 0] / table[:, 3]
+    factor = np.where([paths.named[p] for p in sums], rules.named, 1.0) * (1 - links)
+    # furniture by name or by links lends its neighbours nothing
+    length, marks = (smoothed(table[:, k] / table[:, 2] * factor) for k in (0, 1))
+    fused = np.sqrt((length + 1) * (marks + 0.1)) * factor
+    return dict(zip(sums, fused.tolist())), dict(zip(sums, links.tolist()))
+
+
 def main_text(html: str | None, rules: PathRules = PathRules()) -> str:
     """The content blocks of a page, white space collapsed, one block a line."""
     if not html:
         return ""
-    found = [(b, " ".join("".join(b.pieces).split())) for b in blocks_of(html)]
+    blocks, paths = blocks_of(html)
+    found = [(b, " ".join("".join(b.pieces).split())) for b in blocks]
     found = [(b, t) for b, t in found if t]
-    if any(b.holder for b, _ in found):
-        found = [(b, t) for b, t in found if b.holder]
+    if any(b.held for b, _ in found):
+        found = [(b, t) for b, t in found if b.held]
     if not found:
         return ""
-    order: dict[str, list[float]] = {}  # path: text length, punctuation, nodes
-    holders: dict[str, str] = {}
-    for b, t in found:
-        own = order.setdefault(b.path, [0.0, 0.0, 0.0])
-        own[0] += max(0, len(t) - b.linked)
-        own[1] += len(PUNCTUATION.findall(t)) if b.linked < len(t) / 2 else 0
-        own[2] += 1
-        holders[b.path] = b.holder or b.path.rpartition("/")[0]
-    sums = np.array(list(order.values()))
-    ratios = sums[:, :2] / sums[:, 2:]
-    fused = np.sqrt((smoothed(ratios[:, 0]) + 1) * (smoothed(ratios[:, 1]) + 0.1))
-    chosen = fused >= rules.threshold * fused.std()
-    mass: dict[str, float] = {}
-    for path, size, good in zip(order, sums[:, 0], chosen):
-        if good:
-            mass[holders[path]] = mass.get(holders[path], 0.0) + size
-    most = max(mass.values(), default=0.0)
-    kept = [h for h, size in mass.items() if size >= rules.least_share * most]
-    inside = lambda path: any(path == h or path.startswith(h + "/") for h in kept)
-    return "\n".join(t for b, t in found if inside(b.holder or b.path))
+    ratio, links = path_ratios(found, paths, rules)
+    least = rules.threshold * max(ratio.values())
+    chosen = [p for p, r in ratio.items() if r >= least]
+    inside = paths.under(paths.common(chosen))
+    listed: dict[int, int] = {}
+    for b, _ in found:
+        listed[b.path] = listed.get(b.path, 0) + 1
+
+    def content(path: int) -> bool:
+        if ratio[path] >= least:
+            return True
+        return not paths.named[path] and not (links[path] > rules.linked and listed[path] > 1)
+
+    first = next(k for k, (b, _) in enumerate(found) if inside[b.path] and content(b.path))
+    tag = lambda path: paths.label[path].partition(".")[0].partition("#")[0]
+    is_title = lambda path: tag(path) in HEADINGS and content(path)
+    titles = [] if any(inside[b.path] and is_title(b.path) for b, _ in found[first:]) else [k for k in range(first) if is_title(found[k][0].path)]
+    kept = [t for k, (b, t) in enumerate(found) if (inside[b.path] and content(b.path)) or k in titles[-1:]]
+    return "\n".join(kept)
 
 
 def extract_pages(
