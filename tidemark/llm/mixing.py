@@ -11,7 +11,7 @@ offset by the slices before them, and the global cut is looked for in one slice
 What leaves the range sort is one cut per source, so whole documents are joined with a small table.
 
 Defined results: a null text has size 0; a null source is a source of its own, ranked last; rows
-with equal ids share one place in the order and are taken together; an empty table gives no rows.
+with equal ids follow each other by size and text, so that reruns agree, and are taken together; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -81,6 +81,7 @@ def plan_mix(
     narrow = df.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"), order_key(id_col, rules.seed).alias("key"),
+        F.xxhash64(text_col).alias("tie"),
     )
     sizes = store(narrow, "mix-sizes")
     targets = store(source_targets(sizes, rules), "mix-targets")
@@ -89,12 +90,12 @@ def plan_mix(
         return sizes, targets.withColumn("last_1", F.lit(-1)).withColumn("last_2", F.lit(-1))
     bits = max(0, (most[0] // rules.slice_rows).bit_length())
     sliced = sizes.join(targets.select("source", "rank"), sizes["source"].eqNullSafe(targets["source"])).select(
-        "rank", "key", "id", "size", F.shiftright("key", KEY_BITS - bits).alias("slice")
+        "rank", "key", "id", "size", "tie", F.shiftright("key", KEY_BITS - bits).alias("slice")
     )
     sums = sliced.groupBy("rank", "slice").agg(F.sum("size").alias("slice_size"))
     ahead = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("rank", "slice", F.coalesce(F.sum("slice_size").over(ahead), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("rank", "slice").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("rank", "slice").orderBy("key", "id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     sent = (
         sliced.withColumn("inside", F.sum("size").over(inside))
         .join(sums, ["rank", "slice"])
