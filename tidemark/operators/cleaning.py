@@ -71,8 +71,8 @@ def clean_customers(df: DataFrame, snapshot: dt.date = SNAPSHOT) -> DataFrame:
     return out.withColumns(cased) if cased else out
 
 
-def rejected_customers(df: DataFrame) -> DataFrame:
-    """How many rows each range rule turns away (a row may fail several)."""
+def rejection_counters() -> dict[str, Column]:
+    """How many rows each range rule turns away (a row may fail several), as aggregates over raw customers."""
     rules = {
         "age": F.col("age").between(16, 100),
         "total_orders": F.col("total_orders") >= 0,
@@ -80,9 +80,13 @@ def rejected_customers(df: DataFrame) -> DataFrame:
         "avg_review_score": F.col("avg_review_score").between(0, 5),
         "any": valid_customer(),
     }
-    counts = df.agg(
-        *[F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in rules.items()]
-    )
+    return {name: F.count_if(~F.coalesce(ok, F.lit(False))) for name, ok in rules.items()}
+
+
+def rejected_customers(df: DataFrame) -> DataFrame:
+    """The same counters by a scan of their own: (rule, rejected)."""
+    rules = rejection_counters()
+    counts = df.agg(*[c.alias(name) for name, c in rules.items()])
     return counts.select(
         F.explode(
             F.array(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numeric import mean, percent, round_half_away, round_half_even, rows, total
 from tidemark.functions.quantiles import exact_quantiles
+from tidemark.session import settle
 
 
 def _long(one_row: DataFrame, entries: list[Column]) -> DataFrame:
@@ -30,6 +31,24 @@ def table_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def shapes_in_one_pass(
+    df: DataFrame, name: str, columns: int, derived: dict[str, tuple[list[Column], int]]
+) -> DataFrame:
+    """Rows and columns of ``df`` and of tables that hold one row per distinct key of it, from one scan.
+
+    ``derived`` names each such table's key columns and number of columns.
+    """
+    counted = df.agg(
+        rows().alias("_0"), *[F.count_distinct(F.struct(*keys)).alias(f"_{k}") for k, (keys, _) in enumerate(derived.values(), 1)]
+    )
+    widths = {name: columns} | {n: width for n, (_, width) in derived.items()}
+    entries = [
+        F.struct(F.lit(n).alias("table_name"), F.col(f"_{k}").alias("row_count"), F.lit(width).cast("bigint").alias("column_count"))
+        for k, (n, width) in enumerate(widths.items())
+    ]
+    return _long(counted, entries)
+
+
 def first_rows(df: DataFrame, key: list[str], n: int = 5) -> DataFrame:
     """The first rows in key order (a distributed table has no file order)."""
     return df.orderBy(*key).limit(n)
@@ -112,8 +131,17 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Rows beyond the first of each set of equal rows (or equal keys)."""
-    counted = df.groupBy(*(key or df.columns)).agg(rows().alias("_n"))
+    """Rows beyond the first of each set of equal rows (or equal keys).
+
+    Wide rows are counted by a 64-bit hash first, so that only hashes are shuffled; whole rows are compared only
+    where a hash occurs twice, which also tells rows apart that share one by chance. ``df`` is read twice then.
+    """
+    columns = key or df.columns
+    if len(columns) > 1:
+        hashed = df.withColumn("_hash", F.xxhash64(*columns))
+        repeated = hashed.groupBy("_hash").agg(rows().alias("_n")).where("_n > 1").select("_hash")
+        df = hashed.join(settle(repeated, "repeated-hashes"), "_hash", "left_semi")
+    counted = df.groupBy(*columns).agg(rows().alias("_n"))
     return counted.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 

@@ -947,6 +947,20 @@ def all_oracles() -> dict[str, str]:
         UNION ALL SELECT 'first', 'revenue', {COUNT}, {earned} FROM revenue
         UNION ALL SELECT 'replaced', 'customers', {COUNT}, 2*{spend} FROM customers WHERE churned = 0
         UNION ALL SELECT 'replaced', 'revenue', {COUNT}, {earned} FROM revenue WHERE month <= 6""")
+    add("csv_quarantine", " UNION ALL ".join(f"SELECT '{item}' AS item, CAST(COUNT_IF({test}) AS BIGINT) AS lines FROM raw_orders" for item, test in (
+        ("lines", "TRUE"), ("kept", "order_id % 1000 NOT IN (7, 16, 25)"), ("quarantined", "order_id % 1000 IN (7, 16, 25)"))) + "".join(
+        f" UNION ALL SELECT '{c} is no {t}', CAST(COUNT(*) AS BIGINT) FROM raw_orders WHERE order_id % 1000 = {k} HAVING COUNT(*) > 0"
+        for c, t, k in (("total_amount_usd", "double", 7), ("customer_rating", "double", 16), ("returned", "int", 25))))
+    bad = {"age": "age BETWEEN 16 AND 100", "total_orders": "total_orders >= 0", "total_spend_usd": "total_spend_usd >= 0",
+        "avg_review_score": "avg_review_score BETWEEN 0 AND 5"}
+    bad["any"] = " AND ".join(f"coalesce({ok}, FALSE)" for ok in bad.values())
+    counted = [("customers_read", "rows", "COUNT(*)", "raw_customers")]
+    counted += [("customers_read", n, f"COUNT_IF(NOT coalesce({ok}, FALSE))", "raw_customers") for n, ok in bad.items()]
+    counted += [("customers_written", "rows", "COUNT(*)", "customers"), ("customers_written", "no_review_score", "COUNT_IF(avg_review_score IS NULL)", "customers"),
+        ("orders_written", "rows", "COUNT(*)", "clean_orders"), ("orders_written", "imputed_ratings", "SUM(rating_imputed)", "clean_orders"),
+        ("orders_written", "discounted", "SUM(is_discounted)", "clean_orders")]
+    add("publication_counters", " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{n}' AS counter, CAST({e} AS BIGINT) AS value FROM {source}" for t, n, e, source in counted))
     add("published_columns", _published_columns())
     add("exported_views", _exported_columns(), contributed=f"SELECT feature, {r('m', 6)} AS mean_abs_shap FROM ({contributions})",
         kpis=bodies["executive_kpis"], tiers=bodies["churn_by_tier"], channels=bodies["churn_by_channel"])

@@ -18,11 +18,11 @@ from tidemark.functions.numeric import round_half_away
 from tidemark.ml import attribution, curve, preparation, sampling, training
 from tidemark.ml.candidates import FOREST, LOGISTIC, Settings
 from tidemark.operators import commerce, correlation, distinct, features, profiling, risk, segments
-from tidemark.operators.cleaning import clean_all, parse_date, rejected_customers
+from tidemark.operators.cleaning import clean_all, clean_customers, parse_date, rejected_customers, rejection_counters
 from tidemark.plans import library
 from tidemark.plans.inputs import CUSTOMER_COLUMNS, ROLLUP_COLUMNS, Inputs
 from tidemark.session import settle, shared_dir
-from tidemark.sources import publish, readers, versions
+from tidemark.sources import publish, quarantine, readers, versions
 from tidemark.sources.schemas import EXPECTED_COLUMNS, RAW_TABLES
 from tidemark.sources.star_schema import SOURCES
 from tidemark.streaming import timers, triggers
@@ -44,14 +44,49 @@ def _first_customers(i: Inputs) -> DataFrame:
 
 
 def _shapes(i: Inputs) -> DataFrame:
-    return profiling.table_shapes(
-        {
-            "customers": i.raw_customers(),
-            "orders": i.star.orders(),
-            "monthly_revenue": i.star.monthly_revenue(),
-            "product_summary": i.star.product_summary(),
-        }
+    """Customers, and order lines with the months and products among them from one scan of the lines."""
+    date = F.col("order_date")
+    derived = {
+        "monthly_revenue": ([F.year(date), F.month(date)], len(i.star.monthly_revenue().columns)),
+        "product_summary": ([F.col("product_id")], len(i.products().columns)),
+    }
+    lines = profiling.shapes_in_one_pass(
+        i.star.orders("order_date", "product_id"), "orders", len(i.star.orders().columns), derived
+    )
+    return profiling.table_shapes({"customers": i.raw_customers()}).unionByName(lines)
+
+
+def _publication_counters(i: Inputs) -> DataFrame:
+    """Customers and order lines cleaned and published; what was read, turned away and written, counted on the way."""
+    folder = f"{shared_dir(i.spark)}/tidemark/counted-{uuid.uuid4().hex}"
+    raw, read = quarantine.observed(
+        i.raw_customers(*CUSTOMER_COLUMNS), "customers_read", {"rows": F.count(F.lit(1))} | rejection_counters()
+    )
+    customers, kept = quarantine.observed(
+        clean_customers(raw, i.star.snapshot), "customers_written",
+        {"rows": F.count(F.lit(1)), "no_review_score": F.count_if(F.col("avg_review_score").isNull())},
+    )
+    orders, lines = quarantine.observed(
+        i.orders(*EXPORTED_ORDERS), "orders_written",
+        {"rows": F.count(F.lit(1)), "imputed_ratings": F.sum("rating_imputed"), "discounted": F.sum("is_discounted")},
+    )
+    publish.write_tables({"customers": customers, "orders": orders}, folder)
+    return quarantine.counters(i.spark, {"customers_read": read, "customers_written": kept, "orders_written": lines})
+
+
+def _csv_quarantine(i: Inputs) -> DataFrame:
+    """Order lines out to CSV, some of them spoilt, and back: lines read and kept, and why the others were not."""
+    folder = f"{shared_dir(i.spark)}/tidemark/spoilt-{uuid.uuid4().hex}"
+    schema = RAW_TABLES["orders"]
+    spoilt = {"total_amount_usd": (7, "n/a"), "customer_rating": (16, "good, mostly"), "returned": (25, "1.5")}
+    place = F.pmod(F.col("order_id"), F.lit(1000))
+    lines = i.star.orders().select(
+        *[F.when(place == spoilt[c][0], spoilt[c][1]).otherwise(F.col(c).cast("string")).alias(c) if c in spoilt else F.col(c) for c in schema.names]
     )
+    lines.write.option("header", True).csv(f"{folder}/orders.csv")
+    split = quarantine.split_lines(i.spark, f"{folder}/orders.csv", schema)
+    counted = i.spark.createDataFrame([(k, v) for k, v in split.counts.items()], "item string, lines long")
+    return counted.unionByName(split.quarantine.groupBy(F.col("reason").alias("item")).agg(F.count(F.lit(1)).alias("lines")))
 
 
 def _ranges(i: Inputs) -> DataFrame:
@@ -668,6 +703,8 @@ PLANS: dict[str, Plan] = {
     "exchange_losses": _exchange_losses,
     "class_weights": lambda i: sampling.class_weights(i.customers("churned"), "churned"),
     # storage
+    "csv_quarantine": _csv_quarantine,
+    "publication_counters": _publication_counters,
     "csv_reload": _csv_reload,
     "published_rows": _published_rows,
     "published_columns": _published_columns,
@@ -708,7 +745,7 @@ def all_queries() -> dict[str, Query]:
 HEADLINE = (
     "executive_kpis", "churn_by_tier", "churn_by_channel", "revenue_per_user",
     "category_performance", "order_status_funnel", "device_payment_matrix", "tenure_cohorts",
-    "product_quadrants", "at_risk_list", "risk_tier_revenue", "top_drivers",
+    "product_quadrants", "at_risk_list", "risk_tier_revenue", "top_linear_drivers",
     "table_shapes", "column_info", "describe_customers", "null_counts", "duplicate_rows",
     "distinct_counts", "table_totals", "relationship_check",
     "cleaned_customers", "cleaned_orders", "cleaned_revenue",
@@ -717,8 +754,9 @@ HEADLINE = (
     "churn_by_primary_category", "churn_by_top_countries", "churn_by_age",
     "rolling_revenue", "annual_unique_customers", "top_categories",
     "recency_histogram", "recency_box", "correlation_matrix", "target_correlations",
-    "order_rollup", "feature_table", "prediction_table", "cohort_profile", "insight_report",
+    "order_rollup", "feature_table", "prediction_table", "cohort_profile", "insight_report_by_rule",
     "best_threshold", "risk_score_auc", "classification_report", "split_sizes", "csv_reload",
     "dormancy_spells", "return_follow_ups", "published_rows", "clean_from_csv", "preparation_values",
-    "linear_contributions", "churn_scores", "model_comparison",
+    "linear_contributions", "active_periods", "exchange_losses", "publication_counters", "dormancy_timers",
+    "model_comparison", "churn_scores", "insight_report", "permutation_importance",
 )
