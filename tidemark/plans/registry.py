@@ -197,17 +197,22 @@ def _auc(i: Inputs) -> DataFrame:
     return out.select(round_half_away(F.col("auc"), 9).alias("auc"))
 
 
-def _monthly_members(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    """The stored monthly bitmaps and sketches of ordering customers."""
+def _monthly_bitmaps(i: Inputs, lines: DataFrame) -> DataFrame:
+    numbers = distinct.numbered(i.raw_customers("customer_id"), "customer_id")
+    return distinct.monthly_bitmaps(lines.join(numbers, "customer_id"), "number")
+
+
+def _active_periods(i: Inputs) -> DataFrame:
+    """All periods from the stored monthly bitmaps and sketches; the order lines are read once."""
     month = F.trunc("order_date", "month").alias("order_date")
     lines = settle(i.star.orders("customer_id", "order_date").select("customer_id", month).distinct(), "active-months")
-    numbers = distinct.numbered(i.raw_customers("customer_id"), "customer_id")
-    bitmaps = distinct.monthly_bitmaps(lines.join(numbers, "customer_id"), "number")
-    return settle(bitmaps, "monthly-members"), settle(distinct.monthly_sketches(lines, "customer_id"), "monthly-sketches")
+    bitmaps = settle(_monthly_bitmaps(i, lines), "monthly-members")
+    return distinct.active_periods(bitmaps, settle(distinct.monthly_sketches(lines, "customer_id"), "monthly-sketches"))
 
 
 def _annual_members(i: Inputs) -> DataFrame:
-    return distinct.members(_monthly_members(i)[0], "year").orderBy("year")
+    """Years merged from monthly bitmaps."""
+    return distinct.members(_monthly_bitmaps(i, i.star.orders("customer_id", "order_date")), "year").orderBy("year")
 
 
 def _events(i: Inputs) -> DataFrame:
@@ -639,7 +644,7 @@ PLANS: dict[str, Plan] = {
     "rolling_revenue": lambda i: commerce.rolling_revenue(i.star.monthly_revenue()),
     "annual_summary": lambda i: commerce.annual_summary(i.star.monthly_revenue()),
     "annual_unique_customers": _annual_members,
-    "active_periods": lambda i: distinct.active_periods(*_monthly_members(i)),
+    "active_periods": _active_periods,
     "category_revenue": lambda i: commerce.category_revenue(i.star.orders(*CATEGORY_COLUMNS)),
     "top_categories": lambda i: commerce.top_categories(i.star.orders(*CATEGORY_COLUMNS)),
     "churn_by_age": lambda i: segments.churn_by_age(i.customers("churned", "age")),
