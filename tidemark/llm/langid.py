@@ -7,6 +7,11 @@ softmax are trained by stochastic gradient descent in numpy on a bounded sample
 bucket counts first). A held-back part of the sample sets the temperature of the scores and the score
 below which a text is rejected. Prediction adds up one table row per n-gram.
 
+A softmax must choose among the languages it knows, so a second figure tells how much a text is like the one it
+chose: the mean log probability of its n-grams of letters under that language's own bucket frequencies. Its
+limit is a low quantile of the held-back rows of the language less a slack, and less ``margin`` standard errors
+of a mean over so few n-grams; noise and languages that were never learned lie below it.
+
 Defined results: a null text or one without a letter is ``und`` with score 0 and rejected; with no
 labelled row every text is; equal texts get equal results; null ids and extra columns are fine.
 """
@@ -41,6 +46,9 @@ class LangRules:
     held_back: int = 5  # every n-th sampled row calibrates instead of training
     reject_share: float = 0.001  # of the calibration rows, at most, may be rejected
     reject_below: float = 0.5  # no score above this is ever rejected
+    unlike_share: float = 0.01  # quantile of the held-back rows from which the limit of likeness starts
+    slack: float = 1.3  # in nats an n-gram
+    margin: float = 3.0  # standard errors
     seed: int = 17
 
 
@@ -52,12 +60,19 @@ class LangModel:
     table: np.ndarray
     bias: np.ndarray
     reject: float
+    likeness: np.ndarray  # bucket by language: log probability of an n-gram of letters
+    limits: np.ndarray
+    spreads: np.ndarray  # of the log probability of one n-gram inside a text
+    margin: float = LangRules.margin
     counts: dict[str, int] = field(default_factory=dict)
 
 
-def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each n-gram length: bucket at every kept place, and the rows' limits among these places."""
+def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each n-gram length: bucket at every kept place, the rows' limits among these places, and whether all its
+    bytes belong to letters (or to any character beyond ASCII)."""
     low = LOWER[data]
+    letters = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum((low >= 128) | ((low >= 97) & (low <= 122)), out=letters[1:])
     gap = IS_GAP[data]
     low = np.where(gap, np.uint8(32), low).astype(np.uint32)
     place = np.arange(len(data))
@@ -66,7 +81,7 @@ def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.nda
     np.cumsum(gap, out=gaps[1:])
     for n in GRAMS:
         if len(data) < n:
-            yield np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+            yield np.zeros(0, np.int64), np.zeros(len(offsets), np.int64), np.zeros(0, bool)
             continue
         count = len(data) - n + 1
         key = np.zeros(count, dtype=np.uint32)
@@ -76,24 +91,25 @@ def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.nda
         both = gap[:count] & gap[n - 1 :]
         good = np.flatnonzero((inner == 0) & ~both & (place[:count] + n <= end[:count]))
         bucket = ((key[good] ^ np.uint32(n)) * SPREAD) >> np.uint32(32 - BUCKET_BITS)
-        yield bucket.astype(np.int64), np.searchsorted(good, offsets)
+        yield bucket.astype(np.int64), np.searchsorted(good, offsets), letters[good + n] - letters[good] == n
 
 
-def bucket_counts(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and their shares of each text of a slice."""
+def bucket_counts(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Buckets, their shares, and their numbers of n-grams of letters, of each text of a slice."""
     size, rows = 1 << BUCKET_BITS, len(offsets) - 1
     parts = list(gram_buckets(data, offsets))
     out = []
     for row in range(rows):
-        own = np.concatenate([b[at[row] : at[row + 1]] for b, at in parts])
+        own = np.concatenate([b[at[row] : at[row + 1]] for b, at, _ in parts])
+        pure = np.concatenate([word[at[row] : at[row + 1]] for _, at, word in parts])
         counts = np.bincount(own, minlength=size)
         kinds = np.flatnonzero(counts)
-        out.append((kinds, counts[kinds] / max(1, len(own))))
+        out.append((kinds, counts[kinds] / max(1, len(own)), np.bincount(own[pure], minlength=size)[kinds]))
     return out
 
 
 def sample_features(df: DataFrame, lang_col: str, text_col: str, order_col: str, rules: LangRules) -> list:
-    """Bounded sample of labelled rows as (language, buckets, shares), the same on every run.
+    """Bounded sample of labelled rows as (language, buckets, shares, letter n-grams), the same on every run.
 
     The hash of the row's place in the order decides, at a rate that gives each language
     ``sample_rows`` rows; no language is shuffled or ranked as a whole.
@@ -114,24 +130,27 @@ def sample_features(df: DataFrame, lang_col: str, text_col: str, order_col: str,
                 found = bucket_counts(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], batch.column(1)[a:b],
-                     pa.array([k.astype("<u2").tobytes() for k, _ in found], pa.binary()),
-                     pa.array([w.astype("<f4").tobytes() for _, w in found], pa.binary())],
-                    names=["draw", "lang", "buckets", "shares"],
+                     pa.array([k.astype("<u2").tobytes() for k, _, _ in found], pa.binary()),
+                     pa.array([w.astype("<f4").tobytes() for _, w, _ in found], pa.binary()),
+                     pa.array([c.astype("<u4").tobytes() for _, _, c in found], pa.binary())],
+                    names=["draw", "lang", "buckets", "shares", "letters"],
                 )
 
     rows = chosen.select(draw.alias("draw"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(
-        run, "draw long, lang string, buckets binary, shares binary"
+        run, "draw long, lang string, buckets binary, shares binary, letters binary"
     )
     found = sorted(rows.collect(), key=lambda r: (r["draw"], r["lang"], bytes(r["buckets"])))
-    read = lambda r: (np.frombuffer(r["buckets"], "<u2").astype(np.int64), np.frombuffer(r["shares"], "<f4"))
+    kinds = (("buckets", "<u2"), ("shares", "<f4"), ("letters", "<u4"))
+    read = lambda r: [np.frombuffer(r[name], kind) for name, kind in kinds]
     return [(r["lang"], *read(r)) for r in found if len(r["buckets"])]
 
 
 def fit(rows: list, rules: LangRules = LangRules()) -> LangModel:
-    """Train on (language, buckets, shares) rows."""
+    """Train on (language, buckets, shares, letter n-grams) rows."""
     languages = sorted({r[0] for r in rows})
     if not languages:
-        return LangModel([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0, np.float32), 1.0)
+        nothing = np.zeros((1 << BUCKET_BITS, 0), np.float32)
+        return LangModel([], nothing, np.zeros(0, np.float32), 1.0, nothing, np.zeros(0), np.zeros(0))
     place = {name: k for k, name in enumerate(languages)}
     rng = np.random.default_rng(rules.seed)
     width, count = rules.width, len(languages)
@@ -145,7 +164,7 @@ def fit(rows: list, rules: LangRules = LangRules()) -> LangModel:
     for epoch in range(rules.epochs):
         step = rules.rate * (1 - epoch / rules.epochs)
         for k in rng.permutation(len(train)):
-            name, buckets, shares = train[k]
+            name, buckets, shares, _ = train[k]
             hidden = shares @ embed[buckets]
             p = softmax(hidden @ weights + bias)
             p[place[name]] -= 1
@@ -162,7 +181,27 @@ def fit(rows: list, rules: LangRules = LangRules()) -> LangModel:
     top = np.sort(softmax(logits / heat).max(axis=1))
     reject = min(rules.reject_below, 0.9 * float(top[int(rules.reject_share * len(top))]))
     table = (embed @ weights / heat).astype(np.float32)
-    return LangModel(languages, table, (bias / heat).astype(np.float32), reject)
+    return LangModel(languages, table, (bias / heat).astype(np.float32), reject, *likenesses(languages, train, held, rules), rules.margin)
+
+
+def likenesses(languages: list[str], train: list, held: list, rules: LangRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log probabilities of buckets, limit, spread) per language; frequencies are means over the training rows."""
+    size = 1 << BUCKET_BITS
+    found, limits, spreads = np.zeros((size, len(languages)), np.float32), np.zeros(len(languages)), np.zeros(len(languages))
+    for k, name in enumerate(languages):
+        share, rows = np.zeros(size), 0
+        for _, buckets, _, letters in (r for r in train if r[0] == name and r[3].any()):
+            share[buckets] += letters / letters.sum(dtype=np.int64)
+            rows += 1
+        found[:, k] = np.log(0.9 * share / max(1, rows) + 0.1 / size)
+        own = [r for r in held if r[0] == name and r[3].any()]
+        means = np.array([np.average(found[r[1], k], weights=r[3]) for r in own])
+        apart = [np.average((found[r[1], k] - m) ** 2, weights=r[3]) for r, m in zip(own, means)]
+        spreads[k] = np.sqrt(np.mean(apart)) if own else np.inf
+        errors = rules.margin * spreads[k] * np.array([np.sqrt(len(GRAMS) / r[3].sum(dtype=np.int64)) for r in own])
+        # a held-back row may lie as low as its own length allows
+        limits[k] = min(0.0, float(np.quantile(means + errors, rules.unlike_share))) - rules.slack if own else -np.inf
+    return found, limits, spreads
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -170,13 +209,13 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def scores(model: LangModel, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best language (index, -1 for none) and its probability for each text of a slice."""
+def scores(model: LangModel, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best language (index, -1 for none), its probability, and whether it is rejected, for each text of a slice."""
     rows, count = len(offsets) - 1, len(model.languages)
     if not count:
-        return np.full(rows, -1), np.zeros(rows)
-    total, sums = np.zeros(rows), np.zeros((rows, count))
-    for bucket, at in gram_buckets(data, offsets):
+        return np.full(rows, -1), np.zeros(rows), np.ones(rows, dtype=bool)
+    total, sums, grams = np.zeros(rows), np.zeros((rows, count)), list(gram_buckets(data, offsets))
+    for bucket, at, _ in grams:
         total += np.diff(at)
         full = np.flatnonzero(np.diff(at))
         if len(full):
@@ -184,8 +223,16 @@ def scores(model: LangModel, data: np.ndarray, offsets: np.ndarray) -> tuple[np.
                 sums[full, k] += np.add.reduceat(model.table[:, k][bucket], at[full], dtype=np.float64)
     p = softmax(sums / np.maximum(total, 1)[:, None] + model.bias)
     best = p.argmax(axis=1)
+    like, letters = np.zeros(rows), np.zeros(rows)
+    for bucket, at, pure in grams:
+        row = np.repeat(np.arange(rows), np.diff(at))[pure]
+        like += np.bincount(row, model.likeness[bucket[pure], best[row]], minlength=rows)
+        letters += np.bincount(row, minlength=rows)
+    least = model.limits[best] - model.margin * model.spreads[best] * np.sqrt(len(GRAMS) / np.maximum(letters, 1))
+    unlike = (letters > 0) & (like / np.maximum(letters, 1) < least)
     best[~has_letter(data, offsets)] = -1
-    return best, np.where(best < 0, 0.0, p[np.arange(rows), best])
+    score = np.where(best < 0, 0.0, p[np.arange(rows), best])
+    return best, score, (best < 0) | (score < model.reject) | unlike
 
 
 def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -216,9 +263,9 @@ def predict_languages(df: DataFrame, model: LangModel, id_col: str = "doc_id", t
         names = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(1), WORK_BYTES):
-                best, score = scores(model, data, offsets)
+                best, score, rejected = scores(model, data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], pa.array(names[best], pa.string()), pa.array(score), pa.array((best < 0) | (score < model.reject))],
+                    [batch.column(0)[a:b], pa.array(names[best], pa.string()), pa.array(score), pa.array(rejected)],
                     names=[id_col, "lang_pred", "score", "rejected"],
                 )
 
@@ -237,7 +284,7 @@ def keep_identified(df: DataFrame, model: LangModel, text_col: str = "text") ->
         model = shared.value
         for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(at), WORK_BYTES):
-                best, score = scores(model, data, offsets)
-                yield batch.slice(a, b - a).filter(pa.array((best >= 0) & (score >= model.reject)))
+                _, _, rejected = scores(model, data, offsets)
+                yield batch.slice(a, b - a).filter(pa.array(~rejected))
 
     return df.mapInArrow(run, df.schema)
