@@ -865,6 +865,9 @@ def all_oracles() -> dict[str, str]:
         {r(avg("CAST(churn_probability AS DECIMAL(9,6))") + "*100", 1)} AS avg_churn_prob_pct
         FROM predictions JOIN customers USING (customer_id) GROUP BY risk_tier""")
     add("tier_counts", f"SELECT risk_tier, {COUNT} AS customers FROM predictions GROUP BY risk_tier")
+    add("tier_activity", f"""SELECT risk_tier, {COUNT} AS customers, CAST(SUM(CAST(total_spend_usd AS DECIMAL(18,2))) AS DOUBLE) AS spend,
+        CAST(coalesce(SUM(order_count), 0) AS BIGINT) AS orders, CAST(COUNT_IF(order_count IS NULL) AS BIGINT) AS without_orders
+        FROM customers LEFT JOIN rollup USING (customer_id) JOIN predictions USING (customer_id) GROUP BY risk_tier""")
     add("revenue_at_risk", f"""SELECT {COUNT} AS customers, {EXPECTED_LOSS} AS expected_loss_usd
         FROM predictions JOIN customers USING (customer_id)""")
     for key in ("country", "membership_tier", "acquisition_channel"):

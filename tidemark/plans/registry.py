@@ -22,7 +22,7 @@ from tidemark.operators.cleaning import clean_all, clean_customers, parse_date,
 from tidemark.plans import library
 from tidemark.plans.inputs import CUSTOMER_COLUMNS, ROLLUP_COLUMNS, Inputs
 from tidemark.session import settle, shared_dir
-from tidemark.sources import publish, quarantine, readers, versions
+from tidemark.sources import colocated, publish, quarantine, readers, versions
 from tidemark.sources.schemas import EXPECTED_COLUMNS, RAW_TABLES
 from tidemark.sources.star_schema import SOURCES
 from tidemark.streaming import timers, triggers
@@ -169,6 +169,23 @@ def _scored(plan: Callable[[DataFrame, DataFrame], DataFrame], *columns: str) ->
     return lambda i: plan(*i.scored(*columns))
 
 
+def _tier_activity(i: Inputs) -> DataFrame:
+    """Per risk tier: customers, spend, and orders, from tables stored in common buckets."""
+    customers, predictions = i.scored("customer_id", "total_spend_usd")
+    rollup = features.order_rollup(i.orders(*ROLLUP_COLUMNS)).select("customer_id", "order_count")
+    stored = colocated.colocate(
+        {"customers": customers.select("customer_id", "total_spend_usd"), "rollup": rollup,
+         "predictions": predictions.select("customer_id", "risk_tier")}, "customer_id", 16,
+    )
+    joined = stored["customers"].join(stored["rollup"], "customer_id", "left").join(stored["predictions"], "customer_id")
+    return joined.groupBy("risk_tier").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.sum(F.col("total_spend_usd").cast("decimal(18,2)")).cast("double").alias("spend"),
+        F.coalesce(F.sum("order_count"), F.lit(0)).alias("orders"),
+        F.count_if(F.col("order_count").isNull()).alias("without_orders"),
+    )
+
+
 def _loss_by(key: str) -> Plan:
     return _scored(lambda c, p: risk.revenue_at_risk(c, p, key), "total_spend_usd", key)
 
@@ -672,6 +689,7 @@ PLANS: dict[str, Plan] = {
     "prediction_table": lambda i: i.predictions(),
     "at_risk_list": _scored(risk.at_risk_list, *risk.AT_RISK_COLUMNS[1:]),
     "risk_tier_revenue": _scored(risk.risk_tier_revenue, "total_spend_usd"),
+    "tier_activity": _tier_activity,
     "tier_counts": lambda i: risk.tier_counts(i.predictions()),
     "revenue_at_risk": _scored(risk.revenue_at_risk, "total_spend_usd"),
     "revenue_at_risk_by_country": _loss_by("country"),
