@@ -55,3 +55,17 @@ def test_shapes_in_one_pass(spark):
     got = profiling.shapes_in_one_pass(df, "lines", 2, {"keys": ([F.col("k")], 5), "pairs": ([F.col("k"), F.col("t")], 3)})
     assert {tuple(r) for r in got.collect()} == {("lines", 3, 2), ("keys", 2, 5), ("pairs", 3, 3)}
     assert got._jdf.queryExecution().executedPlan().toString().count("Scan") <= 2
+
+
+def test_models_still_score_after_counting(spark):
+    """Observed counters stay with the session; a fitted model must not carry it into tasks."""
+    from tidemark.ml import training
+    from tidemark.ml.candidates import LOGISTIC, Settings
+
+    watched, seen = quarantine.observed(spark.range(5), "before", {"rows": F.count(F.lit(1))})
+    watched.collect()
+    assert seen.get == {"rows": 5}
+    rows = [(k, k % 2, float(k % 7) + k % 2, "x") for k in range(80)]
+    df = spark.createDataFrame(rows, "customer_id long, churned int, age double, gender string")
+    result = training.compare(df, Settings(models=(LOGISTIC,)), cross_validate=False)
+    assert training.predict_all(result.champion, df).count() == 80

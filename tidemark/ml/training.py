@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from tidemark.ml.sampling import class_weights, stratified_folds, stratified_spl
 from tidemark.ml.trees import TreeModel, bin_rows, grow_boosted, grow_forest, scored_rows
 from tidemark.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tidemark.operators.risk import predictions_from
-from tidemark.session import settle
+from tidemark.session import settle, shared_dir
 
 KEY = "customer_id"
 TEST, CHOICE = -1, -2  # fold numbers of rows that are scored, never fitted
@@ -75,9 +77,13 @@ def _linear_rows(preparation: PipelineModel, train: DataFrame) -> DataFrame:
     return weighted.select(KEY, F.col(TARGET).cast("double").alias("label"), VECTOR, "balanced_weight")
 
 
-def _fit_logistic(preparation: PipelineModel, train: DataFrame, settings: Settings):
+def _fit_logistic(preparation: PipelineModel, train: DataFrame, settings: Settings) -> LogisticRegressionModel:
+    """The fitted model as read back from storage: a fresh one holds its training summary and with it the session,
+    which cannot go to tasks once counters have been observed in that session."""
     rows = settle(_linear_rows(preparation, train), "linear-rows")
-    return logistic(settings, rows.count()).fit(rows)
+    path = f"{shared_dir(train.sparkSession)}/tidemark/linear-{uuid.uuid4().hex}"
+    logistic(settings, rows.count()).fit(rows).write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def _auc(classifier, prepared: DataFrame) -> float:
