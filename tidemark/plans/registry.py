@@ -449,9 +449,10 @@ ENSEMBLES = Settings()
 
 
 def _champion(i: Inputs, models=ENSEMBLES.models, cross_validate=True) -> tuple[training.Comparison, DataFrame]:
-    """The fitted comparison and the features, fitted once per state of the star schema's files and stored."""
+    """The fitted comparison and the features, fitted once per application and state of the source files, and stored."""
     settings = replace(ENSEMBLES, models=models)
-    state = hashlib.sha256(f"{i.fingerprint()} {settings} {cross_validate}".encode()).hexdigest()[:32]
+    known = f"{i.spark.sparkContext.applicationId} {i.fingerprint()} {settings} {cross_validate}"
+    state = hashlib.sha256(known.encode()).hexdigest()[:32]
     root = f"{shared_dir(i.spark)}/tidemark/fits/{state}"
     if versions.current(i.spark, root) is None:
         version = uuid.uuid4().hex
