@@ -39,9 +39,10 @@ class TreeRules:
     bins: int = 64
     block_rows: int = 4096
     task_rows: int = 65_536
-    histogram_bytes: int = 32 << 20
+    histogram_bytes: int = 8 << 20
     written_every: int = 10  # boosting rounds between two stored score tables
     sums_left: int = 32  # partial sums that reach the driver
+    driver_bytes: int = 16 << 20  # and their bytes, unpacked; more or longer ones are added up in tasks first
 
 
 @dataclass
@@ -213,10 +214,18 @@ def bin_rows(
     return empty
 
 
+def narrowed(total: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the narrowest signed type that holds them all."""
+    least, most = (int(total.min()), int(total.max())) if total.size else (0, 0)
+    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
+    return total.astype(kind)
+
+
 def summed(binned: Binned, count: int, of_block: Callable[[Block], np.ndarray]) -> np.ndarray:
-    """Sum over all blocks of ``count`` whole numbers; many tasks are added up in a tree of tasks.
+    """Sum over all blocks of ``count`` whole numbers; many or long partial sums are added up in a tree of tasks.
 
     Plain partition passes over the kept blocks: planning a query for each of them would take longer than the pass.
+    Partial sums travel in the narrowest type that holds them (counts of a forest take a quarter or an eighth).
     """
     features, models = binned.features, binned.models
 
@@ -224,12 +233,15 @@ def summed(binned: Binned, count: int, of_block: Callable[[Block], np.ndarray])
         total = np.zeros(count, np.int64)
         for record in records:
             total += of_block(Block(record, features, models)).astype(np.int64)
-        yield total
+        yield narrowed(total)
 
     parts = binned.records.mapPartitions(run)
-    if binned.tasks > binned.rules.sums_left:
-        return parts.treeReduce(np.add)
-    return np.sum(parts.collect(), axis=0, dtype=np.int64).reshape(count)
+    if binned.tasks > binned.rules.sums_left or binned.tasks * count * 8 > binned.rules.driver_bytes:
+        return parts.treeReduce(lambda a, b: narrowed(np.add(a, b, dtype=np.int64))).astype(np.int64)
+    out = np.zeros(count, np.int64)
+    for part in parts.collect():
+        out += part
+    return out
 
 
 def _bin_counts(binned: Binned, folds: int) -> np.ndarray:
