@@ -134,13 +134,15 @@ def duplicate_count(df: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Rows beyond the first of each set of equal rows (or equal keys).
 
     Wide rows are counted by a 64-bit hash first, so that only hashes are shuffled; whole rows are compared only
-    where a hash occurs twice, which also tells rows apart that share one by chance. ``df`` is read twice then.
+    where a hash occurs twice, which also tells rows apart that share one by chance. ``df`` is read twice then, and
+    once where no hash does.
     """
     columns = key or df.columns
     if len(columns) > 1:
         hashed = df.withColumn("_hash", F.xxhash64(*columns))
         repeated = hashed.groupBy("_hash").agg(rows().alias("_n")).where("_n > 1").select("_hash")
-        df = hashed.join(settle(repeated, "repeated-hashes"), "_hash", "left_semi")
+        repeated = settle(repeated, "repeated-hashes")
+        df = hashed.where(F.lit(False)) if repeated.isEmpty() else hashed.join(repeated, "_hash", "left_semi")
     counted = df.groupBy(*columns).agg(rows().alias("_n"))
     return counted.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
