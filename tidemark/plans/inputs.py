@@ -82,7 +82,8 @@ class Inputs:
         return listed.agg(F.sha2(F.to_json(F.sort_array(F.collect_list(file))), 256)).first()[0]
 
     def features(self) -> DataFrame:
-        """The full feature table."""
+        """The full feature table; the order lines behind it are joined once."""
+        self.star.store_lines(*ROLLUP_COLUMNS)
         return build_features(settle(self.customers(), "customers"), self.orders(*ROLLUP_COLUMNS))
 
     def risk_scored(self, *columns: str) -> tuple[DataFrame, DataFrame]:

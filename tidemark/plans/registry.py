@@ -264,7 +264,8 @@ def _follow_ups(i: Inputs) -> DataFrame:
 
 
 def _published(i: Inputs) -> tuple[str, dict[str, DataFrame]]:
-    """Write the cleaned tables to shared storage."""
+    """Write the cleaned tables to shared storage; the order lines behind them are joined once."""
+    i.star.store_lines()
     folder = f"{shared_dir(i.spark)}/tidemark/published-{uuid.uuid4().hex}"
     tables = {
         "customers": i.customers(),
@@ -306,6 +307,7 @@ def _csv_reload(i: Inputs) -> DataFrame:
 def _raw_csv(i: Inputs) -> str:
     """The four raw tables as headed CSV below shared storage."""
     folder = f"{shared_dir(i.spark)}/tidemark/raw-{uuid.uuid4().hex}"
+    i.star.store_lines()
     tables = {
         "customers": i.raw_customers(),
         "orders": i.star.orders(),
@@ -383,6 +385,7 @@ def _column_sums(tables: dict[str, DataFrame], numeric: dict[str, set[str]]) ->
 def _exported_views(i: Inputs) -> DataFrame:
     """All ten tables and views published, exported as CSV, read back and summed by column."""
     folder = f"{shared_dir(i.spark)}/tidemark/export-{uuid.uuid4().hex}"
+    i.star.store_lines()
     customers, predictions = i.scored(*CUSTOMER_COLUMNS)
     tables = {
         "customers": customers.select(*CUSTOMER_COLUMNS), "orders": i.orders(*EXPORTED_ORDERS).select(*EXPORTED_ORDERS), "monthly_revenue": i.revenue(),

@@ -49,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def settle(df: DataFrame, name: str = "stage") -> DataFrame:
+def settle(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
     Used where several later passes read the same derived rows. The stored copy is columnar (so
@@ -58,5 +58,5 @@ def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

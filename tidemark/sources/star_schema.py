@@ -14,15 +14,22 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import mean, rows, total
+from tidemark.session import settle
 
 SNAPSHOT = dt.date(2000, 8, 1)
 HORIZON_DAYS = 365
 
 PART_DERIVED = frozenset({"product_name", "category"})
 LINE_DERIVED = frozenset({"returns_made", "preferred_category"})
+LINE_COLUMNS = (
+    "order_id", "customer_id", "product_id", "product_name", "category", "order_status", "order_date", "delivery_date",
+    "delivery_days", "customer_rating", "discount_pct", "returned", "total_amount_usd", "session_duration_minutes",
+    "pages_viewed_before_purchase",
+)
 
 
 # Column types of the star-schema tables.
@@ -55,6 +62,7 @@ class StarSchema:
         self.folder = folder.rstrip("/")
         self.snapshot = snapshot
         self.horizon_days = horizon_days
+        self._lines: DataFrame | None = None
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
@@ -73,21 +81,47 @@ class StarSchema:
         """One row per order line placed before the snapshot.
 
         Naming the wanted columns leaves the parts out where no part column is among them: every
-        line refers to a part, so the join changes no row.
+        line refers to a part, so the join changes no row. Columns that ``store_lines`` holds come from there.
         """
+        by_part = not wanted or bool(PART_DERIVED & set(wanted))
+        if self._lines is not None and {*wanted, *(() if wanted else LINE_COLUMNS)} <= set(self._lines.columns):
+            kept = F.col("_part").isNotNull() if by_part else F.coalesce(F.col("_part"), F.lit(1)) == 1
+            return self._lines.where(kept).select(*(wanted or LINE_COLUMNS))
+        joined = self._joined_lines()
+        if by_part:
+            parts = self.source("part").select("p_partkey", "p_name", "p_type")
+            joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        columns = self._line_columns()
+        return joined.select(*[columns[name].alias(name) for name in wanted or columns])
+
+    def store_lines(self, *wanted: str) -> None:
+        """Join the order lines once and store them, for reports that read them several times.
+
+        ``orders`` then reads the copy. ``_part`` numbers the parts that a line refers to (null: none), so that the
+        copy gives the same rows as the joins, with and without part columns, whatever the part keys are.
+        """
+        wanted = wanted or LINE_COLUMNS
+        if self._lines is not None and set(wanted) <= set(self._lines.columns):
+            return
+        parts = self.source("part").select("p_partkey", "p_name", "p_type").where("p_partkey is not null")
+        parts = parts.withColumn("_part", F.row_number().over(W.partitionBy("p_partkey").orderBy("p_type", "p_name")))
+        joined = self._joined_lines().join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        columns = self._line_columns()
+        self._lines = settle(joined.select(*[columns[name].alias(name) for name in wanted], "_part"), "lines", "zstd")
+
+    def _joined_lines(self) -> DataFrame:
         heads = self._past_orders.select(
             "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("_d")
         )
-        joined = self.source("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-        if not wanted or PART_DERIVED & set(wanted):
-            parts = self.source("part").select("p_partkey", "p_name", "p_type")
-            joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        return self.source("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+
+    def _line_columns(self) -> dict[str, Column]:
         ship = F.col("l_shipdate").cast("date")
         delivered = F.when(ship >= F.col("_d"), ship)
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         discount = F.col("l_discount").cast("decimal(4,2)")
         rated = F.col("l_orderkey") % 8 < 3
-        columns = {
+        return {
             "order_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
             "customer_id": F.col("o_custkey"),
             "product_id": F.col("l_partkey"),
@@ -104,7 +138,6 @@ class StarSchema:
             "session_duration_minutes": F.col("l_quantity"),
             "pages_viewed_before_purchase": F.col("l_linenumber"),
         }
-        return joined.select(*[columns[name].alias(name) for name in wanted or columns])
 
     def _order_history(self, with_priority: bool) -> DataFrame:
         """Per customer, from order heads: history measures and the label's later orders.
