@@ -4,7 +4,7 @@ import pytest
 
 from tidemark.operators import profiling
 from tidemark.plans import registry
-from tidemark.plans.inputs import Inputs
+from tidemark.plans.inputs import CUSTOMER_COLUMNS, Inputs
 from tidemark.sources import star_schema
 from tidemark.sources.star_schema import SOURCES, StarSchema
 
@@ -62,3 +62,14 @@ def test_rows_without_a_repeated_hash_are_read_once(spark):
     assert profiling.duplicate_count(rows).first()["duplicates"] == 0
     assert seen.value == 100
     assert profiling.duplicate_count(rows.unionByName(rows.where("id < 5"))).first()["duplicates"] == 5
+
+
+def test_customers_are_stored_once_for_reports_that_share_them(spark, folder, monkeypatch):
+    inputs, kept = Inputs(spark, folder), []
+    monkeypatch.setattr("tidemark.plans.inputs.settle", lambda df, name: (kept.append(name), df)[1])
+    whole = inputs.customers()
+    assert inputs.settled_customers().columns == whole.columns
+    inputs.scored(*CUSTOMER_COLUMNS)
+    features = inputs.features()
+    assert kept.count("customers") == 1
+    assert features.columns[: len(whole.columns)] == whole.columns

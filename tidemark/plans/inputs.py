@@ -43,6 +43,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.star = StarSchema(spark, folder)
+        self._stored: DataFrame | None = None
 
     def raw_customers(self, *columns: str) -> DataFrame:
         return self.star.customers(*columns)
@@ -61,7 +62,10 @@ class Inputs:
 
     def settled_customers(self, *columns: str) -> DataFrame:
         """The same, stored once, for reports that read the customers several times."""
-        return settle(self.customers(*columns), "customers")
+        named = columns or (*CUSTOMER_COLUMNS, "customer_tenure_days")
+        if self._stored is None or not set(named) <= set(self._stored.columns):
+            self._stored = settle(self.customers(*columns), "customers")
+        return self._stored.select(*named)
 
     def orders(self, *columns: str) -> DataFrame:
         """Cleaned orders; where ratings are filled, a narrow pass counts them first."""
@@ -84,7 +88,7 @@ class Inputs:
     def features(self) -> DataFrame:
         """The full feature table; the order lines behind it are joined once."""
         self.star.store_lines(*ROLLUP_COLUMNS)
-        return build_features(settle(self.customers(), "customers"), self.orders(*ROLLUP_COLUMNS))
+        return build_features(self.settled_customers(), self.orders(*ROLLUP_COLUMNS))
 
     def risk_scored(self, *columns: str) -> tuple[DataFrame, DataFrame]:
         """Stored customers holding ``columns``, and their features up to the risk score."""
