@@ -60,3 +60,54 @@ def test_narrow_partial_sums_add_up_exactly():
     two.rules = trees.TreeRules(driver_bytes=0)  # added up in tasks
     a, b = trees.grow_forest(one, 3, 3, 1), trees.grow_forest(two, 3, 3, 1)
     assert all(np.array_equal(x.value, y.value) and np.array_equal(x.cut, y.cut) for x, y in zip(a, b))
+
+
+class Brought:
+    """A stored block table's records that notes what each pass brings to the driver."""
+
+    def __init__(self, rdd, seen):
+        self.rdd, self.seen, self.context = rdd, seen, rdd.context
+
+    def collect(self):
+        out = self.rdd.collect()
+        self.seen.append([piece.nbytes for _, piece in out])
+        return out
+
+    def __getattr__(self, name):
+        def call(*args):
+            return Brought(getattr(self.rdd, name)(*args), self.seen)
+
+        return call
+
+
+def test_every_sum_reaches_the_driver_once_and_in_short_pieces(spark):
+    blocks = [np.full(20_000, k, np.int64) for k in (1, 300, 70_000, 5, 2**40)]
+    rules = trees.TreeRules()
+    for tasks in (5, 1):
+        seen = []
+        arrays = spark.sparkContext.parallelize(blocks, 5)
+        parts = trees.Records(Brought(arrays, seen), tasks, rules).mapPartitions(lambda own: own)
+        add = lambda a, b: trees.narrowed(np.add(a, b, dtype=np.int64))
+        total = parts.treeReduce(add)
+        assert np.array_equal(total, sum(blocks)) and len(seen[0]) == 3 and max(seen[0]) <= 8 * rules.piece_cells
+        assert all(np.array_equal(a, b) for a, b in zip(parts.collect(), blocks, strict=True))
+        assert len(seen[1]) == 15 and max(seen[1]) <= 8 * rules.piece_cells
+
+
+def test_garbage_of_finished_passes_is_collected_on_the_way(spark, monkeypatch):
+    collected = []
+    monkeypatch.setattr(trees, "drop_unused", collected.append)
+    records = trees.Records(spark.sparkContext.parallelize([1], 1), 1, trees.TreeRules(passes_kept=2))
+    for _ in range(5):
+        records.mapPartitions(lambda own: (np.array([x]) for x in own))
+    assert len(collected) == 2
+
+
+def test_rows_that_end_in_an_early_leaf_keep_its_value():
+    grown = trees.Trees.empty(1, 3)
+    grown.feature[0, 0], grown.cut[0, 0], grown.value[0, :3] = 1, 4, (9.0, 2.0, 3.0)  # both children are leaves
+    bins = np.array([[9, 4], [0, 5], [7, 255]], np.uint8)
+    assert trees.added(np.ones(3), grown, bins, 3).tolist() == [3.0, 4.0, 4.0]
+    assert trees.added(np.zeros(3), trees.Trees.empty(2, 3), bins, 3).tolist() == [0.0] * 3
+    u = np.concatenate([trees.POISSON, np.linspace(0, 0.999, 50)])
+    assert np.array_equal(trees.times_drawn(u), np.searchsorted(trees.POISSON, u, "right"))

@@ -111,8 +111,7 @@ def _tree_rows(preparation: PipelineModel, df: DataFrame, settings: Settings) ->
     numeric, categorical = _columns(df)
     texts = () if settings.one_hot else categorical  # an indicator of a missing text is that of the mode
     gaps = F.array(*[F.col(c).isNull() for c in (*numeric, *texts)])
-    filled = lambda v, j: F.when(~F.coalesce(F.get(gaps, j), F.lit(False)), v)
-    vector = F.transform(vector_to_array(VECTOR), filled)
+    vector = F.zip_with(vector_to_array(VECTOR), gaps, lambda v, gap: F.when(~F.coalesce(gap, F.lit(False)), v))
     return preparation.transform(df).select(KEY, F.col(TARGET).cast("double").alias("label"), "fold", vector.alias("x"))
 
 

@@ -19,12 +19,12 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import settle
+from tidemark.session import drop_unused, settle
 
 MISSING = 255
 UNIT = float(1 << 20)  # gradients are counted in parts of 2**-20
@@ -42,7 +42,10 @@ class TreeRules:
     histogram_bytes: int = 8 << 20
     written_every: int = 10  # boosting rounds between two stored score tables
     sums_left: int = 32  # partial sums that reach the driver
-    driver_bytes: int = 16 << 20  # and their bytes, unpacked; more or longer ones are added up in tasks first
+    driver_bytes: int = 2 << 20  # and their bytes, unpacked; more or longer ones are added up in tasks first
+    adders: int = 6  # by so many tasks
+    piece_cells: int = 8192  # sums travel in pieces of so many numbers
+    passes_kept: int = 25  # passes whose broadcasts and shuffles may lie about before the driver's garbage is collected
 
 
 @dataclass
@@ -68,43 +71,71 @@ class Trees:
         return total / (total.sum() or 1.0)
 
 
-def leaves(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
-    """The node (trees x rows) where each row ends after at most ``depth`` steps."""
-    tree, row = np.arange(len(feature))[:, None], np.arange(len(bins))
-    node = np.zeros((len(feature), len(bins)), dtype=np.int64)
+def descended(flat: np.ndarray, base: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
+    """The node of one tree where each row arrives after ``depth`` steps; below a leaf, some node that was never open.
+
+    ``flat`` holds the bins row by row, ``base`` the place of each row's first bin, ``feature`` no number below 0.
+    """
+    node = np.zeros(len(base), np.intp)
     for _ in range(depth):
-        own = feature[tree, node]
-        step = 2 * node + 1 + (bins[row, np.maximum(own, 0)] > cut[tree, node])
-        node = np.where(own >= 0, step, node)
+        right = flat.take(base + feature.take(node)) > cut.take(node)
+        node += node
+        node += 1
+        node += right
     return node
 
 
+def bottom_values(trees: Trees, depth: int) -> np.ndarray:
+    """Values (trees x nodes at ``depth``) of the leaves that the nodes lie in or below."""
+    value = trees.value[:, :1]
+    for level in range(depth):
+        first, many = 2**level - 1, 2**level
+        leaf = trees.feature[:, first : first + many, None] < 0
+        below = trees.value[:, first + many : first + 3 * many].reshape(-1, many, 2)
+        value = np.where(leaf, value[:, :, None], below).reshape(-1, 2 * many)
+    return value
+
+
 def added(start: np.ndarray, trees: Trees, bins: np.ndarray, depth: int) -> np.ndarray:
-    """``start`` plus the leaf values of the trees, one after the other, some trees at a time."""
-    total = start.copy()
-    for a in range(0, len(trees.feature), 16):
-        part = slice(a, a + 16)
-        at = leaves(bins, trees.feature[part], trees.cut[part], depth)
-        for value in np.take_along_axis(trees.value[part], at, axis=1):
-            total += value
+    """``start`` plus the leaf values of the trees, one after the other."""
+    total, flat, base = start.copy(), bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+    inner, bottom = np.maximum(trees.feature, 0).astype(np.intp), bottom_values(trees, depth)
+    for feature, cut, value in zip(inner, trees.cut, bottom):
+        total += value.take(descended(flat, base, feature, cut, depth) - (2**depth - 1))
     return total
 
 
+def stirred(x: np.ndarray, salt: int) -> np.ndarray:
+    """The next state of the hash behind ``drawn``."""
+    x = x ^ np.uint64((salt + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    for _ in range(2):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def uniform(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(11)).astype(np.float64) / 2.0**53
+
+
 def drawn(uid: np.ndarray, *salt: int) -> np.ndarray:
     """A uniform number in [0, 1) per row, fixed by its key's hash and the salt."""
-    x = uid.copy()
     for s in salt:
-        x = x ^ np.uint64((s + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-        for _ in range(2):
-            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        x = x ^ (x >> np.uint64(32))
-    return (x >> np.uint64(11)).astype(np.float64) / 2.0**53
+        uid = stirred(uid, s)
+    return uniform(uid)
 
 
 # P(X <= k) of a Poisson variable with mean 1, for the number of times a bootstrap draws a row.
 POISSON = np.cumsum(np.exp(-1.0) / np.array([1.0, 1, 2, 6, 24, 120, 720, 5040, 40320, 362880]))
 
 
+def times_drawn(u: np.ndarray) -> np.ndarray:
+    """How often a bootstrap draws the rows with these uniform numbers."""
+    times = np.zeros(len(u), np.uint8)
+    for bound in POISSON:
+        times += u >= bound
+    return times
+
+
 def bin_places(values: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
     """Bin numbers of rows of feature values (NaN: missing)."""
     out = np.empty(values.shape, dtype=np.uint8)
@@ -129,6 +160,62 @@ class Block:
         return np.where(gaps, default, self.bins) if gaps.any() else self.bins
 
 
+def narrowed(total: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the narrowest signed type that holds them all."""
+    least, most = (int(total.min()), int(total.max())) if total.size else (0, 0)
+    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
+    return total.astype(kind)
+
+
+@dataclass
+class Partials:
+    """One array of whole numbers a task, all of a length. They travel in short pieces: long results would each
+    take a large block of the driver's heap, several times over, and the heap grows with them."""
+
+    arrays: RDD
+    tasks: int
+    rules: TreeRules
+
+    def _pieces(self) -> RDD:
+        cells = self.rules.piece_cells
+        return self.arrays.flatMap(lambda x: [(k, narrowed(x[a : a + cells])) for k, a in enumerate(range(0, len(x), cells))])
+
+    def collect(self) -> list[np.ndarray]:
+        own: list[list[np.ndarray]] = []
+        for k, piece in self._pieces().collect():
+            own += [[]] if k == 0 else []
+            own[-1].append(piece)
+        return [np.concatenate(pieces) for pieces in own]
+
+    def treeReduce(self, add: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+        """Pieces are added up by their place, each in one task, so that the driver gets every sum once."""
+
+        def put_together(pieces: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+            sums: dict[int, np.ndarray] = {}
+            for k, piece in pieces:
+                sums[k] = add(sums[k], piece) if k in sums else piece
+            yield from sums.items()
+
+        dealt = self._pieces().partitionBy(min(self.tasks, self.rules.adders))
+        return np.concatenate([piece for _, piece in sorted(dealt.mapPartitions(put_together).collect(), key=lambda x: x[0])])
+
+
+@dataclass
+class Records:
+    """The stored blocks as records, for partition passes."""
+
+    blocks: RDD
+    tasks: int
+    rules: TreeRules
+    passes: int = 0
+
+    def mapPartitions(self, f: Callable[[Iterator], Iterator[np.ndarray]]) -> Partials:
+        self.passes += 1
+        if self.passes % self.rules.passes_kept == 0:
+            drop_unused(self.blocks.context)
+        return Partials(self.blocks.mapPartitions(f), self.tasks, self.rules)
+
+
 @dataclass
 class Binned:
     """The stored blocks and what belongs to them. Model number k leaves fold k out, the last leaves out none."""
@@ -142,7 +229,7 @@ class Binned:
     rules: TreeRules
 
     def __post_init__(self):
-        self.records = self.blocks.drop("keys").rdd  # planned once: hundreds of passes read it
+        self.records = Records(self.blocks.drop("keys").rdd, self.tasks, self.rules)  # planned once: hundreds of passes read it
 
     @property
     def features(self) -> int:
@@ -214,15 +301,8 @@ def bin_rows(
     return empty
 
 
-def narrowed(total: np.ndarray) -> np.ndarray:
-    """The same whole numbers in the narrowest signed type that holds them all."""
-    least, most = (int(total.min()), int(total.max())) if total.size else (0, 0)
-    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
-    return total.astype(kind)
-
-
 def summed(binned: Binned, count: int, of_block: Callable[[Block], np.ndarray]) -> np.ndarray:
-    """Sum over all blocks of ``count`` whole numbers; many or long partial sums are added up in a tree of tasks.
+    """Sum over all blocks of ``count`` whole numbers; many or long partial sums are added up in tasks first.
 
     Plain partition passes over the kept blocks: planning a query for each of them would take longer than the pass.
     Partial sums travel in the narrowest type that holds them (counts of a forest take a quarter or an eighth).
@@ -235,8 +315,8 @@ def summed(binned: Binned, count: int, of_block: Callable[[Block], np.ndarray])
             total += of_block(Block(record, features, models)).astype(np.int64)
         yield narrowed(total)
 
-    parts = binned.records.mapPartitions(run)
-    if binned.tasks > binned.rules.sums_left or binned.tasks * count * 8 > binned.rules.driver_bytes:
+    parts, rules = binned.records.mapPartitions(run), binned.rules
+    if binned.tasks > 1 and (binned.tasks > rules.sums_left or binned.tasks * count * 8 > rules.driver_bytes):
         return parts.treeReduce(lambda a, b: narrowed(np.add(a, b, dtype=np.int64))).astype(np.int64)
     out = np.zeros(count, np.int64)
     for part in parts.collect():
@@ -278,35 +358,40 @@ class Slot:
 
 
 def _level(
-    binned: Binned, slots: list[Slot], level: int, bins: int, statistics: Callable[[Block, list[np.ndarray], Slot], tuple]
+    binned: Binned, slots: list[Slot], level: int, bins: int, statistics: Callable[[Block, list[np.ndarray]], Callable[[Slot], tuple]]
 ) -> list[np.ndarray]:
     """Per slot: sums of two statistics per (open node, tried feature, bin).
 
+    ``statistics`` prepares a block and gives, for a slot, its rows and lists of (which statistic, values).
     Where a node tries its parent's features, one of two siblings is the parent's sums less the other's.
     """
     taken = [s.counted() for s in slots]
-    tries = [np.stack([s.choice[s.open.index(n)] for n in own]) for s, own in zip(slots, taken)]
+    tries = [np.stack([s.choice[s.open.index(n)] for n in own]).astype(np.int16) for s, own in zip(slots, taken)]
     shapes = [(len(s.counted()), s.choice.shape[1], bins, 2) for s in slots]
     ends = np.cumsum([int(np.prod(s)) for s in shapes])
-    nodes, default = len(slots[0].feature), binned.default
-    lean = [Slot(s.model, s.number, s.feature, s.cut) for s in slots]  # what the tasks get
+    nodes, default, features = len(slots[0].feature), binned.default, binned.features
+    lean = [Slot(s.model, s.number, np.maximum(s.feature, 0), s.cut) for s in slots]  # what the tasks get
 
     def of_block(block: Block) -> np.ndarray:
         filled = [block.filled(own) for own in default]
-        out = np.zeros(ends[-1])
+        of_slot, out = statistics(block, filled), np.zeros(ends[-1])
         for slot, nodes_, choice, shape, end in zip(lean, taken, tries, shapes, ends):
-            own = filled[slot.model]
+            flat, size, tried = filled[slot.model].ravel(), int(np.prod(shape)), shape[1]
             place = np.full(nodes, -1)
             place[nodes_] = np.arange(len(nodes_))
-            at = place[leaves(own, slot.feature[None], slot.cut[None], level)[0]]
-            first, second, used = statistics(block, filled, slot)
-            rows = np.flatnonzero((at >= 0) & used)
-            at, tried = at[rows], shape[1]
-            cell = ((at[:, None] * tried + np.arange(tried)) * bins + own[rows[:, None], choice[at]]).ravel()
-            half = int(np.prod(shape[:3]))
-            view = out[end - 2 * half : end].reshape(half, 2)
-            view[:, 0] = np.bincount(cell, np.repeat(first[rows], tried), minlength=half)
-            view[:, 1] = np.bincount(cell, np.repeat(second[rows], tried), minlength=half)
+            rows, parts = of_slot(slot)
+            base = rows * features
+            at = place.take(descended(flat, base, slot.feature.astype(np.intp), slot.cut, level))
+            inside = np.flatnonzero(at >= 0)
+            if len(inside) < len(at):
+                at, base, parts = at[inside], base[inside], [tuple(x[inside] for x in part) for part in parts]
+            first = np.arange(len(nodes_) * tried).reshape(-1, tried) * (2 * bins)
+            cell = flat.take(choice.astype(np.intp).take(at, axis=0) + base[:, None]).astype(np.intp)
+            cell += cell
+            cell += first.take(at, axis=0)
+            view = out[end - size : end]
+            for which, value in parts:
+                view += np.bincount((cell + which[:, None]).ravel(), np.repeat(value, tried), minlength=size)
         return out
 
     total, out = summed(binned, int(ends[-1]), of_block), []
@@ -376,10 +461,19 @@ def grow_forest(binned: Binned, count: int, depth: int, seed: int) -> list[Trees
         rng = np.random.default_rng([seed, slot.model, slot.number, node])
         return np.sort(rng.permutation(binned.features)[:tried])
 
-    def statistics(block: Block, filled: list[np.ndarray], slot: Slot) -> tuple:
-        times = np.searchsorted(POISSON, drawn(block.uid, seed, slot.model, slot.number), "right").astype(np.float64)
-        used = (block.fold >= 0) & (block.fold != held[slot.model]) & (times > 0)
-        return times * (block.label == 0), times * (block.label == 1), used
+    def statistics(block: Block, filled: list[np.ndarray]) -> Callable[[Slot], tuple]:
+        of_model = {}  # rows, what the hashes of their trees start from, labels
+
+        def of_slot(slot: Slot) -> tuple:
+            if slot.model not in of_model:
+                rows = np.flatnonzero((block.fold >= 0) & (block.fold != held[slot.model]))
+                of_model[slot.model] = rows, stirred(stirred(block.uid[rows], seed), slot.model), block.label[rows]
+            rows, state, label = of_model[slot.model]
+            times = times_drawn(uniform(stirred(state, slot.number)))
+            some = np.flatnonzero(times)
+            return rows[some], [(label[some], times[some].astype(np.float64))]
+
+        return of_slot
 
     def quality(sums: np.ndarray, slot: Slot) -> np.ndarray:
         weighted = sums * balance[slot.model]
@@ -437,13 +531,19 @@ def grow_boosted(
     for r in range(rounds):
         pending = [chosen(m, waiting) for m in range(binned.models)]  # what the stored scores lack
 
-        def statistics(block: Block, filled: list[np.ndarray], slot: Slot) -> tuple:
-            m = slot.model
-            p = 1.0 / (1.0 + np.exp(-added(block.margin[m], pending[m], filled[m], depth)))
-            weight = np.where(block.label == 1, positive_weight, 1.0)
-            used = (block.fold >= 0) & (block.fold != held[m]) & (drawn(block.uid, seed, m, slot.number) < sample)
-            slope, bend = weight * (p - block.label), weight * np.maximum(p * (1 - p), 1e-16)
-            return np.rint(slope * UNIT), np.rint(bend * UNIT), used
+        def statistics(block: Block, filled: list[np.ndarray]) -> Callable[[Slot], tuple]:
+            def of_slot(slot: Slot) -> tuple:
+                m = slot.model
+                used = (block.fold >= 0) & (block.fold != held[m]) & (drawn(block.uid, seed, m, slot.number) < sample)
+                rows = np.flatnonzero(used)
+                label = block.label[rows]
+                p = 1.0 / (1.0 + np.exp(-added(block.margin[m][rows], pending[m], filled[m][rows], depth)))
+                weight = np.where(label == 1, positive_weight, 1.0)
+                slope, bend = weight * (p - label), weight * np.maximum(p * (1 - p), 1e-16)
+                first = np.zeros(len(rows), np.uint8)
+                return rows, [(first, np.rint(slope * UNIT)), (first + 1, np.rint(bend * UNIT))]
+
+            return of_slot
 
         slots = [Slot(m, r, models[m].feature[r], models[m].cut[r]) for m in range(binned.models)]
         _grow(binned, slots, models, depth, features, statistics, quality, value, shared=True)

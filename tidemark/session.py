@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -49,6 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def drop_unused(context: SparkContext) -> None:
+    """Collect the driver's garbage: only then does Spark drop broadcasts and shuffle files of finished jobs.
+
+    For loops of hundreds of short jobs, before whose end the driver's heap would otherwise grow to its limit.
+    """
+    context._jvm.System.gc()
+
+
 def settle(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
