@@ -1,8 +1,9 @@
+import time
 from types import SimpleNamespace
 
 import numpy as np
 
-from tidemark.ml import trees
+from tidemark.ml import training, trees
 
 
 class Records:
@@ -111,3 +112,34 @@ def test_rows_that_end_in_an_early_leaf_keep_its_value():
     assert trees.added(np.zeros(3), trees.Trees.empty(2, 3), bins, 3).tolist() == [0.0] * 3
     u = np.concatenate([trees.POISSON, np.linspace(0, 0.999, 50)])
     assert np.array_equal(trees.times_drawn(u), np.searchsorted(trees.POISSON, u, "right"))
+
+
+def test_garbage_is_collected_as_soon_as_the_drivers_heap_has_filled_up(spark, monkeypatch):
+    heap, collected = [200], []
+    monkeypatch.setattr(trees, "heap_used", lambda context: (heap[0], 1000))
+    monkeypatch.setattr(trees, "drop_unused", lambda context: collected.append(heap[0]) or heap.__setitem__(0, 210))
+    records = trees.Records(spark.sparkContext.parallelize([1], 1), 1, trees.TreeRules(passes_kept=100, heap_growth=0.12))
+    for used in (250, 320, 300, 100, 219, 221, 330):  # at a pass; 100: the JVM has collected by itself
+        heap[0] = used
+        records.mapPartitions(lambda own: own)
+    assert collected == [221]
+
+
+def test_linear_folds_beside_the_trees_run_one_by_one(spark, monkeypatch):
+    running, most = [0], {}
+
+    def fitted(preparation, rest, settings):
+        running[0] += 1
+        most["now"] = max(most.get("now", 0), running[0])
+        time.sleep(0.2)
+        running[0] -= 1
+
+    monkeypatch.setattr(training, "_fit_preparation", lambda rest, settings: None)
+    monkeypatch.setattr(training, "_fit_logistic", fitted)
+    monkeypatch.setattr(training, "_labelled_vectors", lambda preparation, held: held)
+    monkeypatch.setattr(training, "_auc", lambda model, held: held)
+    folded = SimpleNamespace(where=lambda condition: 0.5)
+    for at_once, expected in ((1, 1), (None, 5)):
+        most.clear()
+        assert training.linear_fold_auc(folded, training.Settings(), at_once) == [0.5] * 5
+        assert most["now"] == expected

@@ -94,16 +94,19 @@ def _labelled_vectors(preparation: PipelineModel, df: DataFrame) -> DataFrame:
     return preparation.transform(df).select(KEY, F.col(TARGET).cast("double").alias("label"), VECTOR)
 
 
-def linear_fold_auc(folded: DataFrame, settings: Settings) -> list[float]:
-    """AUC of the linear candidate on every fold, preparation and model refitted without it; folds side by side."""
+def linear_fold_auc(folded: DataFrame, settings: Settings, at_once: int | None = None) -> list[float]:
+    """AUC of the linear candidate on every fold, preparation and model refitted without it; ``at_once`` (all) side by side.
+
+    Each fold under way holds its own plans and code in the driver's memory.
+    """
 
     def one(fold: int) -> float:
         rest, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
         preparation = _fit_preparation(rest, settings)
         return _auc(_fit_logistic(preparation, rest, settings), _labelled_vectors(preparation, held))
 
-    with ThreadPool(settings.folds) as pool:
-        return pool.map(one, range(settings.folds))
+    with ThreadPool(at_once or settings.folds) as pool:
+        return pool.map(one, range(settings.folds), chunksize=1)
 
 
 def _tree_rows(preparation: PipelineModel, df: DataFrame, settings: Settings) -> DataFrame:
@@ -256,7 +259,8 @@ def compare(
             return {}, {}, {}
         model = _fit_logistic(preparation, train, settings)
         found = {(LOGISTIC, k): _auc(model, rows) for k, rows in vectors.items()}
-        return {LOGISTIC: model}, found, {LOGISTIC: sum(linear_fold_auc(folded, settings)) / folds} if folds else {}
+        at_once = 1 if len(settings.models) > 1 else None  # the trees take longer than the folds one by one
+        return {LOGISTIC: model}, found, {LOGISTIC: sum(linear_fold_auc(folded, settings, at_once)) / folds} if folds else {}
 
     with ThreadPool(1) as pool:  # the linear candidate beside the trees
         side = pool.apply_async(linear)

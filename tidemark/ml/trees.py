@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import drop_unused, settle
+from tidemark.session import drop_unused, heap_used, settle
 
 MISSING = 255
 UNIT = float(1 << 20)  # gradients are counted in parts of 2**-20
@@ -46,6 +46,7 @@ class TreeRules:
     adders: int = 6  # by so many tasks
     piece_cells: int = 8192  # sums travel in pieces of so many numbers
     passes_kept: int = 25  # passes whose broadcasts and shuffles may lie about before the driver's garbage is collected
+    heap_growth: float = 0.12  # or the share of the driver's heap that may fill up first
 
 
 @dataclass
@@ -208,11 +209,15 @@ class Records:
     tasks: int
     rules: TreeRules
     passes: int = 0
+    left: int | None = None  # bytes in use after garbage was last collected here
 
     def mapPartitions(self, f: Callable[[Iterator], Iterator[np.ndarray]]) -> Partials:
         self.passes += 1
-        if self.passes % self.rules.passes_kept == 0:
+        used, most = heap_used(self.blocks.context)
+        self.left = used if self.left is None else min(self.left, used)  # the JVM collects by itself as well
+        if self.passes % self.rules.passes_kept == 0 or used - self.left > self.rules.heap_growth * most:
             drop_unused(self.blocks.context)
+            self.left = heap_used(self.blocks.context)[0]
         return Partials(self.blocks.mapPartitions(f), self.tasks, self.rules)
 
 

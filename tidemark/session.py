@@ -58,6 +58,12 @@ def drop_unused(context: SparkContext) -> None:
     context._jvm.System.gc()
 
 
+def heap_used(context: SparkContext) -> tuple[int, int]:
+    """Bytes of the driver's heap in use, garbage included, and the most it may hold."""
+    runtime = context._jvm.java.lang.Runtime.getRuntime()
+    return runtime.totalMemory() - runtime.freeMemory(), runtime.maxMemory()
+
+
 def settle(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
