@@ -97,3 +97,33 @@ def test_elias_fano_selects(gaps):
         assert np.array_equal(own.select(a, min(len(values), a + 600)), values[a : a + 600])
     bits = 8 * (len(low) + len(high))
     assert bits <= len(values) * (3 + max(1, (int(values[-1]) // len(values)).bit_length())) + 64
+
+
+def test_words_of_letters_are_encoded_together(monkeypatch):
+    words = ["a", "ß", "straße", "zürich", "naïve", "ÿ", "unlikeliestword", "æon", "x" * 300, "th", "the"]
+    odd = ["don't", "a1", "x÷y", "Ünter", "été!", "日本", "éa", "<|endoftext|>", "</w>", "aǽ"]
+    encoder, texts = tf.WordEncoder(WORDS, 2), []
+    own, one = encoder._encoded, plain_tokens()
+    monkeypatch.setattr(encoder, "_encoded", lambda part, given: texts.extend(given) or own(part, given))
+    listed = [w.encode() for w in (*words, *odd)]
+    found = encoder._ids(listed)
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in found] == [one(w)[:-1] for w in (*words, *odd)]
+    assert texts[0] == " ".join(words) and not set(words) & set(texts[1:])
+    encoder.final = None  # rules that are not known: word by word
+    encoder.young, encoder.old = {}, {}
+    assert encoder._ids(listed) == found
+    assert encoder._ids([b"one"]) == [np.array(one("one")[:-1], encoder.kind).tobytes()]
+
+
+def test_words_are_remembered_from_task_to_task():
+    assert tf.word_encoder(WORDS, 2) is tf.word_encoder(WORDS, 2)
+    assert tf.word_encoder(WORDS, 2) is not tf.word_encoder(WORDS, 3)
+
+
+def test_letters_that_the_vocabulary_lacks_are_encoded_word_by_word():
+    encoder = tf.WordEncoder(WORDS, 2)
+    listed = [b"one", b"two", b"three"]
+    found = encoder._ids(listed)
+    encoder.final, encoder.young = encoder.final.copy(), {}
+    encoder.final[np.frombuffer(found[1], encoder.kind)[-1]] = False  # as if its last letter had left no id
+    assert encoder._ids(listed) == found

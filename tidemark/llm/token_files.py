@@ -14,7 +14,9 @@ columns are not read. Ids are integers. The shared folder must be one that Arrow
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -41,6 +43,17 @@ IS_WORD[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = True
 IS_TAIL = np.zeros(256, dtype=bool)
 IS_TAIL[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
+# Lower-case letters (a-z, ß to ÿ): a word of them alone is one piece of text to the rules below.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+LETTER_RULES = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+)
+TOGETHER = 200  # such words are encoded as one text of so many
+
 
 class EliasFano:
     """A non-decreasing sequence of ``count`` values below ``universe + 1``."""
@@ -92,11 +105,26 @@ def tokenizer(path: str):
     return made
 
 
+@lru_cache(maxsize=2)
+def final_ids(path: str) -> np.ndarray | None:
+    """Which ids end a piece of text, if words of ``LETTERS`` are single pieces to this tokenizer, else nothing."""
+    made = tokenizer(path)
+    rules = json.loads(made.to_str())
+    added = any(LETTERS.fullmatch(t["content"].encode()) for t in rules["added_tokens"])
+    suffix = rules["model"].get("end_of_word_suffix")
+    if (rules["normalizer"], rules["pre_tokenizer"]) != LETTER_RULES or added or made.truncation or made.padding or not suffix:
+        return None
+    found = np.zeros(made.get_vocab_size(), dtype=bool)
+    found[[k for token, k in rules["model"]["vocab"].items() if token.endswith(suffix)]] = True
+    return found
+
+
 class WordEncoder:
     """Ids of slices of text, one distinct word at a time.
 
     Words are lower-cased (A-Z) as the tokenizer would, and cut before a final run of ASCII punctuation
     that follows a letter or digit, where its rules cut too; fewer distinct words remain to be encoded.
+    New words of letters alone are encoded many at a time, as one text, which is cut after the ids that end a piece.
     Ids are remembered in two generations: when the younger is full it becomes the older, and what is
     used again returns to the younger.
     """
@@ -104,6 +132,7 @@ class WordEncoder:
     def __init__(self, path: str, end_id: int):
         self.model, self.end_id = tokenizer(path), end_id
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
+        self.final = final_ids(path)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -119,6 +148,19 @@ class WordEncoder:
         lengths[cut + np.arange(len(cut))] = last[cut] + 1 - words.starts[cut]
         return lengths, words.first + np.searchsorted(cut, words.first)
 
+    def _encoded(self, words: list[bytes], texts: list[str]) -> dict[bytes, bytes]:
+        """The ids of each word; ``texts`` hold one word each, or are cut after the ids that end a piece."""
+        found = [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), self.kind)
+        if len(texts) == len(words):
+            ends = list(accumulate(map(len, found)))
+        else:
+            ends = (np.flatnonzero(self.final[ids]) + 1).tolist()
+            if len(ends) != len(words):  # letters that the vocabulary lacks
+                return self._encoded(words, [w.decode() for w in words])
+        raw, size = ids.tobytes(), self.kind.itemsize
+        return dict(zip(words, (raw[x * size : y * size] for x, y in pairwise([0, *ends]))))
+
     def _ids(self, kinds: list[bytes]) -> list[bytes]:
         if len(self.young) > WORD_CACHE:
             self.old, self.young = self.young, {}
@@ -132,12 +174,12 @@ class WordEncoder:
                     new.append(w)
         for a in range(0, len(new), 10_000):
             part = new[a : a + 10_000]
-            found = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            lists = [x.ids for x in found]
-            raw = np.array(list(chain.from_iterable(lists)), self.kind).tobytes()
-            ends = list(accumulate(map(len, lists), initial=0))
-            size = self.kind.itemsize
-            young.update(zip(part, (raw[x * size : y * size] for x, y in pairwise(ends))))
+            whole = [w for w in part if LETTERS.fullmatch(w)] if self.final is not None else []
+            if len(whole) > 1:
+                texts = [b" ".join(whole[k : k + TOGETHER]).decode() for k in range(0, len(whole), TOGETHER)]
+                young.update(self._encoded(whole, texts))
+                part = [w for w in part if w not in young]
+            young.update(self._encoded(part, [w.decode() for w in part]))
         return [young[w] for w in kinds]
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,6 +201,12 @@ class WordEncoder:
         return out, limits
 
 
+@lru_cache(maxsize=2)
+def word_encoder(path: str, end_id: int) -> WordEncoder:
+    """The encoder of this worker: words remembered in one task serve the next."""
+    return WordEncoder(path, end_id)
+
+
 def encoded_ids(df: DataFrame, path: str, id_col: str, text_col: str, end_id: int, shards: int) -> DataFrame:
     """(shard, id, ids): ids of each text with the end id, and the shard by ranges of the id."""
     bound_batches(df.sparkSession)
@@ -167,7 +215,7 @@ def encoded_ids(df: DataFrame, path: str, id_col: str, text_col: str, end_id: in
     edges = np.unique(np.array(bounds, dtype=np.int64)) if shards > 1 else np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, end_id)
+        encoder = word_encoder(path, end_id)
         for batch in tidy(batches):
             for a, b, data, offsets in text_slices(batch.column(1)):
                 ids, limits = encoder(data, offsets)
@@ -190,7 +238,7 @@ def write_files(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     dealt = dealt.repartitionById(shards, "shard").sortWithinPartitions("id", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = WordEncoder(path, end_id).kind
+        kind = word_encoder(path, end_id).kind
         store_fs, place = arrow_fs.FileSystem.from_uri(folder)
         out = target = part = None
         own, known, sizes, shard = [], [], [], -1
