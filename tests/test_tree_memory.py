@@ -3,6 +3,7 @@ from types import SimpleNamespace
 
 import numpy as np
 
+from tidemark import session
 from tidemark.ml import training, trees
 
 
@@ -143,3 +144,13 @@ def test_linear_folds_beside_the_trees_run_one_by_one(spark, monkeypatch):
         most.clear()
         assert training.linear_fold_auc(folded, training.Settings(), at_once) == [0.5] * 5
         assert most["now"] == expected
+
+
+def test_native_memory_is_handed_back_with_the_garbage(spark, monkeypatch):
+    context, given = spark.sparkContext, []
+    assert session.hand_back(context) in (True, False)  # by what the JVM knows
+    monkeypatch.setattr(session, "TRIM", "noSuchCommand")
+    assert session.hand_back(context) is False
+    monkeypatch.setattr(session, "hand_back", given.append)
+    session.drop_unused(context)
+    assert given == [context]

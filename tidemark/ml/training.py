@@ -21,7 +21,7 @@ from tidemark.ml.sampling import class_weights, stratified_folds, stratified_spl
 from tidemark.ml.trees import TreeModel, bin_rows, grow_boosted, grow_forest, scored_rows
 from tidemark.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from tidemark.operators.risk import predictions_from
-from tidemark.session import settle, shared_dir
+from tidemark.session import drop_unused, settle, shared_dir
 
 KEY = "customer_id"
 TEST, CHOICE = -1, -2  # fold numbers of rows that are scored, never fitted
@@ -262,6 +262,7 @@ def compare(
         at_once = 1 if len(settings.models) > 1 else None  # the trees take longer than the folds one by one
         return {LOGISTIC: model}, found, {LOGISTIC: sum(linear_fold_auc(folded, settings, at_once)) / folds} if folds else {}
 
+    drop_unused(features.sparkSession.sparkContext)  # what making and splitting the features left in the driver
     with ThreadPool(1) as pool:  # the linear candidate beside the trees
         side = pool.apply_async(linear)
         trees = fit_trees(preparation, train, rows, settings, folds)

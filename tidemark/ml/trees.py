@@ -46,7 +46,7 @@ class TreeRules:
     adders: int = 6  # by so many tasks
     piece_cells: int = 8192  # sums travel in pieces of so many numbers
     passes_kept: int = 25  # passes whose broadcasts and shuffles may lie about before the driver's garbage is collected
-    heap_growth: float = 0.12  # or the share of the driver's heap that may fill up first
+    heap_growth: float = 0.06  # or the share of the driver's heap that may fill up first
 
 
 @dataclass
