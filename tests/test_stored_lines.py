@@ -73,3 +73,23 @@ def test_customers_are_stored_once_for_reports_that_share_them(spark, folder, mo
     features = inputs.features()
     assert kept.count("customers") == 1
     assert features.columns[: len(whole.columns)] == whole.columns
+
+
+def test_months_of_stored_lines_deal_out_no_sums_by_customer(spark, folder):
+    inputs = Inputs(spark, folder)
+    joined = inputs.star.monthly_revenue(with_returned=True)
+    before = [tuple(r) for r in joined.collect()]
+    inputs.star.store_lines()
+    stored = inputs.star.monthly_revenue(with_returned=True)
+    assert [f.dataType for f in stored.schema] == [f.dataType for f in joined.schema]
+    assert [tuple(r) for r in stored.collect()] == before and before[0][8] == 2
+    plan = stored._jdf.queryExecution().sparkPlan().toString()
+    by_customer = [line for line in plan.splitlines() if "Aggregate(keys" in line and "customer_id" in line.split("functions=")[0]]
+    assert by_customer and all("sum(" not in line for line in by_customer)
+
+
+def test_published_tables_are_stored_small(spark, folder):
+    path, _ = registry._published(Inputs(spark, folder))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/orders").select("path").collect()
+    parts = [r["path"] for r in files if r["path"].endswith(".parquet")]
+    assert parts and all(p.endswith(".zstd.parquet") for p in parts)

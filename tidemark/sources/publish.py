@@ -20,7 +20,7 @@ SINGLE_FILE_VIEWS = tuple(name for name in EXPORTS if name.startswith("v_"))
 def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
     """One Parquet directory per table, replacing earlier contents."""
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.mode("overwrite").parquet(f"{folder}/{name}", compression="zstd")
 
 
 def replace_catalog_tables(
