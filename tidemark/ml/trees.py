@@ -8,6 +8,10 @@ models, nodes, features and bins, not by rows. Statistics are whole numbers (fix
 bootstrap), hence the trees do not depend on how rows are spread over tasks, nor on a task that ran twice.
 Every model also scores the rows it was not fitted on, so fold and test predictions come with the fit.
 
+Where one task can hold the bins of all rows (``TreeRules.whole_bytes``), a pass would cost more than its work: a
+task then reads all blocks and grows a model's boosted trees, or some trees of its forest, from end to end. Both
+ways add up the same whole numbers and choose splits by the same code, so they grow the same trees.
+
 A missing value goes to the bin of its model's own median (mode, for an ordinal), as if it had been filled
 from that model's rows only. Random draws are hashes of the row's key, the model and the tree.
 """
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +52,9 @@ class TreeRules:
     piece_cells: int = 8192  # sums travel in pieces of so many numbers
     passes_kept: int = 25  # passes whose broadcasts and shuffles may lie about before the driver's garbage is collected
     heap_growth: float = 0.06  # or the share of the driver's heap that may fill up first
+    whole_bytes: int = 64 << 20  # bins (rows x features) up to which a task holds all rows and grows whole trees
+    whole_tasks: int = 2  # such tasks a core for the forests
+    chunk_rows: int = 1 << 15  # rows that such a task adds up at a time
 
 
 @dataclass
@@ -232,6 +240,8 @@ class Binned:
     counts: np.ndarray  # models x 2: training rows by label
     tasks: int
     rules: TreeRules
+    rows: int | None = None
+    stored: DataFrame | None = None  # the same blocks as they were stored, not kept in memory
 
     def __post_init__(self):
         self.records = Records(self.blocks.drop("keys").rdd, self.tasks, self.rules)  # planned once: hundreds of passes read it
@@ -240,13 +250,22 @@ class Binned:
     def features(self) -> int:
         return len(self.edges)
 
+    @property
+    def most_bins(self) -> int:
+        return max((len(e) for e in self.edges), default=0) + 1
+
+    @property
+    def in_one_task(self) -> bool:
+        """Whether a task may hold the bins of all rows."""
+        return self.stored is not None and self.rows * self.features <= self.rules.whole_bytes
+
     def held_fold(self, model: int) -> int:
         return model if model < self.models - 1 else -99
 
 
-def _held(blocks: DataFrame, name: str, tasks: int) -> DataFrame:
-    """Blocks stored in the shared folder and kept in memory: hundreds of passes read them, a lost part is read again."""
-    return settle(blocks, name).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+def _kept(stored: DataFrame, tasks: int) -> DataFrame:
+    """Stored blocks kept in memory: hundreds of passes read them, a lost part is read again."""
+    return stored.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def quantile_edges(rows: DataFrame, count: int, bins: int) -> list[np.ndarray]:
@@ -288,10 +307,10 @@ def bin_rows(
     uid = F.xxhash64(F.col(key).cast("string"))
     dealt = rows.select(key, uid.alias("uid"), "label", "fold", "x").repartition(tasks, uid)
     schema = BLOCKS.format(key=rows.schema[key].dataType.simpleString())
-    blocks = _held(dealt.mapInArrow(run, schema), "tree-blocks", tasks)
-    empty = Binned(blocks, edges, np.zeros((models, features), np.uint8), models, np.zeros((models, 2)), tasks, rules)
+    stored = settle(dealt.mapInArrow(run, schema), "tree-blocks")
+    blocks, default = _kept(stored, tasks), np.zeros((models, features), np.uint8)
+    empty = Binned(blocks, edges, default, models, np.zeros((models, 2)), tasks, rules, total, stored)
     seen = _bin_counts(empty, max(1, folds))
-    default = np.zeros((models, features), np.uint8)
     counts = np.zeros((models, 2))
     for m in range(models):
         own = np.array([f != empty.held_fold(m) for f in range(max(1, folds))])
@@ -399,46 +418,106 @@ def _level(
                 view += np.bincount((cell + which[:, None]).ravel(), np.repeat(value, tried), minlength=size)
         return out
 
-    total, out = summed(binned, int(ends[-1]), of_block), []
-    for slot, own, shape, end in zip(slots, taken, shapes, ends):
-        sums = dict(zip(own, total[end - int(np.prod(shape)) : end].reshape(shape)))
-        for n in set(slot.open) - set(own):
-            sums[n] = slot.known[(n - 1) // 2] - sums[n + 1 if n % 2 else n - 1]
-        out.append(np.stack([sums[n] for n in slot.open]))
-    return out
+    total = summed(binned, int(ends[-1]), of_block)
+    parts = [total[end - int(np.prod(shape)) : end].reshape(shape) for shape, end in zip(shapes, ends)]
+    return [_with_siblings(slot, own, sums) for slot, own, sums in zip(slots, taken, parts)]
+
+
+def _with_siblings(slot: Slot, counted: list[int], sums: np.ndarray) -> np.ndarray:
+    """The sums of all open nodes, from those of the nodes that were added up."""
+    known = dict(zip(counted, sums))
+    for n in set(slot.open) - set(counted):
+        known[n] = slot.known[(n - 1) // 2] - known[n + 1 if n % 2 else n - 1]
+    return np.stack([known[n] for n in slot.open])
+
+
+@dataclass
+class Forest:
+    """How a forest's trees split: square root of the features tried a node, classes balanced."""
+
+    features: int
+    balance: np.ndarray  # models x 2: weights of the classes
+    seed: int
+    shared: ClassVar[bool] = False
+
+    @property
+    def tries(self) -> int:
+        return max(1, int(np.sqrt(self.features)))
+
+    def tried(self, slot: Slot, node: int) -> np.ndarray:
+        rng = np.random.default_rng([self.seed, slot.model, slot.number, node])
+        return np.sort(rng.permutation(self.features)[: self.tries])
+
+    def quality(self, sums: np.ndarray, slot: Slot) -> np.ndarray:
+        weighted = sums * self.balance[slot.model]
+        rows = weighted.sum(axis=-1)
+        return np.where(rows > 0, (weighted**2).sum(axis=-1) / np.maximum(rows, 1e-300), -np.inf)
+
+    def value(self, sums: np.ndarray, slot: Slot) -> np.ndarray:
+        weighted = sums * self.balance[slot.model]
+        return weighted[..., 1] / np.maximum(weighted.sum(axis=-1), 1e-300)
+
+
+@dataclass
+class Boosting:
+    """How boosted trees split. All nodes of a tree try the same features, and the second statistic tells how much lies in them."""
+
+    features: int
+    step: float
+    sample: float
+    positive_weight: float
+    seed: int
+    penalty: float
+    least: float
+    shared: ClassVar[bool] = True
+
+    def tried(self, slot: Slot, node: int) -> np.ndarray:
+        rng = np.random.default_rng([self.seed, slot.model, slot.number])
+        return np.sort(rng.permutation(self.features)[: max(1, round(self.sample * self.features))])
+
+    def statistics(self, margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slope and curvature of the loss, in whole parts."""
+        p = 1.0 / (1.0 + np.exp(-margin))
+        weight = np.where(label == 1, self.positive_weight, 1.0)
+        slope, bend = weight * (p - label), weight * np.maximum(p * (1 - p), 1e-16)
+        return np.rint(slope * UNIT), np.rint(bend * UNIT)
+
+    def quality(self, sums: np.ndarray, slot: Slot) -> np.ndarray:
+        slope, bend = sums[..., 0] / UNIT, sums[..., 1] / UNIT
+        return np.where(bend >= self.least, slope**2 / (bend + self.penalty), -np.inf)
+
+    def value(self, sums: np.ndarray, slot: Slot) -> np.ndarray:
+        return -self.step * (sums[..., 0] / UNIT) / (sums[..., 1] / UNIT + self.penalty)
 
 
 def _grow(
-    binned: Binned, slots: list[Slot], trees: list[Trees], depth: int, tried: Callable[[Slot, int], np.ndarray],
-    statistics: Callable, quality: Callable[[np.ndarray, Slot], np.ndarray], value: Callable[[np.ndarray, Slot], np.ndarray],
-    shared: bool = False,
-) -> None:
-    """Grow one tree per slot, level by level; ``quality`` of child sums is -inf where a child is not allowed.
+    bins: int, slots: list[Slot], trees: list[Trees], depth: int, rule: Forest | Boosting, sums_of: Callable[[list[Slot], int], list[np.ndarray]]
+) -> None:
+    """Grow one tree per slot, level by level; ``rule.quality`` of child sums is -inf where a child is not allowed.
 
-    ``shared``: all nodes of a tree try the same features (and the second statistic tells how many rows they hold).
+    ``sums_of`` gives, per slot that still grows, the sums of two statistics per (open node, tried feature, bin) of a level.
     """
-    bins = max((len(e) for e in binned.edges), default=0) + 1
     for level in range(depth):
         growing = [(s, t) for s, t in zip(slots, trees) if s.open]
         if not growing:
             return
         for slot, _ in growing:
-            slot.choice = np.stack([tried(slot, node) for node in slot.open])
-        sums = _level(binned, [s for s, _ in growing], level, bins, statistics)
+            slot.choice = np.stack([rule.tried(slot, node) for node in slot.open])
+        sums = sums_of([s for s, _ in growing], level)
         for (slot, tree), own in zip(growing, sums):
             left = own.cumsum(axis=2)
             total = left[:, 0, -1]
             right = total[:, None, None] - left
-            gain = quality(left, slot) + quality(right, slot) - quality(total, slot)[:, None, None]
+            gain = rule.quality(left, slot) + rule.quality(right, slot) - rule.quality(total, slot)[:, None, None]
             gain = np.where(np.isfinite(gain), gain, -np.inf).reshape(len(own), -1)
             best = gain.argmax(axis=1)
             chosen, cut = np.divmod(best, bins)
             each = np.arange(len(own))
             if level == 0:
-                tree.value[slot.number, 0] = value(total, slot)[0]
-            good = gain[each, best] > MIN_GAIN * (1 + np.abs(quality(total, slot)))
+                tree.value[slot.number, 0] = rule.value(total, slot)[0]
+            good = gain[each, best] > MIN_GAIN * (1 + np.abs(rule.quality(total, slot)))
             halves = left[each, chosen, cut], right[each, chosen, cut]
-            sides = [value(h, slot) for h in halves]
+            sides = [rule.value(h, slot) for h in halves]
             following, slot.rows, slot.known = [], {}, {}
             for k in np.flatnonzero(good):
                 node = slot.open[k]
@@ -447,24 +526,28 @@ def _grow(
                 tree.gain[slot.number, node] = gain[k, best[k]]
                 for child, side, half in zip((2 * node + 1, 2 * node + 2), sides, halves):
                     tree.value[slot.number, child] = side[k]
-                    slot.rows[child] = float(half[k].sum() if not shared else half[k, 1])
+                    slot.rows[child] = float(half[k].sum() if not rule.shared else half[k, 1])
                     following.append(child)
-                if shared:
+                if rule.shared:
                     slot.known[node] = own[k]
             slot.open = following
 
 
 def grow_forest(binned: Binned, count: int, depth: int, seed: int) -> list[Trees]:
     """Per model ``count`` trees on bootstrap draws, classes balanced, square root of the features tried a node."""
-    tried = max(1, int(np.sqrt(binned.features)))
-    forests = [Trees.empty(count, depth) for _ in range(binned.models)]
     balance = binned.counts.sum(axis=1, keepdims=True) / np.maximum(2 * binned.counts, 1)
+    rule, bins = Forest(binned.features, balance, seed), binned.most_bins
+    forests = [Trees.empty(count, depth) for _ in range(binned.models)]
+    if binned.in_one_task:
+        context = binned.records.blocks.context
+        ranges = max(1, min(count, -(-binned.rules.whole_tasks * context.defaultParallelism // binned.models)))
+        starts = [count * k // ranges for k in range(ranges)]
+        work = [(m, a, b) for m in range(binned.models) for a, b in zip(starts, [*starts[1:], count])]
+        for (m, a, b), grown in zip(work, _grown_whole(binned, work, depth, rule), strict=True):
+            for name in ("feature", "cut", "value", "gain"):
+                getattr(forests[m], name)[a:b] = getattr(grown, name)
+        return forests
     held = [binned.held_fold(m) for m in range(binned.models)]
-    bins = max((len(e) for e in binned.edges), default=0) + 1
-
-    def features(slot: Slot, node: int) -> np.ndarray:
-        rng = np.random.default_rng([seed, slot.model, slot.number, node])
-        return np.sort(rng.permutation(binned.features)[:tried])
 
     def statistics(block: Block, filled: list[np.ndarray]) -> Callable[[Slot], tuple]:
         of_model = {}  # rows, what the hashes of their trees start from, labels
@@ -480,16 +563,7 @@ def grow_forest(binned: Binned, count: int, depth: int, seed: int) -> list[Trees
 
         return of_slot
 
-    def quality(sums: np.ndarray, slot: Slot) -> np.ndarray:
-        weighted = sums * balance[slot.model]
-        rows = weighted.sum(axis=-1)
-        return np.where(rows > 0, (weighted**2).sum(axis=-1) / np.maximum(rows, 1e-300), -np.inf)
-
-    def value(sums: np.ndarray, slot: Slot) -> np.ndarray:
-        weighted = sums * balance[slot.model]
-        return weighted[..., 1] / np.maximum(weighted.sum(axis=-1), 1e-300)
-
-    level_bytes = 16 * binned.models * 2 ** max(0, depth - 1) * tried * bins
+    level_bytes = 16 * binned.models * 2 ** max(0, depth - 1) * rule.tries * bins
     together = max(1, binned.rules.histogram_bytes // level_bytes)
     for a in range(0, count, together):
         slots, trees = [], []
@@ -497,7 +571,7 @@ def grow_forest(binned: Binned, count: int, depth: int, seed: int) -> list[Trees
             for t in range(a, min(count, a + together)):
                 slots.append(Slot(m, t, forests[m].feature[t], forests[m].cut[t]))
                 trees.append(forests[m])
-        _grow(binned, slots, trees, depth, features, statistics, quality, value)
+        _grow(bins, slots, trees, depth, rule, lambda growing, level: _level(binned, growing, level, bins, statistics))
     return forests
 
 
@@ -510,29 +584,17 @@ def grow_boosted(
     Each tree sees a share ``sample`` of the rows and of the features. ``penalty`` is added to a leaf's curvature,
     which must be at least ``least`` on either side of a split.
     """
+    rule, bins = Boosting(binned.features, step, sample, positive_weight, seed, penalty, least), binned.most_bins
+    if binned.in_one_task:
+        models = _grown_whole(binned, [(m, 0, rounds) for m in range(binned.models)], depth, rule)
+        return models, _with_margins(binned, models, depth)
     models = [Trees.empty(rounds, depth) for _ in range(binned.models)]
-    kept = max(1, round(sample * binned.features))
     held = [binned.held_fold(m) for m in range(binned.models)]
     waiting: list[int] = []  # rounds not yet in the stored scores
 
     def chosen(m: int, rounds_: list[int]) -> Trees:
         return Trees(models[m].feature[rounds_], models[m].cut[rounds_], models[m].value[rounds_], models[m].gain[:0])
 
-    def features(slot: Slot, node: int) -> np.ndarray:
-        rng = np.random.default_rng([seed, slot.model, slot.number])
-        return np.sort(rng.permutation(binned.features)[:kept])
-
-    def real(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return sums[..., 0] / UNIT, sums[..., 1] / UNIT
-
-    def quality(sums: np.ndarray, slot: Slot) -> np.ndarray:
-        slope, bend = real(sums)
-        return np.where(bend >= least, slope**2 / (bend + penalty), -np.inf)
-
-    def value(sums: np.ndarray, slot: Slot) -> np.ndarray:
-        slope, bend = real(sums)
-        return -step * slope / (bend + penalty)
-
     for r in range(rounds):
         pending = [chosen(m, waiting) for m in range(binned.models)]  # what the stored scores lack
 
@@ -541,17 +603,14 @@ def grow_boosted(
                 m = slot.model
                 used = (block.fold >= 0) & (block.fold != held[m]) & (drawn(block.uid, seed, m, slot.number) < sample)
                 rows = np.flatnonzero(used)
-                label = block.label[rows]
-                p = 1.0 / (1.0 + np.exp(-added(block.margin[m][rows], pending[m], filled[m][rows], depth)))
-                weight = np.where(label == 1, positive_weight, 1.0)
-                slope, bend = weight * (p - label), weight * np.maximum(p * (1 - p), 1e-16)
+                slope, bend = rule.statistics(added(block.margin[m][rows], pending[m], filled[m][rows], depth), block.label[rows])
                 first = np.zeros(len(rows), np.uint8)
-                return rows, [(first, np.rint(slope * UNIT)), (first + 1, np.rint(bend * UNIT))]
+                return rows, [(first, slope), (first + 1, bend)]
 
             return of_slot
 
         slots = [Slot(m, r, models[m].feature[r], models[m].cut[r]) for m in range(binned.models)]
-        _grow(binned, slots, models, depth, features, statistics, quality, value, shared=True)
+        _grow(bins, slots, models, depth, rule, lambda growing, level: _level(binned, growing, level, bins, statistics))
         waiting.append(r)
         if len(waiting) == binned.rules.written_every or r == rounds - 1:
             before, binned = binned, _with_margins(binned, [chosen(m, waiting) for m in range(binned.models)], depth)
@@ -561,6 +620,116 @@ def grow_boosted(
     return models, binned
 
 
+class Whole:
+    """All rows that a model is fitted on, held by one task. Positions in a tree are carried from level to level."""
+
+    def __init__(self, records: Iterator, features: int, default: np.ndarray, held: int, rules: TreeRules):
+        parts: list[tuple] = []
+        for record in records:
+            fold = np.frombuffer(record["fold"], np.int8)
+            fit = np.flatnonzero((fold >= 0) & (fold != held))
+            own = np.frombuffer(record["bins"], np.uint8).reshape(-1, features)[fit]
+            uid, label = np.frombuffer(record["uid"], "<u8"), np.frombuffer(record["label"], np.uint8)
+            parts.append((uid[fit], label[fit], np.where(own == MISSING, default, own).astype(np.uint8)))
+        none = np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros((0, features), np.uint8)
+        self.uid, self.label, bins = (np.concatenate(x) for x in zip(*(parts or [none])))
+        self.features, self.flat, self.rules = features, bins.ravel(), rules
+
+    def chunks(self, rows: np.ndarray) -> Iterator[slice]:
+        return (slice(a, a + self.rules.chunk_rows) for a in range(0, len(rows), self.rules.chunk_rows))
+
+    def descend(self, slot: Slot, at: np.ndarray, rows: np.ndarray) -> None:
+        """Carry the positions of ``rows`` one level down; below a leaf, to some node that was never open."""
+        feature = np.maximum(slot.feature, 0).astype(np.intp)
+        for part in self.chunks(rows):
+            node = at[part]
+            right = self.flat.take(rows[part] * self.features + feature.take(node)) > slot.cut.take(node)
+            node += node
+            node += 1
+            node += right
+
+    def forest(self, trees: Trees, numbers: range, model: int, depth: int, bins: int, rule: Forest) -> None:
+        state = stirred(stirred(self.uid, rule.seed), model)
+        for t in numbers:
+            times = times_drawn(uniform(stirred(state, t)))
+            rows = np.flatnonzero(times)
+            times, label, at = times[rows].astype(np.float64), self.label[rows].astype(np.intp), np.zeros(len(rows), np.intp)
+
+            def sums(growing: list[Slot], level: int) -> list[np.ndarray]:
+                slot = growing[0]
+                if level:
+                    self.descend(slot, at, rows)
+                place, nodes = np.full(trees.feature.shape[1], -1), len(slot.open)
+                place[slot.open] = np.arange(nodes)
+                out = np.zeros((rule.tries, nodes * 2 * bins))
+                for part in self.chunks(rows):
+                    own = place.take(at[part])
+                    inside = np.flatnonzero(own >= 0)
+                    own, base, weight = own[inside], rows[part][inside] * self.features, times[part][inside]
+                    first = (own * 2 + label[part][inside]) * bins
+                    for k, feature in enumerate(slot.choice.T):
+                        cell = first + self.flat.take(base + feature.take(own))
+                        out[k] += np.bincount(cell, weight, out.shape[1])
+                return [np.ascontiguousarray(out.reshape(-1, nodes, 2, bins).transpose(1, 0, 3, 2)).astype(np.int64)]
+
+            _grow(bins, [Slot(model, t, trees.feature[t], trees.cut[t])], [trees], depth, rule, sums)
+
+    def boosted(self, trees: Trees, model: int, depth: int, bins: int, rule: Boosting) -> None:
+        columns = np.ascontiguousarray(self.flat.reshape(-1, self.features).T)
+        everyone, margin, state = np.arange(len(self.uid)), np.zeros(len(self.uid)), stirred(stirred(self.uid, rule.seed), model)
+        for r in range(len(trees.feature)):
+            rows = np.flatnonzero(uniform(stirred(state, r)) < rule.sample)
+            slope, bend = rule.statistics(margin[rows], self.label[rows])
+            at, reached = np.zeros(len(everyone), np.intp), 0
+            slot = Slot(model, r, trees.feature[r], trees.cut[r])
+
+            def sums(growing: list[Slot], level: int) -> list[np.ndarray]:
+                nonlocal reached
+                if level:
+                    self.descend(slot, at, everyone)
+                    reached = level
+                counted = slot.counted()
+                place, nodes, tried = np.full(trees.feature.shape[1], -1), len(counted), slot.choice[0]
+                place[counted] = np.arange(nodes) * bins
+                out = np.zeros((2, len(tried), nodes * bins))
+                for part in self.chunks(rows):
+                    own = rows[part]
+                    first = place.take(at.take(own))
+                    inside = np.flatnonzero(first >= 0)
+                    own, first, g, h = own[inside], first[inside], slope[part][inside], bend[part][inside]
+                    for k, feature in enumerate(tried):
+                        cell = first + columns[feature].take(own)
+                        out[0, k] += np.bincount(cell, g, out.shape[2])
+                        out[1, k] += np.bincount(cell, h, out.shape[2])
+                found = np.ascontiguousarray(out.reshape(2, -1, nodes, bins).transpose(2, 1, 3, 0)).astype(np.int64)
+                return [_with_siblings(slot, counted, found)]
+
+            _grow(bins, [slot], [trees], depth, rule, sums)
+            for _ in range(reached, depth):
+                self.descend(slot, at, everyone)
+            bottom = bottom_values(Trees(trees.feature[r : r + 1], trees.cut, trees.value[r : r + 1], trees.gain), depth)
+            margin += bottom[0].take(at - (2**depth - 1))
+
+
+def _grown_whole(binned: Binned, work: list[tuple[int, int, int]], depth: int, rule: Forest | Boosting) -> list[Trees]:
+    """One task for each (model, first tree, end), which reads all blocks; its trees, in this order."""
+    features, default, rules, bins = binned.features, binned.default, binned.rules, binned.most_bins
+    held = [binned.held_fold(m) for m in range(binned.models)]
+
+    def run(task: int, records: Iterator) -> Iterator[tuple]:
+        model, first, end = work[task]
+        whole, trees = Whole(records, features, default[model], held[model], rules), Trees.empty(end, depth)
+        if rule.shared:
+            whole.boosted(trees, model, depth, bins, rule)
+        else:
+            whole.forest(trees, range(first, end), model, depth, bins, rule)
+        yield task, [a[first:end] for a in (trees.feature, trees.cut, trees.value, trees.gain)]
+
+    blocks = binned.stored.select("uid", "label", "fold", "bins").rdd.coalesce(1)
+    tasks = blocks.context.union([blocks] * len(work)) if len(work) > 1 else blocks
+    return [Trees(*arrays) for _, arrays in sorted(tasks.mapPartitionsWithIndex(run).collect(), key=lambda x: x[0])]
+
+
 def _with_margins(binned: Binned, grown: list[Trees], depth: int) -> Binned:
     """The blocks with the given trees of each model added to their scores, stored."""
     features, models, default = binned.features, binned.models, binned.default
@@ -575,8 +744,8 @@ def _with_margins(binned: Binned, grown: list[Trees], depth: int) -> Binned:
             at = batch.schema.get_field_index("margin")
             yield batch.set_column(at, "margin", pa.array(new, pa.binary()))
 
-    stored = _held(binned.blocks.mapInArrow(run, binned.blocks.schema), "tree-scores", binned.tasks)
-    return replace(binned, blocks=stored)
+    stored = settle(binned.blocks.mapInArrow(run, binned.blocks.schema), "tree-scores")
+    return replace(binned, blocks=_kept(stored, binned.tasks), stored=stored)
 
 
 def depth_of(trees: Trees) -> int:
