@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tidemark.ml import trees
+from tidemark.ml import training, trees
 
 KINDS = "customer_id long, label double, fold int, x array<double>"
 
@@ -63,3 +63,13 @@ def test_a_task_without_rows_grows_leaves(spark):
     binned = trees.bin_rows(table(spark).where("fold < 0"), "customer_id", 2, [0.0] * 7, 1)
     assert binned.in_one_task and all((t.feature == -1).all() for t in trees.grow_forest(binned, 2, 3, 1))
     assert all((t.feature == -1).all() for t in trees.grow_boosted(binned, 2, 3, 0.1, 0.8, 1.0, 1)[0])
+
+
+def test_a_stored_comparison_reads_only_the_models_asked_for(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(training, "load_model", lambda spark, folder: read.append(folder) or folder.upper())
+    stored = training.StoredModels(spark, {"a": "one", "b": "two"})
+    result = training.Comparison({"a": {"test_auc": 0.5, "cv_auc": None}, "b": {"test_auc": 0.7, "cv_auc": 0.6}}, stored, "b", None, None, None)
+    rows = [tuple(r) for r in result.table(spark).collect()]
+    assert rows == [("a", 0.5, None, False), ("b", 0.7, 0.6, True)] and list(result.fitted) == ["a", "b"] and read == []
+    assert result.champion == result.champion == "TWO" and read == ["two"]

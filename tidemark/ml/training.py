@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -25,6 +26,7 @@ from tidemark.session import drop_unused, settle, shared_dir
 
 KEY = "customer_id"
 TEST, CHOICE = -1, -2  # fold numbers of rows that are scored, never fitted
+FOLDS_BESIDE_TREES = 2  # linear folds under way at once, by what the driver's memory holds besides
 
 
 @dataclass
@@ -79,7 +81,9 @@ def _linear_rows(preparation: PipelineModel, train: DataFrame) -> DataFrame:
 
 def _fit_logistic(preparation: PipelineModel, train: DataFrame, settings: Settings) -> LogisticRegressionModel:
     """The fitted model as read back from storage: a fresh one holds its training summary and with it the session,
-    which cannot go to tasks once counters have been observed in that session."""
+    which cannot go to tasks once counters have been observed in that session. What preparing the rows left in the
+    driver is dropped first."""
+    drop_unused(train.sparkSession.sparkContext)
     rows = settle(_linear_rows(preparation, train), "linear-rows")
     path = f"{shared_dir(train.sparkSession)}/tidemark/linear-{uuid.uuid4().hex}"
     logistic(settings, rows.count()).fit(rows).write().save(path)
@@ -162,6 +166,7 @@ def fit_trees(preparation: PipelineModel, train: DataFrame, rows: DataFrame, set
         forests = grown[0].get() if grown[0] else None
         boosted, scored = grown[1].get() if grown[1] else (None, binned)
     models = {}
+    drop_unused(train.sparkSession.sparkContext)
     if forests:
         models[FOREST] = TreeModel("forest", forests[-1], binned.edges)
     if boosted:
@@ -201,7 +206,7 @@ class Comparison:
     """Outcome of ``compare``: candidate scores, the champion and the evaluated rows."""
 
     scores: dict[str, dict[str, float | None]]
-    fitted: dict[str, Trained]
+    fitted: Mapping[str, Trained]
     best: str
     train: DataFrame
     test: DataFrame
@@ -214,7 +219,7 @@ class Comparison:
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [
             (name, round(s["test_auc"], 4), None if s["cv_auc"] is None else round(s["cv_auc"], 4),
-             name == self.champion.name)
+             name == self.best)
             for name, s in self.scores.items()
         ]
         return spark.createDataFrame(
@@ -254,19 +259,23 @@ def compare(
     rows = reduce(DataFrame.unionByName, [folded, *(df.withColumn("fold", F.lit(k)) for k, df in held.items())])
     folds = settings.folds if cross_validate else 0
 
-    def linear() -> tuple[dict, dict, dict]:
+    def linear() -> tuple[dict, dict]:
         if LOGISTIC not in settings.models:
-            return {}, {}, {}
+            return {}, {}
         model = _fit_logistic(preparation, train, settings)
-        found = {(LOGISTIC, k): _auc(model, rows) for k, rows in vectors.items()}
-        at_once = 1 if len(settings.models) > 1 else None  # the trees take longer than the folds one by one
-        return {LOGISTIC: model}, found, {LOGISTIC: sum(linear_fold_auc(folded, settings, at_once)) / folds} if folds else {}
+        return {LOGISTIC: model}, {(LOGISTIC, k): _auc(model, rows) for k, rows in vectors.items()}
+
+    def linear_folds() -> dict:
+        if LOGISTIC not in settings.models or not folds:
+            return {}
+        at_once = FOLDS_BESIDE_TREES if len(settings.models) > 1 else None
+        return {LOGISTIC: sum(linear_fold_auc(folded, settings, at_once)) / folds}
 
     drop_unused(features.sparkSession.sparkContext)  # what making and splitting the features left in the driver
-    with ThreadPool(1) as pool:  # the linear candidate beside the trees
-        side = pool.apply_async(linear)
+    with ThreadPool(2) as pool:  # the linear candidate and its folds beside the trees
+        side, in_folds = pool.apply_async(linear), pool.apply_async(linear_folds)
         trees = fit_trees(preparation, train, rows, settings, folds)
-        fitted, aucs, cv = side.get()
+        (fitted, aucs), cv = side.get(), in_folds.get()
     if trees is not None:
         fitted |= trees.models
         aucs |= trees.aucs()
@@ -283,15 +292,34 @@ def compare(
         cut = best_threshold(chosen, "label", "p", settings.beta).first()
         return Trained(name, preparation, fitted[name], cut["threshold"], names)
 
+    drop_unused(features.sparkSession.sparkContext)
     scores = {n: {"test_auc": aucs[n, TEST], "cv_auc": cv.get(n)} for n in fitted}
     return Comparison(scores, {n: trained(n) for n in fitted}, best, train, test, vectors[TEST])
 
 
+class StoredModels(Mapping):
+    """Stored candidates by name, each read when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folders: dict[str, str]):
+        self.spark, self.folders, self.read = spark, folders, {}
+
+    def __getitem__(self, name: str) -> Trained:
+        if name not in self.read:
+            self.read[name] = load_model(self.spark, self.folders[name])
+        return self.read[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.folders)
+
+    def __len__(self) -> int:
+        return len(self.folders)
+
+
 def save_comparison(result: Comparison, folder: str) -> None:
     """All candidates, their scores and the rows they were compared on."""
     spark = SparkSession.active()
-    for k, (name, own) in enumerate(result.fitted.items()):
-        save_model(own, f"{folder}/candidate-{k}")
+    with ThreadPool(max(1, len(result.fitted))) as pool:  # each is many small files
+        pool.map(lambda own: save_model(own[1], f"{folder}/candidate-{own[0]}"), list(enumerate(result.fitted.values())), chunksize=1)
     rows = [(k, n, n == result.best, s["test_auc"], s["cv_auc"]) for k, (n, s) in enumerate(result.scores.items())]
     schema = "place int, model string, best boolean, test_auc double, cv_auc double"
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/scores")
@@ -304,7 +332,7 @@ def load_comparison(spark: SparkSession, folder: str) -> Comparison:
     frames = [spark.read.parquet(f"{folder}/{name}") for name in ("train", "test", "prepared_test")]
     return Comparison(
         {r["model"]: {"test_auc": r["test_auc"], "cv_auc": r["cv_auc"]} for r in rows},
-        {r["model"]: load_model(spark, f"{folder}/candidate-{r['place']}") for r in rows},
+        StoredModels(spark, {r["model"]: f"{folder}/candidate-{r['place']}" for r in rows}),
         next(r["model"] for r in rows if r["best"]), *frames,
     )
 
