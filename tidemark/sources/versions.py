@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 POINTER = "number long, version string, tables array<string>"
 
@@ -45,14 +46,28 @@ def switch(spark: SparkSession, root: str, version: str, names: Iterable[str] =
     spark.createDataFrame(row, POINTER).coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
 
+def _types(spark: SparkSession, folder: str) -> dict[str, DataType]:
+    try:
+        return {f.name: f.dataType for f in spark.read.parquet(folder).schema}
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+
+
 def publish_version(
     tables: dict[str, DataFrame], root: str, before_switch: Callable[[str], None] | None = None
 ) -> str:
-    """Write all tables as a new version and switch to it; ``before_switch`` may check the written version first."""
+    """Write all tables as a new version and switch to it; ``before_switch`` may check the written version first.
+
+    Columns keep the types of the version before: views read all versions by one schema.
+    """
     spark = next(iter(tables.values())).sparkSession
-    version = uuid.uuid4().hex
+    version, now = uuid.uuid4().hex, current(spark, root)
     for name, df in tables.items():
-        df.write.parquet(f"{root}/{name}/version={version}")
+        known = _types(spark, f"{root}/{name}/version={now[1]}") if now else {}
+        other = {c: F.col(f"`{c}`").cast(known[c]) for c, kind in ((f.name, f.dataType) for f in df.schema) if known.get(c, kind) != kind}
+        df.withColumns(other).write.parquet(f"{root}/{name}/version={version}")
     if before_switch is not None:
         before_switch(version)
     switch(spark, root, version, tables)
